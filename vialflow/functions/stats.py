@@ -42,3 +42,14 @@ def sigmoid(x: Column | str) -> Column:
 
 def rnd(x: Column | str, digits: int = 6) -> Column:
     return F.round(_c(x), digits)
+
+
+# Nudge applied before rounding values that are exact decimal ties by
+# construction (means of few-decimal inputs): float summation order would
+# otherwise decide the last digit. Far below the output precision.
+TIE_NUDGE = 1e-9
+
+
+def rnd_half_up(x: Column | str, digits: int = 6) -> Column:
+    x = _c(x)
+    return F.round(x + F.signum(x) * F.lit(TIE_NUDGE), digits)
