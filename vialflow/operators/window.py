@@ -52,17 +52,24 @@ def value_blocks(df: DataFrame, col: str, n: int = 64, descending: bool = False)
 
 
 def running(df: DataFrame, order: Sequence, aggs: dict, by: Sequence[str] = (),
-            block: Column | None = None) -> DataFrame:
+            block: Column | None = None, exclusive: bool = False) -> DataFrame:
     """Add running aggregates ``{out: (fn, col)}`` (fn in sum/count/max/min)
-    over rows ordered by ``order`` within ``by`` (frame: first row .. current).
+    over rows ordered by ``order`` within ``by`` (frame: first row .. current,
+    or .. the previous row when ``exclusive``; an empty frame gives NULL for
+    max/min and 0 for sum/count).
     """
     by = list(by)
     order = [_c(o) for o in order]
+    end = -1 if exclusive else 0
     if block is None:
-        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select("*", *[_agg(fn, _c(col)).over(w).alias(out) for out, (fn, col) in aggs.items()])
+        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+        outs = []
+        for out, (fn, col) in aggs.items():
+            e = _agg(fn, _c(col)).over(w)
+            outs.append((F.coalesce(e, F.lit(0)) if _COMBINE[fn] == "sum" else e).alias(out))
+        return df.select("*", *outs)
     d = df.withColumn("_blk", block)
-    wl = Window.partitionBy(*by, "_blk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    wl = Window.partitionBy(*by, "_blk").orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
     local = d.select("*", *[_agg(fn, _c(col)).over(wl).alias(f"_l_{out}") for out, (fn, col) in aggs.items()])
     tot = d.groupBy(*by, "_blk").agg(*[_agg(fn, _c(col)).alias(f"_t_{out}") for out, (fn, col) in aggs.items()])
     wp = Window.partitionBy(*by).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
@@ -73,7 +80,7 @@ def running(df: DataFrame, order: Sequence, aggs: dict, by: Sequence[str] = (),
     for out, (fn, _col) in aggs.items():
         lc, pc = F.col(f"_l_{out}"), F.col(f"_p_{out}")
         if _COMBINE[fn] == "sum":
-            e = F.coalesce(pc, F.lit(0)) + lc
+            e = F.coalesce(pc, F.lit(0)) + F.coalesce(lc, F.lit(0))
         elif fn == "max":
             e = F.greatest(pc, lc)
         else:

@@ -3,5 +3,5 @@
 Importing this package registers every plan module.
 """
 
-from vialflow.plans import columns, evaluation, joining, summaries, windows, wrangling  # noqa: F401
+from vialflow.plans import columns, evaluation, joining, planning, summaries, windows, wrangling  # noqa: F401
 from vialflow.plans.registry import HEADLINE, ORACLE, QUERIES  # noqa: F401
