@@ -19,6 +19,7 @@ def spark():
 
     s = (SparkSession.builder.master("local[*]").appName("vialflow-tests")
          .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.driver.memory", "8g")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")

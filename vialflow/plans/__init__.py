@@ -3,5 +3,6 @@
 Importing this package registers every plan module.
 """
 
-from vialflow.plans import columns, evaluation, joining, mining, planning, summaries, windows, wrangling  # noqa: F401
+from vialflow.plans import (  # noqa: F401
+    columns, evaluation, joining, mining, planning, similarity, summaries, windows, wrangling)
 from vialflow.plans.registry import HEADLINE, ORACLE, QUERIES  # noqa: F401

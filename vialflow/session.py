@@ -30,7 +30,8 @@ def get_session(master: str | None = None, app: str = "vialflow",
     """
     b = SparkSession.builder.appName(app)
     if master:
-        b = b.master(master)
+        # local runs: the driver JVM is the only executor
+        b = b.master(master).config("spark.driver.memory", os.environ.get("VIALFLOW_DRIVER_MEMORY", "12g"))
     for k, v in _DEFAULTS.items():
         b = b.config(k, v)
     if shuffle_partitions:
