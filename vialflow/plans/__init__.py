@@ -4,5 +4,5 @@ Importing this package registers every plan module.
 """
 
 from vialflow.plans import (  # noqa: F401
-    columns, evaluation, joining, mining, planning, similarity, summaries, windows, wrangling)
+    columns, evaluation, joining, mining, planning, similarity, streaming, summaries, windows, wrangling)
 from vialflow.plans.registry import HEADLINE, ORACLE, QUERIES  # noqa: F401
