@@ -188,3 +188,53 @@ def render_prompt(template: str, fields: dict[str, Column | str]) -> Column:
 
 
 TWO_PI = 2 * math.pi
+
+
+def parse_questions(df: DataFrame, id_cols: Sequence[str], text: str, keys: Sequence[str]) -> DataFrame:
+    """Question-block replies -> one row per reply with a flag and a reason
+    per question key.
+
+    Lines ``Q<n>: <answer>`` open question n; a following ``Rational(e): ...``
+    line is the reason of the most recent question. Missing questions give
+    '' for both. Lines are exploded with their position and the running
+    question number is the last one seen (a window inside one reply).
+    """
+    lines = df.select(*id_cols, F.posexplode(F.split(F.col(text), r"\r?\n")).alias("_pos", "_line"))
+    lines = lines.withColumn("_line", F.trim("_line"))
+    qn = F.regexp_extract("_line", r"^Q([0-9]+)\s*:", 1)
+    lines = lines.withColumn("_q", F.when(qn != "", F.concat(F.lit("Q"), qn)))
+    w = Window.partitionBy(*id_cols).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    lines = lines.withColumn("_cur", F.last("_q", ignorenulls=True).over(w))
+    ans = F.when(F.col("_q").isNotNull(), F.upper(F.trim(F.regexp_extract("_line", r"^Q[0-9]+\s*:\s*(.*)$", 1))))
+    why = F.when(F.col("_q").isNull() & F.lower("_line").rlike(r"^rationale?\s*:"),
+                 F.trim(F.regexp_extract("_line", r"^[^:]*:(.*)$", 1)))
+    # earliest answer / reason line of each question (deterministic)
+    per = lines.groupBy(*id_cols, F.col("_cur").alias("q")).agg(
+        F.min(F.when(ans.isNotNull(), F.struct(F.col("_pos"), ans.alias("v"))))["v"].alias("flag"),
+        F.min(F.when(why.isNotNull(), F.struct(F.col("_pos"), why.alias("v"))))["v"].alias("reason"))
+    per = per.where(F.col("q").isin(list(keys)))
+    wide = per.groupBy(*id_cols).pivot("q", list(keys)).agg(F.first("flag").alias("flag"), F.first("reason").alias("reason"))
+    base = df.select(*id_cols).distinct()
+    j = base.join(wide, list(id_cols), "left")
+    out = []
+    for k in keys:
+        out += [F.coalesce(F.col(f"{k}_flag"), F.lit("")).alias(f"{k}_flag"),
+                F.coalesce(F.col(f"{k}_reason"), F.lit("")).alias(f"{k}_reason")]
+    return j.select(*id_cols, *out)
+
+
+PROPS_DDL = "array<struct<label:string,value:struct<sval:string,fval:double,ival:bigint>>>"
+
+
+def props_to_fields(df: DataFrame, id_col: str, text: str, labels: Sequence[str], n: int | None = None) -> DataFrame:
+    """Label/value property arrays whose value is one of several typed
+    alternatives (string, float, int) -> one text column per label. The first
+    value of a label wins; ``n`` keeps only the first n records."""
+    arr = F.from_json(F.col(text), PROPS_DDL, {"mode": "PERMISSIVE"})
+    if n is not None:
+        arr = F.slice(arr, 1, n)
+    e = df.select(id_col, F.posexplode(arr).alias("_i", "_p"))
+    v = F.coalesce(F.col("_p.value.sval"), F.col("_p.value.fval").cast("string"), F.col("_p.value.ival").cast("string"))
+    long = e.select(id_col, "_i", F.col("_p.label").alias("label"), v.alias("value"))
+    wide = long.groupBy(id_col).pivot("label", list(labels)).agg(F.min_by("value", "_i"))
+    return df.select(id_col).join(wide, id_col, "left").select(id_col, *[F.col(c) for c in labels])

@@ -308,3 +308,49 @@ def reveal_positives(df: DataFrame, id_col: str, y: str, c: float, seed, out: st
 
 
 ROUND = rnd
+
+
+# ------------------------------------------------------------------ traces
+def compare_strategies(log: DataFrame, method: str, order: Sequence, outcome: str,
+                       budgets: Sequence[int], block: Column | None = None) -> DataFrame:
+    """Best outcome reached by each method within each budget (number of
+    steps). Steps are distributed running counts per method; every budget is
+    one conditional max in a single aggregate."""
+    r = running(log.withColumn("_one", F.lit(1)), order, {"_step": ("count", "_one")}, [method], block)
+    g = r.groupBy(method).agg(*[F.max(F.when(F.col("_step") <= b, F.col(outcome))).alias(f"b{b}") for b in budgets])
+    long = g.select(method, F.explode(F.array(*[F.struct(F.lit(int(b)).alias("budget"), F.col(f"b{b}").alias("best"))
+                                                for b in budgets])).alias("_r"))
+    return long.select(method, "_r.budget", "_r.best")
+
+
+def hv_trace(df: DataFrame, x: str, y: str, round_col: str) -> DataFrame:
+    """2-D hypervolume (reference 0, 0; maximised) of all points seen up to
+    each round. Each point is counted in every round from its own on (the
+    round list is small); per round only the best y per distinct x is kept
+    (partial aggregate), then the staircase area is summed."""
+    rounds = df.select(round_col).distinct()
+    pts = df.select(F.col(round_col).alias("_from"), F.col(x).cast("double").alias("_x"),
+                    F.col(y).cast("double").alias("_y")).where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    best = pts.groupBy("_from", "_x").agg(F.max("_y").alias("_y"))
+    ex = best.join(F.broadcast(rounds.withColumnRenamed(round_col, "round")), F.col("round") >= F.col("_from"))
+    per = ex.groupBy("round", "_x").agg(F.max("_y").alias("_y"))
+    w = Window.partitionBy("round").orderBy(F.col("_x").desc())
+    env = F.max("_y").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    nxt = F.coalesce(F.lead("_x").over(w), F.lit(0.0))
+    s = per.select("round", (F.greatest(F.lit(0.0), F.col("_x") - nxt) * F.greatest(F.lit(0.0), env)).alias("_a"))
+    return s.groupBy("round").agg(F.sum("_a").alias("hypervolume"))
+
+
+def q_iterate(transitions: DataFrame, gamma: float, alpha: float, rounds: int) -> DataFrame:
+    """Batch Q iteration on logged transitions (s, a, r, s2; s2 NULL at the
+    end of an episode): Q(s,a) += alpha * mean over its transitions of
+    (r + gamma * max_a' Q(s2, a') - Q(s,a)), starting from 0. The Q table is
+    states x actions (small) and is joined back each round."""
+    t = transitions
+    q = t.select("s", "a").distinct().withColumn("q", F.lit(0.0))
+    for _ in range(rounds):
+        v = q.groupBy(F.col("s").alias("s2")).agg(F.max("q").alias("v"))
+        upd = (t.join(v, "s2", "left").join(q, ["s", "a"])
+               .groupBy("s", "a").agg(F.avg(F.col("r") + F.lit(gamma) * F.coalesce("v", F.lit(0.0)) - F.col("q")).alias("_d")))
+        q = q.join(upd, ["s", "a"], "left").select("s", "a", (F.col("q") + F.lit(alpha) * F.coalesce("_d", F.lit(0.0))).alias("q"))
+    return q

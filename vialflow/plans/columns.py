@@ -485,3 +485,71 @@ def augment_conditions(spark, sf):
     key = F.concat_ws(":", "l_orderkey", "l_linenumber")
     return S.augment_conditions(li, key, {"l_quantity": 1.0}, {"l_discount": 0.1},
                                 {"l_quantity": (1.0, 50.0), "l_discount": (0.0, 0.1)}, seed=5)
+
+
+def _question_replies(spark, sf):
+    cv = Tables(spark, sf).conversations
+    key = F.concat_ws(":", "conv_id", "turn")
+    yn = lambda seed: F.when(md5_unit(key, seed) < 0.5, "y").otherwise("N")
+    q3 = F.when(md5_unit(key, "q3") < 0.5, F.concat(F.lit("\nQ3: "), yn("a3"), F.lit("\nRational: short"))).otherwise("")
+    reply = F.concat(F.lit("Q1: "), yn("a1"), F.lit("\nRationale: r1 "), F.md5("text"), F.lit("\nQ2: "), yn("a2"), q3)
+    return cv.select("conv_id", "turn", reply.alias("reply"))
+
+
+def _yn_sql(seed):
+    k = "concat(conv_id::VARCHAR, ':', turn::VARCHAR)"
+    return f"CASE WHEN {_u(k, seed)} < 0.5 THEN 'y' ELSE 'N' END"
+
+
+_QREPLY_SQL = f"""(SELECT conv_id, turn, 'Q1: ' || {_yn_sql('a1')} || chr(10) || 'Rationale: r1 ' || md5(text) || chr(10) ||
+  'Q2: ' || {_yn_sql('a2')} ||
+  CASE WHEN {_u("concat(conv_id::VARCHAR, ':', turn::VARCHAR)", 'q3')} < 0.5
+       THEN chr(10) || 'Q3: ' || {_yn_sql('a3')} || chr(10) || 'Rational: short' ELSE '' END AS reply
+  FROM conversations)"""
+
+
+@register("parse_questions", sql=rf"""
+WITH l AS (SELECT conv_id, turn, generate_subscripts(regexp_split_to_array(reply, '\r?\n'), 1) AS pos,
+                  trim(unnest(regexp_split_to_array(reply, '\r?\n')), ' ') AS line FROM {_QREPLY_SQL}),
+q AS (SELECT *, CASE WHEN regexp_extract(line, '^Q([0-9]+)\s*:', 1) <> '' THEN 'Q' || regexp_extract(line, '^Q([0-9]+)\s*:', 1) END AS qq
+      FROM l),
+c AS (SELECT *, last_value(qq IGNORE NULLS) OVER (PARTITION BY conv_id, turn ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cur,
+             CASE WHEN qq IS NOT NULL THEN upper(trim(regexp_extract(line, '^Q[0-9]+\s*:\s*(.*)$', 1), ' ')) END AS ans,
+             CASE WHEN qq IS NULL AND regexp_matches(lower(line), '^rationale?\s*:') THEN trim(regexp_extract(line, '^[^:]*:(.*)$', 1), ' ') END AS why
+      FROM q),
+g AS (SELECT conv_id, turn, cur, arg_min(ans, pos) FILTER (WHERE ans IS NOT NULL) AS flag,
+             arg_min(why, pos) FILTER (WHERE why IS NOT NULL) AS reason FROM c GROUP BY conv_id, turn, cur)
+SELECT b.conv_id, b.turn,
+       coalesce(max(CASE WHEN cur = 'Q1' THEN flag END), '') AS Q1_flag, coalesce(max(CASE WHEN cur = 'Q1' THEN reason END), '') AS Q1_reason,
+       coalesce(max(CASE WHEN cur = 'Q2' THEN flag END), '') AS Q2_flag, coalesce(max(CASE WHEN cur = 'Q2' THEN reason END), '') AS Q2_reason,
+       coalesce(max(CASE WHEN cur = 'Q3' THEN flag END), '') AS Q3_flag, coalesce(max(CASE WHEN cur = 'Q3' THEN reason END), '') AS Q3_reason
+FROM (SELECT DISTINCT conv_id, turn FROM conversations) b LEFT JOIN g USING (conv_id, turn) GROUP BY b.conv_id, b.turn
+""")
+def parse_questions(spark, sf):
+    return T.parse_questions(_question_replies(spark, sf), ["conv_id", "turn"], "reply", ["Q1", "Q2", "Q3"])
+
+
+def _props_json(spark, sf):
+    pa = Tables(spark, sf).part
+    dup = F.when(md5_unit("p_partkey", "dup") < 0.3, F.lit(',{"label":"size","value":{"sval":"dup"}}')).otherwise("")
+    js = F.concat(F.lit('[{"label":"size","value":{"ival":'), F.col("p_size").cast("string"),
+                  F.lit('}},{"label":"price","value":{"fval":'), F.col("p_retailprice").cast("string"),
+                  F.lit('}},{"label":"brand","value":{"sval":"'), F.col("p_brand"), F.lit('"}}'), dup, F.lit("]"))
+    return pa.select("p_partkey", js.alias("js"))
+
+
+@register("props_to_fields", sql=f"""
+WITH j AS (SELECT p_partkey, '[{{"label":"size","value":{{"ival":' || p_size::VARCHAR || '}}}},{{"label":"price","value":{{"fval":' ||
+                  p_retailprice::VARCHAR || '}}}},{{"label":"brand","value":{{"sval":"' || p_brand || '"}}}}' ||
+                  CASE WHEN {_u('p_partkey', 'dup')} < 0.3 THEN ',{{"label":"size","value":{{"sval":"dup"}}}}' ELSE '' END || ']' AS js
+           FROM part),
+e AS (SELECT p_partkey, unnest(json_transform(js, '[{{"label":"VARCHAR","value":{{"sval":"VARCHAR","fval":"DOUBLE","ival":"BIGINT"}}}}]')) AS p,
+             generate_subscripts(json_transform(js, '[{{"label":"VARCHAR","value":{{"sval":"VARCHAR","fval":"DOUBLE","ival":"BIGINT"}}}}]'), 1) AS i
+      FROM j),
+v AS (SELECT p_partkey, i, p.label AS label, coalesce(p.value.sval, p.value.fval::VARCHAR, p.value.ival::VARCHAR) AS value FROM e)
+SELECT p_partkey, arg_min(value, i) FILTER (WHERE label = 'size') AS size,
+       arg_min(value, i) FILTER (WHERE label = 'price') AS price, arg_min(value, i) FILTER (WHERE label = 'brand') AS brand
+FROM v GROUP BY p_partkey
+""")
+def props_to_fields(spark, sf):
+    return T.props_to_fields(_props_json(spark, sf), "p_partkey", "js", ["size", "price", "brand"])

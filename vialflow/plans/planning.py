@@ -357,3 +357,61 @@ SELECT doc_id, quality, (quality = 1 AND {_u('doc_id', 17)} < 0.6)::INTEGER AS s
 """)
 def reveal_positives(spark, sf):
     return P.reveal_positives(Tables(spark, sf).labels.select("doc_id", "quality"), "doc_id", "quality", 0.6, 17)
+
+
+@register("compare_strategies", sql="""
+WITH r AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS step FROM events)
+SELECT event_type, b.budget, max(CASE WHEN step <= b.budget THEN value END) AS best
+FROM r, (VALUES (10), (100), (1000)) b(budget) GROUP BY event_type, b.budget
+""")
+def compare_strategies(spark, sf):
+    ev = Tables(spark, sf).events.select("event_id", "ts", "event_type", "value")
+    return P.compare_strategies(ev, "event_type", ["ts", "event_id"], "value", [10, 100, 1000],
+                                block=F.to_date("ts"))
+
+
+@register("hv_trace", sql="""
+WITH p AS (SELECT year(l_shipdate) AS fr, l_quantity / 50.0 AS x, 1.0 - l_discount * 5.0 AS y FROM lineitem),
+b AS (SELECT fr, x, max(y) AS y FROM p GROUP BY fr, x),
+r AS (SELECT DISTINCT fr AS round FROM p),
+per AS (SELECT round, x, max(y) AS y FROM b JOIN r ON r.round >= b.fr GROUP BY round, x),
+s AS (SELECT round, greatest(0.0, x - coalesce(lead(x) OVER w, 0.0)) *
+                    greatest(0.0, max(y) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS a
+      FROM per WINDOW w AS (PARTITION BY round ORDER BY x DESC))
+SELECT round, round(sum(a), 6) AS hypervolume FROM s GROUP BY round
+""")
+def hv_trace(spark, sf):
+    li = Tables(spark, sf).lineitem.select(F.year("l_shipdate").alias("round"), (F.col("l_quantity") / 50.0).alias("x"),
+                                           (F.lit(1.0) - F.col("l_discount") * 5.0).alias("y"))
+    h = P.hv_trace(li, "x", "y", "round")
+    return h.select("round", rnd("hypervolume").alias("hypervolume"))
+
+
+def _transitions(spark, sf):
+    from vialflow.operators.window import running
+    ev = Tables(spark, sf).events.select("event_id", "ts", "user_id", "event_type", "value")
+    r = running(ev.withColumn("_one", F.lit(1)), ["ts", "event_id"], {"_i": ("count", "_one")}, ["user_id"],
+                block=F.to_date("ts"))
+    nxt = r.select("user_id", (F.col("_i") - 1).alias("_i"), F.col("event_type").alias("s2"))
+    return r.join(nxt, ["user_id", "_i"], "left").select(
+        F.col("event_type").alias("s"), F.when(F.col("value") > 100, "high").otherwise("low").alias("a"),
+        (F.col("value") / 500.0).alias("r"), "s2")
+
+
+@register("q_iterate", sql="""
+WITH t AS (SELECT event_type AS s, CASE WHEN value > 100 THEN 'high' ELSE 'low' END AS a, value / 500.0 AS r,
+                  lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s2 FROM events),
+q0 AS (SELECT DISTINCT s, a, 0.0 AS q FROM t),
+v0 AS (SELECT s AS s2, max(q) AS v FROM q0 GROUP BY s),
+d0 AS (SELECT t.s, t.a, avg(t.r + 0.9 * coalesce(v0.v, 0.0) - q0.q) AS d FROM t LEFT JOIN v0 USING (s2)
+       JOIN q0 ON q0.s = t.s AND q0.a = t.a GROUP BY t.s, t.a),
+q1 AS (SELECT q0.s, q0.a, q0.q + 0.5 * coalesce(d0.d, 0.0) AS q FROM q0 LEFT JOIN d0 USING (s, a)),
+v1 AS (SELECT s AS s2, max(q) AS v FROM q1 GROUP BY s),
+d1 AS (SELECT t.s, t.a, avg(t.r + 0.9 * coalesce(v1.v, 0.0) - q1.q) AS d FROM t LEFT JOIN v1 USING (s2)
+       JOIN q1 ON q1.s = t.s AND q1.a = t.a GROUP BY t.s, t.a),
+q2 AS (SELECT q1.s, q1.a, q1.q + 0.5 * coalesce(d1.d, 0.0) AS q FROM q1 LEFT JOIN d1 USING (s, a))
+SELECT s, a, round(q, 6) AS q FROM q2
+""")
+def q_iterate(spark, sf):
+    q = P.q_iterate(_transitions(spark, sf), 0.9, 0.5, 2)
+    return q.select("s", "a", rnd("q").alias("q"))
