@@ -21,16 +21,22 @@ def _key_string(key: Column | str) -> Column:
     return c.cast("string")
 
 
+def _hex_unit(hexstr: Column, slot: int) -> Column:
+    """Uniform in [0, 1) from hex digits 8*slot+1 .. 8*slot+8 of an md5."""
+    return F.conv(F.substring(hexstr, 8 * slot + 1, 8), 16, 10).cast("double") / F.lit(TWO_32)
+
+
 def md5_unit(key: Column | str, seed) -> Column:
     """Uniform draw in [0, 1) from md5(key:seed)."""
     s = F.concat(_key_string(key), F.lit(":"), F.lit(str(seed)))
-    return F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("double") / F.lit(TWO_32)
+    return _hex_unit(F.md5(s), 0)
 
 
 def hash_normal(key: Column | str, seed) -> Column:
-    """Standard normal draw by Box-Muller from two hash uniforms."""
-    u1 = md5_unit(key, f"{seed}:a")
-    u2 = md5_unit(key, f"{seed}:b")
+    """Standard normal draw by Box-Muller from two uniforms taken from one
+    md5(key:seed) (hex digits 1-8 and 9-16)."""
+    h = F.md5(F.concat(_key_string(key), F.lit(":"), F.lit(str(seed))))
+    u1, u2 = _hex_unit(h, 0), _hex_unit(h, 1)
     return F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u1)) * F.cos(F.lit(2 * math.pi) * u2)
 
 

@@ -50,9 +50,11 @@ def chars(text: Column | str) -> Column:
 
 def char_vocab(df: DataFrame, col: str) -> DataFrame:
     """Distinct characters with ids from 2 (0 = pad, 1 = unknown), in
-    character order. The distinct set is built with a partial aggregate; the
-    final numbering runs over the (small) alphabet only."""
-    ch = df.select(F.explode(chars(col)).alias("char")).distinct()
+    character order. Each text is first reduced to its own distinct
+    characters (compiled ``array_distinct``), then a partial aggregate builds
+    the alphabet; the final numbering runs over the (small) alphabet only."""
+    ch = (df.select(F.explode(F.array_distinct(F.split(F.col(col), ""))).alias("char"))
+          .where(F.col("char") != "").distinct())
     w = Window.orderBy("char")
     return ch.select("char", (F.row_number().over(w) + F.lit(N_RESERVED - 1)).cast("int").alias("id"))
 

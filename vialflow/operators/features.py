@@ -154,6 +154,22 @@ def shingles(norm_col: str, n: int = 3) -> Column:
                        lambda i: F.substr(t, i, F.lit(n)))
 
 
+# Per-Python-worker cache of n-gram -> md5 prefix (workers are reused across
+# tasks). Bounded: cleared when it grows past _CACHE_MAX entries.
+_GRAM_CACHE: dict = {}
+_CACHE_MAX = 2_000_000
+
+
+def _gram_hash(g: str) -> int:
+    h = _GRAM_CACHE.get(g)
+    if h is None:
+        if len(_GRAM_CACHE) >= _CACHE_MAX:
+            _GRAM_CACHE.clear()
+        h = int(hashlib.md5(g.encode("utf-8")).hexdigest()[:8], 16)
+        _GRAM_CACHE[g] = h
+    return h
+
+
 def _bits_udf(n_bits: int, n: int):
     @F.pandas_udf("array<int>")
     def bits(texts: pd.Series) -> pd.Series:
@@ -162,9 +178,8 @@ def _bits_udf(n_bits: int, n: int):
             if t is None:
                 out.append(None)
                 continue
-            seen = {int(hashlib.md5(t[i:i + n].encode("utf-8")).hexdigest()[:8], 16) % n_bits
-                    for i in range(len(t) - n + 1)}
-            out.append(np.array(sorted(seen), dtype=np.int32))
+            grams = {t[i:i + n] for i in range(len(t) - n + 1)}  # each distinct n-gram once
+            out.append(np.array(sorted({_gram_hash(g) % n_bits for g in grams}), dtype=np.int32))
         return pd.Series(out)
 
     return bits

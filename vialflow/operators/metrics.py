@@ -131,8 +131,8 @@ def roc(df: DataFrame, y: str, score: str, blocks: int = 32, digits: int = 6) ->
     """ROC points (one per distinct score, thresholds descending): rows with
     score >= threshold are predicted positive."""
     c = _score_counts(df, y, score)
-    P = df.agg(F.sum(F.when(F.col(y) == 1, 1).otherwise(0))).scalar()
-    N = df.agg(F.sum(F.when(F.col(y) == 1, 0).otherwise(1))).scalar()
+    P = c.agg(F.sum("pos")).scalar()
+    N = c.agg(F.sum("neg")).scalar()
     r = running(c, [F.col("s").desc()], {"_tp": ("sum", "pos"), "_fp": ("sum", "neg")}, (),
                 block=value_blocks(c, "s", blocks, descending=True))
     return r.select(F.col("s").alias("threshold"), rnd(_safe_div(F.col("_tp"), P), digits).alias("tpr"),
@@ -154,7 +154,7 @@ def auc(df: DataFrame, y: str, score: str, blocks: int = 32, digits: int = 6) ->
 def pr_curve(df: DataFrame, y: str, score: str, blocks: int = 32, digits: int = 6) -> DataFrame:
     """Precision/recall per distinct score threshold (descending)."""
     c = _score_counts(df, y, score)
-    P = df.agg(F.sum(F.when(F.col(y) == 1, 1).otherwise(0))).scalar()
+    P = c.agg(F.sum("pos")).scalar()
     r = running(c, [F.col("s").desc()], {"_tp": ("sum", "pos"), "_fp": ("sum", "neg")}, (),
                 block=value_blocks(c, "s", blocks, descending=True))
     return r.select(F.col("s").alias("threshold"),
@@ -166,7 +166,7 @@ def pr_curve(df: DataFrame, y: str, score: str, blocks: int = 32, digits: int =
 def average_precision(df: DataFrame, y: str, score: str, digits: int = 6) -> DataFrame:
     """AP = sum over thresholds of (R_n - R_{n-1}) * P_n = sum pos(s)/P * P(s)."""
     pr = pr_curve(df, y, score, digits=12)
-    P = df.agg(F.sum(F.when(F.col(y) == 1, 1).otherwise(0))).scalar()
+    P = pr.agg(F.sum("pos")).scalar()
     return pr.agg(rnd(F.sum(_safe_div(F.col("pos"), P) * F.col("precision")), digits).alias("average_precision"))
 
 

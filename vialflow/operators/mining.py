@@ -38,7 +38,10 @@ def screen(df: DataFrame, text: str, rules: Sequence[tuple[str, str, str]] = DEF
     cues -> Y; else N. rationale: the first matching cue in rule order of
     exclusion, strong, weak ('no cue' when none)."""
     t = F.col(text)
-    hits = {name: t.rlike(pat) for _k, name, pat in rules}
+    # each cue is evaluated once per text (its own column), then combined
+    hit_cols = {name: f"_hit_{i}" for i, (_k, name, _p) in enumerate(rules)}
+    d = df.select("*", *[t.rlike(pat).alias(hit_cols[name]) for _k, name, pat in rules])
+    hits = {name: F.col(c) for name, c in hit_cols.items()}
     excl = [n for k, n, _p in rules if k == "exclusion"]
     strong = [n for k, n, _p in rules if k == "strong"]
     weak = [n for k, n, _p in rules if k == "weak"]
@@ -57,7 +60,7 @@ def screen(df: DataFrame, text: str, rules: Sequence[tuple[str, str, str]] = DEF
     for n in excl + strong + weak:
         rationale = F.when(hits[n], F.lit(n)) if rationale is None else rationale.when(hits[n], F.lit(n))
     rationale = rationale.otherwise(F.lit("no cue"))
-    return df.select("*", label.alias("label"), rationale.alias("rationale"), n_weak.alias("n_weak"))
+    return d.select(*df.columns, label.alias("label"), rationale.alias("rationale"), n_weak.alias("n_weak"))
 
 
 def screen_simple(df: DataFrame, text: str, pattern: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegressio
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark import StorageLevel
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,6 +30,17 @@ def assemble(df: DataFrame, feats: Sequence[str], out: str = "features") -> Data
     return VectorAssembler(inputCols=list(feats), outputCol=out, handleInvalid="skip").transform(df)
 
 
+def _fit(estimator, train: DataFrame, feats: Sequence[str], label: str):
+    """Fit on the assembled training set, persisted (memory and disk) for the
+    duration of the fit: iterative optimisers pass over it many times and
+    must not recompute upstream features on every pass."""
+    data = assemble(train, feats).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator.fit(data)
+    finally:
+        data.unpersist()
+
+
 def linreg(train: DataFrame, feats: Sequence[str], y: str, kind: str = "ols", alpha: float = 0.0):
     """Linear model: 'ols', 'ridge' or 'lasso' with scikit-learn's objective."""
     n = train.count()
@@ -43,7 +55,7 @@ def linreg(train: DataFrame, feats: Sequence[str], y: str, kind: str = "ols", al
                               elasticNetParam=1.0, maxIter=200, tol=1e-9)
     else:
         raise ValueError(kind)
-    return lr.fit(assemble(train, feats))
+    return _fit(lr, train, feats, y)
 
 
 def coefficients(model, feats: Sequence[str]) -> DataFrame:
@@ -58,7 +70,7 @@ def logreg(train: DataFrame, feats: Sequence[str], y: str, C: float = 1.0):
     n = train.count()
     lr = LogisticRegression(featuresCol="features", labelCol=y, regParam=1.0 / (C * n),
                             standardization=False, maxIter=200, tol=1e-8)
-    return lr.fit(assemble(train, feats))
+    return _fit(lr, train, feats, y)
 
 
 def score(model, df: DataFrame, feats: Sequence[str], keep: Sequence[str]) -> DataFrame:
@@ -87,7 +99,7 @@ def tree(train: DataFrame, feats: Sequence[str], y: str, depth: int, min_leaf: i
     else:
         m = DecisionTreeClassifier(featuresCol="features", labelCol=y, maxDepth=depth,
                                    minInstancesPerNode=min_leaf, impurity=impurity, seed=seed)
-    return m.fit(assemble(train, feats))
+    return _fit(m, train, feats, y)
 
 
 def importances(model, feats: Sequence[str]) -> DataFrame:

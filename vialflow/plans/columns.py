@@ -20,8 +20,10 @@ def _u(key_sql: str, seed) -> str:
 
 
 def _normal_sql(key_sql: str, seed) -> str:
-    return (f"(sqrt(-2.0 * ln(1.0 - {_u(key_sql, f'{seed}:a')})) * "
-            f"cos(2.0 * pi() * {_u(key_sql, f'{seed}:b')}))")
+    h = f"md5(concat(({key_sql})::VARCHAR, ':', '{seed}'))"
+    u1 = f"(('0x' || substr({h}, 1, 8))::UBIGINT / 4294967296.0)"
+    u2 = f"(('0x' || substr({h}, 9, 8))::UBIGINT / 4294967296.0)"
+    return f"(sqrt(-2.0 * ln(1.0 - {u1})) * cos(2.0 * pi() * {u2}))"
 
 
 # ------------------------------------------------------------- formulas
