@@ -120,7 +120,9 @@ def repair_text(df: DataFrame, id_col: str, text: str, min_docs: int = 3) -> Dat
 def chunk(df: DataFrame, id_col: str, text: str, size: int, overlap: int) -> DataFrame:
     """Word windows of ``size`` words, stride ``size - overlap``; every word
     of the whole text lands in at least one chunk."""
-    words = F.filter(F.split(F.col(text), r"\s+"), lambda w: w != "")
+    # split the whitespace-trimmed text (no empty tokens, no array lambda)
+    body = F.regexp_replace(F.col(text), r"^\s+|\s+$", "")
+    words = F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, r"\s+"))
     d = df.select(id_col, words.alias("_w"))
     stride = size - overlap
     n = F.size("_w")
