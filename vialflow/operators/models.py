@@ -223,3 +223,78 @@ def pick_prior(df: DataFrame, score: str) -> DataFrame:
     thr = df.agg(F.percentile(F.col(score), 1.0 - prior)).scalar()
     return df.where(F.col(score) >= thr)
 
+
+
+def gbt_regressor(train: DataFrame, feats: Sequence[str], y: str, iters: int = 30, depth: int = 3, seed: int = 0):
+    from pyspark.ml.regression import GBTRegressor
+    return _fit(GBTRegressor(featuresCol="features", labelCol=y, maxIter=iters, maxDepth=depth, seed=seed),
+                train, feats, y)
+
+
+def mlp_classifier(train: DataFrame, feats: Sequence[str], y: str, hidden: Sequence[int], seed: int = 0):
+    """MLP on standardised features (population std, fitted on train)."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    n_classes = int(train.agg(F.max(y)).first()[0]) + 1
+    layers = [len(feats), *hidden, n_classes]
+    return _fit(MultilayerPerceptronClassifier(featuresCol="features", labelCol=y, layers=layers, seed=seed,
+                                               maxIter=200), train, feats, y)
+
+
+def bisecting(df: DataFrame, vec: str, k: int, seed: int):
+    from pyspark.ml.clustering import BisectingKMeans
+    d = df.withColumn("features", array_to_vector(F.col(vec)))
+    return BisectingKMeans(k=k, seed=seed, featuresCol="features").fit(d), d
+
+
+def cv_table(df: DataFrame, feats: Sequence[str], y: str, fold: str, alphas: Sequence[float]) -> DataFrame:
+    """Cross-validated RMSE per ridge alpha: one fit per (alpha, fold) on the
+    other folds (each fit is a distributed job); mean and std per alpha."""
+    spark = df.sparkSession
+    folds = [r[0] for r in df.select(fold).distinct().orderBy(fold).collect()]  # k fold ids
+    rows = []
+    for a in alphas:
+        for f in folds:
+            m = linreg(df.where(F.col(fold) != f), feats, y, "ridge", a)
+            pred = m.transform(assemble(df.where(F.col(fold) == f), feats))
+            rmse = pred.agg(F.sqrt(F.avg((F.col("prediction") - F.col(y)) ** 2))).first()[0]
+            rows.append((float(a), int(f), float(rmse)))
+    t = spark.createDataFrame(rows, "alpha double, fold int, rmse double")
+    return t.groupBy("alpha").agg(F.avg("rmse").alias("cv_rmse"), F.stddev_pop("rmse").alias("cv_std"))
+
+
+def permutation_importance(model, df: DataFrame, feats: Sequence[str], y: str, id_col: str,
+                           repeats: int, seed: int) -> DataFrame:
+    """Accuracy drop when one feature's values are permuted across rows.
+    The permutation pairs the i-th row in id order with the i-th row in a
+    hash order (two distributed row numbers joined on the rank)."""
+    from vialflow.operators.window import row_index
+    spark = df.sparkSession
+
+    def acc(d):
+        return model.transform(assemble(d, feats)).agg(
+            F.avg((F.col("prediction") == F.col(y)).cast("double"))).first()[0]
+
+    base = acc(df)
+    a = row_index(df, [id_col], out="_r")
+    rows = []
+    for f in feats:
+        for r in range(repeats):
+            h = md5_unit(id_col, f"{seed}:{f}:{r}")
+            src = row_index(df.select(id_col, F.col(f).alias("_pv")).withColumn("_h", h), ["_h", id_col], out="_r")
+            perm = a.drop(f).join(src.select("_r", F.col("_pv").alias(f)), "_r")
+            rows.append((f, r, float(base - acc(perm))))
+    t = spark.createDataFrame(rows, "feature string, repeat int, drop double")
+    return t.groupBy("feature").agg(F.avg("drop").alias("importance"), F.stddev_pop("drop").alias("std"))
+
+
+def self_train(labelled: DataFrame, unlabelled: DataFrame, feats: Sequence[str], y: str,
+               hi: float = 0.70, lo: float = 0.30):
+    """Self-training: fit, pseudo-label unlabelled rows with p >= hi as 1 and
+    p <= lo as 0, append them and refit. Returns (model, n_pseudo)."""
+    m1 = logreg(labelled, feats, y)
+    scored = m1.transform(assemble(unlabelled, feats)).withColumn("_p", vector_to_array("probability")[1])
+    pseudo = scored.where((F.col("_p") >= hi) | (F.col("_p") <= lo)).select(
+        *[F.col(c) for c in feats], (F.col("_p") >= hi).cast("double").alias(y))
+    n_pseudo = pseudo.count()
+    m2 = logreg(labelled.select(*feats, y).unionByName(pseudo), feats, y)
+    return m2, n_pseudo

@@ -260,3 +260,73 @@ def score_batch(spark, sf):
     m = K.logreg(d.where("train"), _DOC_FEATS, "toxic")
     return K.score(m, d, _DOC_FEATS, ["doc_id"]).select("doc_id", "prediction", "p1", "features_used", "ok")
 
+
+
+@register("gbt_regressor")
+def gbt_regressor(spark, sf):
+    """Gradient-boosted trees on line features; test RMSE."""
+    d = _li_split(spark, sf)
+    feats = ["l_quantity", "l_discount", "l_tax"]
+    m = K.gbt_regressor(d.where("train"), feats, "l_extendedprice", iters=20, depth=3, seed=1)
+    p = m.transform(K.assemble(d.where(~F.col("train")), feats))
+    return p.agg(F.sqrt(F.avg((F.col("prediction") - F.col("l_extendedprice")) ** 2)).alias("test_rmse"),
+                 F.count(F.lit(1)).alias("n_test"))
+
+
+@register("mlp_classifier")
+def mlp_classifier(spark, sf):
+    """MLP (one hidden layer of 8) on standardised text features; accuracy."""
+    d = _doc_feats(spark, sf).withColumn("quality", F.col("quality").cast("double"))
+    sc = FE.fit_scaler(d.where("train"), _DOC_FEATS)
+    z = FE.apply_scaler(d, sc, _DOC_FEATS)
+    m = K.mlp_classifier(z.where("train"), _DOC_FEATS, "quality", [8], seed=3)
+    p = m.transform(K.assemble(z.where(~F.col("train")), _DOC_FEATS))
+    return p.agg(F.avg((F.col("prediction") == F.col("quality")).cast("double")).alias("accuracy"),
+                 F.count(F.lit(1)).alias("n_test"))
+
+
+@register("bisecting_clusters")
+def bisecting_clusters(spark, sf):
+    """Top-down hierarchical clustering (bisecting k-means) for k = 2..6:
+    within-cluster cost per k."""
+    em = Tables(spark, sf).embeddings
+    rows = []
+    for k in range(2, 7):
+        m, d = K.bisecting(em, "embedding", k, 1)
+        rows.append((k, float(m.summary.trainingCost)))
+    return spark.createDataFrame(rows, "k int, cost double")
+
+
+@register("cv_table")
+def cv_table(spark, sf):
+    """5-fold cross-validated RMSE of ridge over an alpha grid (folds from
+    hash ranks)."""
+    o = Tables(spark, sf).orders.select("o_orderkey", F.col("o_custkey").cast("double").alias("c"),
+                                        F.dayofyear("o_orderdate").cast("double").alias("doy"), "o_totalprice")
+    f = FE.kfold(o, "o_orderkey", 5, 11)
+    return K.cv_table(f, ["c", "doy"], "o_totalprice", "fold", [0.1, 10.0])
+
+
+@register("permutation_importance")
+def permutation_importance(spark, sf):
+    """Accuracy drop of the forest when each feature is permuted (2 repeats)."""
+    d = _doc_feats(spark, sf).withColumn("quality", F.col("quality").cast("double"))
+    m = K.tree(d.where("train"), _DOC_FEATS, "quality", 5, 1, forest=10, seed=7)
+    return K.permutation_importance(m, d.where(~F.col("train")).select("doc_id", *_DOC_FEATS, "quality"),
+                                    _DOC_FEATS, "quality", "doc_id", 2, 5)
+
+
+@register("self_training")
+def self_training(spark, sf):
+    """Self-training with pseudo-labels at p >= 0.70 / p <= 0.30: documents
+    without labels are the unlabelled pool; reports pseudo-label count and
+    test accuracy of the refit."""
+    t = Tables(spark, sf)
+    feats_all = t.documents.select("doc_id", *FE.text_features("text"))
+    lab = feats_all.join(t.labels, "doc_id").withColumn("toxic", F.col("toxic").cast("double"))
+    lab = lab.withColumn("train", md5_unit("doc_id", 5) < 0.75)
+    unl = feats_all.join(t.labels.select("doc_id"), "doc_id", "left_anti")
+    m, n_pseudo = K.self_train(lab.where("train"), unl, _DOC_FEATS, "toxic")
+    p = m.transform(K.assemble(lab.where(~F.col("train")), _DOC_FEATS))
+    return p.agg(F.avg((F.col("prediction") == F.col("toxic")).cast("double")).alias("accuracy"),
+                 F.lit(n_pseudo).alias("n_pseudo"))
