@@ -84,3 +84,22 @@ def test_tanimoto_prefix_filter_matches_brute_force(spark):
                 want[(a, b)] = j
     assert set(got) == set(want)
     assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_gp_interpolates_observations(spark):
+    from vialflow.operators.planning import gp_score
+    obs = spark.createDataFrame([(0.0, 0.1), (0.25, 0.4), (0.5, 0.9), (0.75, 0.3), (1.0, 0.2)], "x double, y double")
+    cand = obs.select(F.monotonically_increasing_id().alias("id"), "x")
+    got = gp_score(obs, cand, ["x"], "y", "id", noise=1e-8).join(cand, "id").orderBy("x").collect()
+    assert [round(r.mu, 4) for r in got] == [0.1, 0.4, 0.9, 0.3, 0.2]
+    assert all(r.sigma < 1e-3 for r in got)
+
+
+def test_pareto_demo_front(spark):
+    """14-point two-objective example: 5 points on the front."""
+    from vialflow.operators.planning import pareto_2d
+    pts = [(0.2, 0.9), (0.6, 0.6), (0.9, 0.2), (0.5, 0.8), (0.5, 0.5), (0.4, 0.7), (0.7, 0.3), (0.8, 0.4),
+           (0.3, 0.3), (0.2, 0.5), (0.6, 0.5), (0.4, 0.3), (0.3, 0.2), (0.3, 0.5)]
+    df = spark.createDataFrame(pts, "a double, b double")
+    front = sorted((r.a, r.b) for r in pareto_2d(df, "a", "b", blocks=4).where("on_front").collect())
+    assert front == [(0.2, 0.9), (0.5, 0.8), (0.6, 0.6), (0.8, 0.4), (0.9, 0.2)]

@@ -354,3 +354,89 @@ def q_iterate(transitions: DataFrame, gamma: float, alpha: float, rounds: int) -
                .groupBy("s", "a").agg(F.avg(F.col("r") + F.lit(gamma) * F.coalesce("v", F.lit(0.0)) - F.col("q")).alias("_d")))
         q = q.join(upd, ["s", "a"], "left").select("s", "a", (F.col("q") + F.lit(alpha) * F.coalesce("_d", F.lit(0.0))).alias("q"))
     return q
+
+
+# ------------------------------------------------------------------ GP
+def _matern52(a: np.ndarray, b: np.ndarray, length: float, signal: float) -> np.ndarray:
+    d = np.sqrt(np.maximum(((a[:, None, :] - b[None, :, :]) ** 2).sum(-1), 0.0)) / length
+    return signal * (1.0 + np.sqrt(5.0) * d + 5.0 * d * d / 3.0) * np.exp(-np.sqrt(5.0) * d)
+
+
+def gp_score(observed: DataFrame, candidates: DataFrame, feats: Sequence[str], y: str, id_col: str,
+             length: float = 0.5, signal: float = 1.0, noise: float = 1e-4, max_obs: int = 2000) -> DataFrame:
+    """Gaussian-process mean and sigma for every candidate (Matern 5/2 kernel,
+    fixed hyperparameters, features expected on [0, 1]).
+
+    The observed set of a planning loop is small; its size is counted and
+    must not exceed ``max_obs`` before it is brought to the driver for the
+    Cholesky factorisation. The factor and weights are broadcast and the
+    candidate table is scored in Arrow batches (``mapInPandas``).
+    """
+    n = observed.count()
+    if n == 0:
+        raise ValueError("no observed rows to fit")
+    if n > max_obs:
+        raise ValueError(f"{n} observations exceed the GP bound {max_obs}")
+    obs = observed.select(*feats, y).toPandas()
+    X = obs[list(feats)].to_numpy(dtype=float)
+    yv = obs[y].to_numpy(dtype=float)
+    mean_y = yv.mean()
+    K = _matern52(X, X, length, signal) + noise * np.eye(len(X))
+    L = np.linalg.cholesky(K)
+    alpha = np.linalg.solve(L.T, np.linalg.solve(L, yv - mean_y))
+    sc = candidates.sparkSession.sparkContext
+    b = sc.broadcast((X, L, alpha, mean_y))
+    feats = list(feats)
+    id_type = candidates.schema[id_col].dataType.simpleString()
+
+    def score(batches):
+        Xo, Lo, al, my = b.value
+        for pdf in batches:
+            Xc = pdf[feats].to_numpy(dtype=float)
+            ks = _matern52(Xo, Xc, length, signal)
+            mu = ks.T @ al + my
+            v = np.linalg.solve(Lo, ks)
+            var = np.maximum(signal - (v * v).sum(0), 0.0)
+            yield pd.DataFrame({id_col: pdf[id_col], "mu": mu, "sigma": np.sqrt(var)})
+
+    return candidates.select(id_col, *feats).mapInPandas(score, f"{id_col} {id_type}, mu double, sigma double")
+
+
+def suggest(space: DataFrame, id_col: str, feats: Sequence[str], objectives: Mapping[str, float], b: int,
+            seed, xi: float = 0.0) -> DataFrame:
+    """Next batch of ``b`` untested points (iteration == -1).
+
+    Without completed runs: the b smallest hash draws. Otherwise features are
+    min-max scaled on the space, one GP per objective is fitted on the
+    completed points, means and sigmas are scalarised with the weights, EI
+    against the best observed scalar picks the batch (EI desc, id asc). A
+    failing fit falls back to the hash draw.
+    """
+    from vialflow.operators.features import apply_minmax, fit_minmax
+    done = space.where(F.col("iteration") >= 0)
+    cand = space.where(F.col("iteration") == -1)
+    random_pick = (cand.withColumn("_u", md5_unit(id_col, seed)).orderBy("_u", id_col).limit(b)
+                   .select(id_col, F.lit("random").alias("method"), F.lit(None).cast("double").alias("ei")))
+    if done.isEmpty():
+        return random_pick
+    try:
+        mm = fit_minmax(space, feats)
+        sc = apply_minmax(space.select(id_col, *feats, *objectives, "iteration"), mm, feats)
+        preds = None
+        for obj in objectives:
+            obs = sc.where((F.col("iteration") >= 0) & F.col(obj).isNotNull())
+            g = gp_score(obs, sc.where(F.col("iteration") == -1), feats, obj, id_col).select(
+                id_col, F.col("mu").alias(f"mu_{obj}"), F.col("sigma").alias(f"sd_{obj}"))
+            preds = g if preds is None else preds.join(g, id_col)
+        s = preds.select(id_col, *scalarise(objectives, {o: f"mu_{o}" for o in objectives},
+                                            {o: f"sd_{o}" for o in objectives}))
+        best_expr = None
+        for o, w in objectives.items():
+            t = F.lit(float(w)) * F.col(o)
+            best_expr = t if best_expr is None else best_expr + t
+        best = done.agg(F.max(best_expr)).scalar()
+        e = s.withColumn("ei", acquire("mu_s", "sigma_s", "ei", best, xi=xi))
+        return (e.orderBy(F.col("ei").desc(), F.col(id_col).asc()).limit(b)
+                .select(id_col, F.lit("gp_ei").alias("method"), "ei"))
+    except (ValueError, np.linalg.LinAlgError):
+        return random_pick

@@ -22,10 +22,11 @@ SOURCE = {"quantity": "l_quantity", "discount": "l_discount", "tax": "l_tax"}
 NAMES = ["quantity", "discount", "tax"]
 
 
-def _spec(spark, sf):
+def _spec(spark, sf, steps=None):
+    steps = steps or STEPS
     li = Tables(spark, sf).lineitem
     parts = [li.agg(F.lit(n).alias("name"), F.min(SOURCE[n]).cast("double").alias("start"),
-                    F.max(SOURCE[n]).cast("double").alias("end"), F.lit(STEPS[n]).alias("step"))
+                    F.max(SOURCE[n]).cast("double").alias("end"), F.lit(steps[n]).alias("step"))
              for n in NAMES]
     out = parts[0]
     for p in parts[1:]:
@@ -33,8 +34,8 @@ def _spec(spark, sf):
     return out
 
 
-def _space(spark, sf):
-    return P.build_space(P.grid_levels(_spec(spark, sf)), NAMES, ["yield", "purity"])
+def _space(spark, sf, steps=None):
+    return P.build_space(P.grid_levels(_spec(spark, sf, steps)), NAMES, ["yield", "purity"])
 
 
 def _levels_sql(n):
@@ -71,8 +72,8 @@ _VARS = ["var_quantity", "var_discount", "var_tax"]
 _ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "obj_yield", "obj_purity"]
 
 
-def _merged(spark, sf):
-    return P.merge_runs(_space(spark, sf), _runs_grid(spark, sf), _VARS, ["obj_yield", "obj_purity"],
+def _merged(spark, sf, steps=None):
+    return P.merge_runs(_space(spark, sf, steps), _runs_grid(spark, sf), _VARS, ["obj_yield", "obj_purity"],
                         _ORDER, "batch")
 
 
@@ -415,3 +416,34 @@ SELECT s, a, round(q, 6) AS q FROM q2
 def q_iterate(spark, sf):
     q = P.q_iterate(_transitions(spark, sf), 0.9, 0.5, 2)
     return q.select("s", "a", rnd("q").alias("q"))
+
+
+# A finer grid for the GP jobs: half of its quantity levels fall between
+# observed values, so the loop has untested candidates.
+GP_STEPS = {"quantity": 3.5, "discount": 0.02, "tax": 0.04}
+
+
+def _space_with_id(spark, sf):
+    m, _ = _merged(spark, sf, GP_STEPS)
+    pid = F.concat_ws("|", *[F.col(v).cast("string") for v in _VARS])
+    return m.withColumn("point_id", pid)
+
+
+@register("gp_score")
+def gp_score(spark, sf):
+    """GP mean/sigma of the yield objective for every untested grid point,
+    fitted on the completed points (features min-max scaled)."""
+    from vialflow.operators.features import apply_minmax, fit_minmax
+    sp = _space_with_id(spark, sf)
+    mm = fit_minmax(sp, _VARS)
+    sc = apply_minmax(sp, mm, _VARS)
+    return P.gp_score(sc.where((F.col("iteration") >= 0) & F.col("obj_yield").isNotNull()),
+                      sc.where(F.col("iteration") == -1), _VARS, "obj_yield", "point_id")
+
+
+@register("suggest_batch")
+def suggest_batch(spark, sf):
+    """Next batch of 5 grid points by GP expected improvement over the
+    weighted objectives (random hash picks when nothing is completed)."""
+    sp = _space_with_id(spark, sf)
+    return P.suggest(sp, "point_id", _VARS, {"obj_yield": 0.7, "obj_purity": 0.3}, 5, 42)
