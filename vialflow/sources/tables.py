@@ -12,10 +12,26 @@ TABLES = ("region nation customer supplier part orders lineitem events "
           "documents embeddings pages benchmark labels conversations").split()
 
 
+# Tables whose rows carry whole texts: per-row work on them (regexes, n-gram
+# hashing, tokenising) dominates, so their scans must use every core.
+TEXT_TABLES = {"documents", "pages", "conversations"}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Scan-parallelism guard: when a scan yields fewer partitions than the
+    cluster's default parallelism (e.g. one large row group), redistribute
+    round-robin. On a cluster reading many files it is a no-op."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 class Tables:
