@@ -103,3 +103,19 @@ def test_pareto_demo_front(spark):
     df = spark.createDataFrame(pts, "a double, b double")
     front = sorted((r.a, r.b) for r in pareto_2d(df, "a", "b", blocks=4).where("on_front").collect())
     assert front == [(0.2, 0.9), (0.5, 0.8), (0.6, 0.6), (0.8, 0.4), (0.9, 0.2)]
+
+
+def test_same_answer_at_any_partition_count(spark):
+    """Results do not depend on the shuffle partition count."""
+    import __spark_entry__ as E
+    sf = "/root/testdata/sf0.001"
+    names = ["general_condition", "sort_rank", "assign_wells", "split_stratified", "pareto_front", "roc_curve"]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        results = []
+        for n in ("1", "4", "32"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            results.append({q: sorted(map(tuple, E.queries()[q](spark, sf).collect())) for q in names})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert results[0] == results[1] == results[2]
