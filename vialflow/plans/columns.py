@@ -555,3 +555,57 @@ FROM v GROUP BY p_partkey
 """)
 def props_to_fields(spark, sf):
     return T.props_to_fields(_props_json(spark, sf), "p_partkey", "js", ["size", "price", "brand"])
+
+
+def _peaks(v):
+    """Three peaks from a vector's first nine components."""
+    e = lambda j: F.col(v)[j].cast("double")
+    return [(F.lit(500.0 + 500.0 * j) + F.lit(200.0) * e(j), F.lit(20.0) + F.lit(10.0) * F.abs(e(3 + j)),
+             F.lit(0.5) + F.abs(e(6 + j))) for j in range(3)]
+
+
+def _peaks_sql_at(x):
+    terms = []
+    for j in range(3):
+        mu = f"(500.0 + 500.0 * {j} + 200.0 * embedding[{j + 1}]::DOUBLE)"
+        sig = f"(20.0 + 10.0 * abs(embedding[{4 + j}]::DOUBLE))"
+        amp = f"(0.5 + abs(embedding[{7 + j}]::DOUBLE))"
+        terms.append(f"{amp} * exp(-0.5 * (({x} - {mu}) / {sig}) * (({x} - {mu}) / {sig}))")
+    return "(0.0 + " + " + ".join(terms) + ")"
+
+
+_X_SQL = "(400.0 + i * (1400.0 / 599))"
+
+
+@register("spectrum_base", sql=f"""
+SELECT vec_id, list_transform(range(600), lambda i: round({_peaks_sql_at(_X_SQL)}, 6)) AS spectrum FROM embeddings
+""")
+def spectrum_base(spark, sf):
+    from vialflow.functions import spectra as SP
+    em = Tables(spark, sf).embeddings
+    return em.select("vec_id", F.transform(SP.spectrum(_peaks("embedding")), lambda x: F.round(x, 6)).alias("spectrum"))
+
+
+def _n_sql(key):
+    h = f"md5({key})"
+    return (f"(sqrt(-2.0 * ln(1.0 - (('0x' || substr({h}, 1, 8))::UBIGINT / 4294967296.0))) * "
+            f"cos(2.0 * pi() * (('0x' || substr({h}, 9, 8))::UBIGINT / 4294967296.0)))")
+
+
+@register("spectrum_views", sql=f"""
+WITH s AS (SELECT vec_id, vec_id::VARCHAR || ':3' AS k,
+                  list_transform(range(600), lambda i: {_peaks_sql_at(_X_SQL)}) AS spec FROM embeddings),
+a AS (SELECT vec_id, list_transform(range(600), lambda i:
+        (spec[i + 1] + {_n_sql("k || ':slope'")} * 0.0004 * (i - 299.5) + {_n_sql("k || ':' || i::VARCHAR")} * 0.02)
+        * (1.0 + {_n_sql("k || ':scale'")} * 0.03)) AS aug FROM s),
+b AS (SELECT vec_id, aug, list_min(aug) AS lo, list_max(aug) AS hi FROM a)
+SELECT vec_id, CASE WHEN hi - lo < 1e-9 THEN list_transform(aug, lambda v: round(v, 6))
+                    ELSE list_transform(aug, lambda v: round((v - lo) / (hi - lo), 6)) END AS view
+FROM b
+""")
+def spectrum_views(spark, sf):
+    from vialflow.functions import spectra as SP
+    em = Tables(spark, sf).embeddings
+    base = em.select("vec_id", SP.spectrum(_peaks("embedding")).alias("_s"))
+    aug = base.select("vec_id", SP.augment(F.col("_s"), F.col("vec_id"), 3).alias("_a"))
+    return aug.select("vec_id", F.transform(SP.minmax("_a"), lambda x: F.round(x, 6)).alias("view"))
