@@ -240,3 +240,65 @@ def props_to_fields(df: DataFrame, id_col: str, text: str, labels: Sequence[str]
     long = e.select(id_col, "_i", F.col("_p.label").alias("label"), v.alias("value"))
     wide = long.groupBy(id_col).pivot("label", list(labels)).agg(F.min_by("value", "_i"))
     return df.select(id_col).join(wide, id_col, "left").select(id_col, *[F.col(c) for c in labels])
+
+
+def _section_ddl(depth: int) -> str:
+    info = "Information:array<struct<Value:struct<StringWithMarkup:array<struct<String:string>>>>>"
+    if depth == 1:
+        return f"struct<TOCHeading:string,Title:string,{info}>"
+    return f"struct<TOCHeading:string,Title:string,{info},Section:array<{_section_ddl(depth - 1)}>>"
+
+
+RECORD_DEPTH = 3
+
+
+def _own_lines(sec: Column) -> Column:
+    """Non-empty trimmed strings of one section's Information, in order."""
+    strings = F.flatten(F.transform(F.coalesce(sec["Information"], F.array()),
+                                    lambda i: F.transform(F.coalesce(i["Value"]["StringWithMarkup"], F.array()),
+                                                          lambda s: F.trim(s["String"]))))
+    return F.filter(strings, lambda t: t.isNotNull() & (t != ""))
+
+
+def _title(sec: Column) -> Column:
+    return F.coalesce(F.when(sec["TOCHeading"] != "", sec["TOCHeading"]), sec["Title"], F.lit(""))
+
+
+def find_sections(df: DataFrame, id_col: str, text: str, keyword: str, max_lines: int = 12) -> DataFrame:
+    """Sections of a nested record (up to three levels of ``Section``) whose
+    title contains ``keyword`` (case-insensitive), with their path
+    (' > A > B') and the first ``max_lines`` strings of the section and its
+    subsections in document order."""
+    rec = F.from_json(F.col(text), f"struct<Record:struct<Section:array<{_section_ddl(RECORD_DEPTH)}>>>",
+                      {"mode": "PERMISSIVE"})
+    d = df.select(id_col, rec["Record"]["Section"].alias("_s1"))
+    l1 = d.select(id_col, F.posexplode(F.coalesce("_s1", F.array())).alias("_i1", "s"))
+    l1 = l1.select(id_col, F.array("_i1").alias("_ord"), F.concat(F.lit(" > "), _title(F.col("s"))).alias("path"), "s",
+                   F.lit(1).alias("level"))
+    l2 = l1.select(id_col, "_ord", "path", F.posexplode(F.coalesce(F.col("s")["Section"], F.array())).alias("_i", "c"))
+    l2 = l2.select(id_col, F.concat("_ord", F.array("_i")).alias("_ord"),
+                   F.concat("path", F.lit(" > "), _title(F.col("c"))).alias("path"), F.col("c").alias("s"),
+                   F.lit(2).alias("level"))
+    l3 = l2.select(id_col, "_ord", "path", F.posexplode(F.coalesce(F.col("s")["Section"], F.array())).alias("_i", "c"))
+    l3 = l3.select(id_col, F.concat("_ord", F.array("_i")).alias("_ord"),
+                   F.concat("path", F.lit(" > "), _title(F.col("c"))).alias("path"), F.col("c").alias("s"),
+                   F.lit(3).alias("level"))
+
+    def lines(s, level):
+        own = _own_lines(s)
+        if level >= RECORD_DEPTH:
+            return own
+        kids = F.coalesce(s["Section"], F.array())
+        if level == RECORD_DEPTH - 1:
+            return F.concat(own, F.flatten(F.transform(kids, lambda k: _own_lines(k))))
+        return F.concat(own, F.flatten(F.transform(kids, lambda k: F.concat(
+            _own_lines(k), F.flatten(F.transform(F.coalesce(k["Section"], F.array()), lambda g: _own_lines(g)))))))
+
+    out = None
+    for lv, part in ((1, l1), (2, l2), (3, l3)):
+        hit = part.where(F.lower(_title(F.col("s"))).contains(keyword.lower()))
+        sel = hit.select(id_col, F.array_join(F.transform("_ord", lambda x: x.cast("string")), ".").alias("order"),
+                         _title(F.col("s")).alias("title"), "path",
+                         F.array_join(F.slice(lines(F.col("s"), lv), 1, max_lines), "\n").alias("text"))
+        out = sel if out is None else out.unionByName(sel)
+    return out

@@ -609,3 +609,35 @@ def spectrum_views(spark, sf):
     base = em.select("vec_id", SP.spectrum(_peaks("embedding")).alias("_s"))
     aug = base.select("vec_id", SP.augment(F.col("_s"), F.col("vec_id"), 3).alias("_a"))
     return aug.select("vec_id", F.transform(SP.minmax("_a"), lambda x: F.round(x, 6)).alias("view"))
+
+
+def _records(spark, sf):
+    """One nested record per region: a region section with one subsection per
+    nation, each nation with a 'Suppliers' subsection (strings from the
+    tables)."""
+    t = Tables(spark, sf)
+    sup = t.supplier.groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(
+        F.count(F.lit(1)).alias("n_sup"), F.max("s_name").alias("top_sup"))
+    nat = t.nation.join(sup, "n_nationkey", "left")
+    info = lambda c: F.array(F.struct(F.struct(F.array(F.struct(c.alias("String"))).alias("StringWithMarkup"))
+                                      .alias("Value")))
+    nsec = F.struct(F.col("n_name").alias("TOCHeading"),
+                    info(F.concat(F.col("n_name"), F.lit(" nation"))).alias("Information"),
+                    F.array(F.struct(F.lit("Suppliers").alias("TOCHeading"),
+                                     info(F.concat(F.lit("suppliers: "), F.coalesce(F.col("n_sup"), F.lit(0)).cast("string"),
+                                                   F.lit(", top "), F.coalesce(F.col("top_sup"), F.lit("none")))).alias("Information")))
+                    .alias("Section"))
+    per_region = nat.groupBy(F.col("n_regionkey").alias("r_regionkey")).agg(
+        F.array_sort(F.collect_list(F.struct("n_nationkey", nsec.alias("sec")))).alias("_n"))
+    reg = t.region.join(per_region, "r_regionkey", "left")
+    rsec = F.struct(F.concat(F.lit("Region "), F.col("r_name")).alias("TOCHeading"),
+                    info(F.concat(F.lit("key "), F.col("r_regionkey").cast("string"))).alias("Information"),
+                    F.transform(F.coalesce("_n", F.array()), lambda x: x["sec"]).alias("Section"))
+    return reg.select("r_regionkey", F.to_json(F.struct(F.struct(F.array(rsec).alias("Section")).alias("Record"))).alias("js"))
+
+
+@register("find_sections")
+def find_sections(spark, sf):
+    """Sections whose title contains 'nation_1' in per-region nested records,
+    with path and up to 12 text lines (nested-record walk at fixed depth)."""
+    return T.find_sections(_records(spark, sf), "r_regionkey", "js", "nation_1", 12)
