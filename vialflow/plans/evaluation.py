@@ -303,7 +303,7 @@ t AS (SELECT sum(pos) AS P FROM c),
 r AS (SELECT s, pos, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM c
       WINDOW w AS (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 SELECT s AS threshold, round(CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END, 6) AS precision,
-       round(CASE WHEN P = 0 THEN 0 ELSE tp / P END, 6) AS recall, pos FROM r, t
+       round(CASE WHEN P = 0 THEN 0 ELSE tp / P END, 6) AS recall, pos::BIGINT AS pos FROM r, t
 """)
 def pr_curve(spark, sf):
     return M.pr_curve(scored_docs(spark, sf), "y", "score")

@@ -118,7 +118,7 @@ def infer_batch(spark, sf):
 
 
 @register("explode_udtf", sql="""
-SELECT p_partkey, step, p_name || '#' || step::VARCHAR AS component, round(p_retailprice / ((p_size % 4) + 1), 6) AS volume
+SELECT p_partkey, step::INTEGER AS step, p_name || '#' || step::VARCHAR AS component, round(p_retailprice / ((p_size % 4) + 1), 6) AS volume
 FROM part, LATERAL (SELECT unnest(range(0, (p_size % 4) + 1)) AS step)
 """)
 def explode_udtf(spark, sf):

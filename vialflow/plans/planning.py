@@ -333,7 +333,7 @@ def stock_consumption(spark, sf):
 
 
 @register("schedule_estimate", sql=f"""
-SELECT count(*) AS n_actions, count(*) * 12.5 AS seconds, count(*) * 12.5 > 3600.0 AS split FROM {_WL_SQL}
+SELECT count(*) AS n_actions, (count(*) * 12.5)::DOUBLE AS seconds, count(*) * 12.5 > 3600.0 AS split FROM {_WL_SQL}
 """)
 def schedule_estimate(spark, sf):
     return P.schedule_estimate(_worklist(spark, sf), 12.5, 3600.0)
@@ -372,7 +372,7 @@ def compare_strategies(spark, sf):
 
 
 @register("hv_trace", sql="""
-WITH p AS (SELECT year(l_shipdate) AS fr, l_quantity / 50.0 AS x, 1.0 - l_discount * 5.0 AS y FROM lineitem),
+WITH p AS (SELECT year(l_shipdate)::INTEGER AS fr, l_quantity / 50.0 AS x, 1.0 - l_discount * 5.0 AS y FROM lineitem),
 b AS (SELECT fr, x, max(y) AS y FROM p GROUP BY fr, x),
 r AS (SELECT DISTINCT fr AS round FROM p),
 per AS (SELECT round, x, max(y) AS y FROM b JOIN r ON r.round >= b.fr GROUP BY round, x),
