@@ -298,3 +298,41 @@ def self_train(labelled: DataFrame, unlabelled: DataFrame, feats: Sequence[str],
     n_pseudo = pseudo.count()
     m2 = logreg(labelled.select(*feats, y).unionByName(pseudo), feats, y)
     return m2, n_pseudo
+
+
+def poisson1(u: "F.Column") -> "F.Column":
+    """Poisson(1) draw from a uniform by the inverse CDF (k <= 7 covers
+    all but 1e-5 of the mass; larger draws are capped at 8)."""
+    import math as _m
+    cdf, expr, acc = 0.0, None, None
+    for k in range(8):
+        cdf += _m.exp(-1.0) / _m.factorial(k)
+        cond = u < F.lit(cdf)
+        expr = F.when(cond, F.lit(k)) if expr is None else expr.when(cond, F.lit(k))
+    return expr.otherwise(F.lit(8))
+
+
+def oob_score(df: DataFrame, feats: Sequence[str], y: str, id_col: str, n_trees: int, depth: int,
+              seed: int) -> DataFrame:
+    """Out-of-bag accuracy of a bagged tree ensemble: tree t sees each row
+    with a Poisson(1) weight from a hash of (id, t); rows with weight 0 are
+    out of bag for t. Each row's OOB prediction is the majority vote (lower
+    class on ties) of the trees that did not see it."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+    votes = None
+    for t in range(n_trees):
+        w = poisson1(md5_unit(id_col, f"{seed}:{t}")).cast("double")
+        d = df.withColumn("_w", w)
+        m = DecisionTreeClassifier(featuresCol="features", labelCol=y, weightCol="_w", maxDepth=depth, seed=seed + t)
+        data = assemble(d.where(F.col("_w") > 0), feats).select("features", y, "_w").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            model = m.fit(data)
+        finally:
+            data.unpersist()
+        oob = model.transform(assemble(d.where(F.col("_w") == 0), feats)).select(id_col, F.col("prediction").alias("vote"))
+        votes = oob if votes is None else votes.unionByName(oob)
+    counts = votes.groupBy(id_col, "vote").agg(F.count(F.lit(1)).alias("_n"))
+    pred = counts.groupBy(id_col).agg(F.min_by("vote", F.struct(-F.col("_n"), F.col("vote"))).alias("oob_pred"))
+    j = pred.join(df.select(id_col, y), id_col)
+    return j.agg(F.avg((F.col("oob_pred") == F.col(y)).cast("double")).alias("oob_accuracy"),
+                 F.count(F.lit(1)).alias("n_scored"))

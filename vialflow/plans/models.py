@@ -330,3 +330,10 @@ def self_training(spark, sf):
     p = m.transform(K.assemble(lab.where(~F.col("train")), _DOC_FEATS))
     return p.agg(F.avg((F.col("prediction") == F.col("toxic")).cast("double")).alias("accuracy"),
                  F.lit(n_pseudo).alias("n_pseudo"))
+
+
+@register("oob_score")
+def oob_score(spark, sf):
+    """Out-of-bag accuracy of 8 Poisson-bagged depth-4 trees on text features."""
+    d = _doc_feats(spark, sf).withColumn("quality", F.col("quality").cast("double"))
+    return K.oob_score(d.select("doc_id", *_DOC_FEATS, "quality"), _DOC_FEATS, "quality", "doc_id", 8, 4, 21)
