@@ -274,3 +274,12 @@ SELECT x, y, min(d) AS d FROM bfs GROUP BY x, y
 def shortest_path(spark, sf):
     d = G.grid_shortest_path(_grid(spark, sf), (0, 0), 200)  # stops when the frontier is empty
     return d.select("x", "y", F.col("d").cast("int").alias("d"))
+
+
+@register("pick_examples")
+def pick_examples(spark, sf):
+    """Four few-shot examples per benchmark question from the labelled
+    documents, covering both toxicity classes first."""
+    t = Tables(spark, sf)
+    pool = t.documents.select("doc_id", "text").join(t.labels.select("doc_id", "toxic"), "doc_id")
+    return L.pick_examples(t.benchmark, "item_id", "text", pool, "doc_id", "text", "toxic", 4)
