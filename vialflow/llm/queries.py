@@ -1,4 +1,4 @@
 """All queries and SQL of this package; importing it registers them."""
 
-from vialflow.llm import quality  # noqa: F401
+from vialflow.llm import idstore, mixing, packing, quality, topk  # noqa: F401
 from vialflow.llm.common import ORACLE, QUERIES  # noqa: F401
