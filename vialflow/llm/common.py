@@ -18,6 +18,8 @@ GAP_CLASS = r"\x20\x09-\x0D"
 WORD = f"[^{GAP_CLASS}]+"
 GAP = f"[{GAP_CLASS}]+"
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Stands for a NULL document id wherever ids are ordered: before all others.
 NULL_ID = -(1 << 63)
 
@@ -55,11 +57,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` to the shared folder and read it back.
 
     A lost executor then costs a re-read, never a recomputation of the steps
-    before, and values such as row numbers stay what they were.
+    before, and values such as row numbers stay what they were. Shuffle files
+    of the finished write are dropped at once, as nothing reads them again.
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
