@@ -1,4 +1,4 @@
 """All queries and SQL of this package; importing it registers them."""
 
-from vialflow.llm import factors, idstore, mixing, packing, quality, suffixes, topk  # noqa: F401
+from vialflow.llm import factors, idstore, mixing, ngrams, packing, quality, suffixes, topk  # noqa: F401
 from vialflow.llm.common import ORACLE, QUERIES  # noqa: F401
