@@ -1,4 +1,5 @@
 """All queries and SQL of this package; importing it registers them."""
 
-from vialflow.llm import factors, idstore, mixing, neardup, ngrams, packing, quality, suffixes, topk  # noqa: F401
+from vialflow.llm import (  # noqa: F401
+    factors, idstore, mixing, neardup, ngrams, packing, quality, suffixes, toolcalls, topk)
 from vialflow.llm.common import ORACLE, QUERIES  # noqa: F401
