@@ -50,9 +50,11 @@ _TAIL = 4000
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals")
 
 
-def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the measures of each whole text; a map-only step.
+def measure(docs: DataFrame, text_col: str = "text", keep_text: bool = True) -> DataFrame:
+    """``docs`` with the measures of each whole text, written and read back.
 
+    One map-only pass; written so that neither calibration nor a filter on
+    the measures repeats it. ``keep_text=False`` leaves the text out.
     Repeated 3-word windows are found by sorting the window hashes (64 bit) of
     one document and comparing neighbours, so the work is n log n in its words.
     """
@@ -82,7 +84,8 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
     at = F.col("_q_at")
     covered = F.aggregate(F.transform(at, lambda p, i: F.coalesce(F.least(F.get(at, i + 1) - p, F.lit(3)), F.lit(3))),
                           F.lit(0), lambda a, x: a + x)
-    return d.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("_q_at")
+    d = d.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("_q_at")
+    return materialise(d if keep_text else d.drop(text_col), "quality-measures")
 
 
 def _score(rule: str) -> Column:
@@ -179,9 +182,11 @@ def judge(measured: DataFrame, cutoffs: DataFrame, stratum_col: str = "lang") ->
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their own columns only."""
-    cutoffs = materialise(calibrate(measure(docs), labels, stratum_col), "quality-cutoffs")
-    kept = judge(measure(docs), cutoffs, stratum_col).where("kept")
-    return kept.select(*docs.columns)
+    names = {c: f"_k{i}" for i, c in enumerate(docs.columns)
+             if c in (*MEASURES, "base_failed", "failed_rules", "kept")}
+    d = measure(docs.withColumns({new: F.col(c) for c, new in names.items()}))
+    kept = judge(d, calibrate(d, labels, stratum_col), stratum_col).where("kept")
+    return kept.select(*[F.col(names.get(c, c)).alias(c) for c in docs.columns])
 
 
 def _sql() -> str:
@@ -261,7 +266,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     prepare(spark)
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    measured = materialise(measure(docs).drop("text"), "quality-measures")
+    measured = measure(docs, keep_text=False)
     cutoffs = calibrate(measured, read(spark, sf_dir, "labels"))
     return judge(measured, cutoffs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
