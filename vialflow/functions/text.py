@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vialflow.session import ensure_checkpoint_dir
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -242,63 +244,59 @@ def props_to_fields(df: DataFrame, id_col: str, text: str, labels: Sequence[str]
     return df.select(id_col).join(wide, id_col, "left").select(id_col, *[F.col(c) for c in labels])
 
 
-def _section_ddl(depth: int) -> str:
-    info = "Information:array<struct<Value:struct<StringWithMarkup:array<struct<String:string>>>>>"
-    if depth == 1:
-        return f"struct<TOCHeading:string,Title:string,{info}>"
-    return f"struct<TOCHeading:string,Title:string,{info},Section:array<{_section_ddl(depth - 1)}>>"
-
-
-RECORD_DEPTH = 3
+def _parts(section: Column, path: str) -> Column:
+    """An array member of a VARIANT section, empty where it is absent."""
+    return F.coalesce(F.try_variant_get(section, path, "array<variant>"), F.array().cast("array<variant>"))
 
 
-def _own_lines(sec: Column) -> Column:
+def _own_lines(section: Column) -> Column:
     """Non-empty trimmed strings of one section's Information, in order."""
-    strings = F.flatten(F.transform(F.coalesce(sec["Information"], F.array()),
-                                    lambda i: F.transform(F.coalesce(i["Value"]["StringWithMarkup"], F.array()),
-                                                          lambda s: F.trim(s["String"]))))
+    strings = F.flatten(F.transform(_parts(section, "$.Information"), lambda i: F.transform(
+        _parts(i, "$.Value.StringWithMarkup"), lambda x: F.trim(F.try_variant_get(x, "$.String", "string")))))
     return F.filter(strings, lambda t: t.isNotNull() & (t != ""))
 
 
-def _title(sec: Column) -> Column:
-    return F.coalesce(F.when(sec["TOCHeading"] != "", sec["TOCHeading"]), sec["Title"], F.lit(""))
+def _title(section: Column) -> Column:
+    heading = F.try_variant_get(section, "$.TOCHeading", "string")
+    return F.coalesce(F.when(heading != "", heading), F.try_variant_get(section, "$.Title", "string"), F.lit(""))
 
 
 def find_sections(df: DataFrame, id_col: str, text: str, keyword: str, max_lines: int = 12) -> DataFrame:
-    """Sections of a nested record (up to three levels of ``Section``) whose
-    title contains ``keyword`` (case-insensitive), with their path
-    (' > A > B') and the first ``max_lines`` strings of the section and its
-    subsections in document order."""
-    rec = F.from_json(F.col(text), f"struct<Record:struct<Section:array<{_section_ddl(RECORD_DEPTH)}>>>",
-                      {"mode": "PERMISSIVE"})
-    d = df.select(id_col, rec["Record"]["Section"].alias("_s1"))
-    l1 = d.select(id_col, F.posexplode(F.coalesce("_s1", F.array())).alias("_i1", "s"))
-    l1 = l1.select(id_col, F.array("_i1").alias("_ord"), F.concat(F.lit(" > "), _title(F.col("s"))).alias("path"), "s",
-                   F.lit(1).alias("level"))
-    l2 = l1.select(id_col, "_ord", "path", F.posexplode(F.coalesce(F.col("s")["Section"], F.array())).alias("_i", "c"))
-    l2 = l2.select(id_col, F.concat("_ord", F.array("_i")).alias("_ord"),
-                   F.concat("path", F.lit(" > "), _title(F.col("c"))).alias("path"), F.col("c").alias("s"),
-                   F.lit(2).alias("level"))
-    l3 = l2.select(id_col, "_ord", "path", F.posexplode(F.coalesce(F.col("s")["Section"], F.array())).alias("_i", "c"))
-    l3 = l3.select(id_col, F.concat("_ord", F.array("_i")).alias("_ord"),
-                   F.concat("path", F.lit(" > "), _title(F.col("c"))).alias("path"), F.col("c").alias("s"),
-                   F.lit(3).alias("level"))
-
-    def lines(s, level):
-        own = _own_lines(s)
-        if level >= RECORD_DEPTH:
-            return own
-        kids = F.coalesce(s["Section"], F.array())
-        if level == RECORD_DEPTH - 1:
-            return F.concat(own, F.flatten(F.transform(kids, lambda k: _own_lines(k))))
-        return F.concat(own, F.flatten(F.transform(kids, lambda k: F.concat(
-            _own_lines(k), F.flatten(F.transform(F.coalesce(k["Section"], F.array()), lambda g: _own_lines(g)))))))
-
-    out = None
-    for lv, part in ((1, l1), (2, l2), (3, l3)):
-        hit = part.where(F.lower(_title(F.col("s"))).contains(keyword.lower()))
-        sel = hit.select(id_col, F.array_join(F.transform("_ord", lambda x: x.cast("string")), ".").alias("order"),
-                         _title(F.col("s")).alias("title"), "path",
-                         F.array_join(F.slice(lines(F.col("s"), lv), 1, max_lines), "\n").alias("text"))
-        out = sel if out is None else out.unionByName(sel)
-    return out
+    """Sections of nested records, at any depth, whose title contains
+    ``keyword`` (case-insensitive): ``order``, ``title``, ``path``
+    (' > A > B'), the first ``max_lines`` strings of the section and its
+    subsections in document order, and ``n_lines``, how many there are.
+
+    The tree is unrolled one level per round, all records at once, until no
+    section has children; a hit then gathers the lines of the sections whose
+    place starts with its own. A record that is no JSON has no sections.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+
+    def nodes(parents, sections, place, path):
+        d = parents.select(id_col, place.alias("_up"), path.alias("_path"), F.posexplode(sections).alias("_i", "_s"))
+        return d.select(id_col, F.concat("_up", F.array("_i")).alias("_place"),
+                        F.concat("_path", F.lit(" > "), _title(F.col("_s"))).alias("path"), "_s").checkpoint()
+
+    top = df.select(id_col, F.try_parse_json(F.col(text)).alias("_v"))
+    level = nodes(top, _parts(F.col("_v"), "$.Record.Section"), F.array().cast("array<int>"), F.lit(""))
+    found = []
+    while not level.isEmpty():
+        found.append(level.select(id_col, "_place", "path", _title(F.col("_s")).alias("title"),
+                                  _own_lines(F.col("_s")).alias("_lines")))
+        level = nodes(level, _parts(F.col("_s"), "$.Section"), F.col("_place"), F.col("path"))
+    if not found:
+        found.append(level.select(id_col, "_place", "path", F.lit("").alias("title"), F.array().cast("array<string>").alias("_lines")))
+    every = found[0]
+    for f in found[1:]:
+        every = every.unionByName(f)
+    hits = every.where(F.lower("title").contains(keyword.lower())).select(id_col, "_place", "path", "title")
+    parts = every.select(id_col, F.explode(F.transform(F.sequence(F.lit(1), F.size("_place")),
+                                                       lambda k: F.slice("_place", 1, k))).alias("_hit"), "_place", "_lines")
+    text_of = hits.join(parts.withColumnRenamed("_place", "_at"),
+                        (hits[id_col] == parts[id_col]) & (F.col("_place") == F.col("_hit"))).groupBy(
+        hits[id_col], "_place", "path", "title").agg(
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_lines"))), lambda x: x["_lines"])).alias("_all"))
+    return text_of.select(id_col, F.array_join(F.transform("_place", lambda x: x.cast("string")), ".").alias("order"),
+                          "title", "path", F.array_join(F.slice("_all", 1, max_lines), "\n").alias("text"),
+                          F.size("_all").alias("n_lines"))

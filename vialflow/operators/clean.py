@@ -142,6 +142,6 @@ def validate_grid(spec: DataFrame, name: str = "name", start: str = "start", end
     ratio = F.try_divide(F.col(end) - F.col(start), F.col(step))
     bad_step = F.col(step).isNull() | (F.col(step) <= 0)
     not_div = F.abs(ratio - F.round(ratio, 0)) > F.lit(1e-9)
-    reason = (F.when(bad_step, F.lit("non-positive interval"))
-              .when(not_div, F.lit("span not divisible by interval")))
+    reason = (F.when(bad_step, F.lit("step must be above zero"))
+              .when(not_div, F.lit("steps do not reach the end exactly")))
     return spec.select("*", reason.isNull().alias("ok"), reason.alias("reason"))

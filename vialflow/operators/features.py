@@ -3,7 +3,7 @@
 Splits and folds come from a hash of (id, seed), so they are repeatable at
 any partition count and after task retries (``randomSplit`` is not). Exact
 per-class quotas need ranks inside a class; those ranks are distributed
-running counts over hash-value blocks (``window.running``), so a class that
+running counts over ranges of the hash order (``window.running``), so a class that
 holds most rows is still ranked by many tasks.
 """
 
@@ -18,9 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vialflow.functions.hashing import md5_unit
-from vialflow.operators.window import running
-
-HASH_BLOCKS = 64
+from vialflow.operators.window import RANGE, running
 
 
 def split(df: DataFrame, id_col: str, frac: float, seed, out: str = "split") -> DataFrame:
@@ -32,7 +30,7 @@ def _rank_in_class(df: DataFrame, id_col: str, y: str | None, seed) -> DataFrame
     u = md5_unit(id_col, seed)
     d = df.withColumn("_u", u).withColumn("_one", F.lit(1))
     by = [y] if y else []
-    r = running(d, ["_u", id_col], {"_rank": ("count", "_one")}, by, block=F.floor(F.col("_u") * HASH_BLOCKS))
+    r = running(d, ["_u", id_col], {"_rank": ("count", "_one")}, by, block=RANGE)
     return r.drop("_one")
 
 

@@ -29,15 +29,16 @@ def degree(directed: DataFrame) -> DataFrame:
 def aggregate_neighbours(nodes: DataFrame, edges: DataFrame, how: str = "mean", weight: str | None = None,
                          inverse: bool = False) -> DataFrame:
     """For every destination node: mean or sum of its in-neighbours' ``x``,
-    optionally weighted by the edge weight (or its inverse)."""
+    optionally weighted by the edge weight (or its inverse, weights below
+    1e-6 read as that). A weighted mean divides by the number of in-edges."""
     j = edges.join(nodes.select(F.col("node_id").alias("src"), "x"), "src")
     w = F.lit(1.0)
     if weight:
-        w = (F.lit(1.0) / F.col(weight)) if inverse else F.col(weight)
+        w = (F.lit(1.0) / F.greatest(F.col(weight), F.lit(1e-6))) if inverse else F.col(weight)
     if how == "sum":
         a = F.sum(F.col("x") * w)
     elif how == "mean":
-        a = F.sum(F.col("x") * w) / F.sum(w)
+        a = F.avg(F.col("x") * w)
     else:
         raise ValueError(how)
     return j.groupBy(F.col("dst").alias("node_id")).agg(a.alias("agg"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from vialflow.functions.stats import rnd
 from vialflow.functions.vectors import as_double
-from vialflow.operators.window import running, value_blocks
+from vialflow.operators.window import RANGE, running
 
 
 def _c(x) -> Column:
@@ -127,36 +127,36 @@ def _score_counts(df: DataFrame, y: str, score: str) -> DataFrame:
         F.sum(F.when(F.col(y) == 1, 0).otherwise(1)).alias("neg"))
 
 
-def roc(df: DataFrame, y: str, score: str, blocks: int = 32, digits: int = 6) -> DataFrame:
+def roc(df: DataFrame, y: str, score: str, digits: int = 6) -> DataFrame:
     """ROC points (one per distinct score, thresholds descending): rows with
     score >= threshold are predicted positive."""
     c = _score_counts(df, y, score)
     P = c.agg(F.sum("pos")).scalar()
     N = c.agg(F.sum("neg")).scalar()
     r = running(c, [F.col("s").desc()], {"_tp": ("sum", "pos"), "_fp": ("sum", "neg")}, (),
-                block=value_blocks(c, "s", blocks, descending=True))
+                block=RANGE)
     return r.select(F.col("s").alias("threshold"), rnd(_safe_div(F.col("_tp"), P), digits).alias("tpr"),
                     rnd(_safe_div(F.col("_fp"), N), digits).alias("fpr"))
 
 
-def auc(df: DataFrame, y: str, score: str, blocks: int = 32, digits: int = 6) -> DataFrame:
+def auc(df: DataFrame, y: str, score: str, digits: int = 6) -> DataFrame:
     """ROC AUC with tied scores counted half (Mann-Whitney form, equal to the
     trapezoid under the ROC curve): sum over scores of
     pos(s) * (negatives below s + neg(s) / 2) / (P * N)."""
     c = _score_counts(df, y, score)
-    r = running(c, ["s"], {"_neg_le": ("sum", "neg")}, (), block=value_blocks(c, "s", blocks))
+    r = running(c, ["s"], {"_neg_le": ("sum", "neg")}, (), block=RANGE)
     term = F.col("pos") * (F.col("_neg_le") - F.col("neg") + F.col("neg") / 2.0)
     out = r.agg(F.sum(term).alias("_u"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     return out.select(rnd(_safe_div(F.col("_u"), F.col("_p") * F.col("_n")), digits).alias("auc"),
                       F.col("_p").cast("bigint").alias("n_pos"), F.col("_n").cast("bigint").alias("n_neg"))
 
 
-def pr_curve(df: DataFrame, y: str, score: str, blocks: int = 32, digits: int = 6) -> DataFrame:
+def pr_curve(df: DataFrame, y: str, score: str, digits: int = 6) -> DataFrame:
     """Precision/recall per distinct score threshold (descending)."""
     c = _score_counts(df, y, score)
     P = c.agg(F.sum("pos")).scalar()
     r = running(c, [F.col("s").desc()], {"_tp": ("sum", "pos"), "_fp": ("sum", "neg")}, (),
-                block=value_blocks(c, "s", blocks, descending=True))
+                block=RANGE)
     return r.select(F.col("s").alias("threshold"),
                     rnd(_safe_div(F.col("_tp"), F.col("_tp") + F.col("_fp")), digits).alias("precision"),
                     rnd(_safe_div(F.col("_tp"), P), digits).alias("recall"),

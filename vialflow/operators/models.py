@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vialflow.functions.hashing import md5_unit
-from vialflow.operators.window import running, value_blocks
+from vialflow.operators.window import RANGE, running
 
 
 def assemble(df: DataFrame, feats: Sequence[str], out: str = "features") -> DataFrame:
@@ -108,7 +108,7 @@ def importances(model, feats: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([(f, float(v)) for f, v in zip(feats, imp)], "feature string, importance double")
 
 
-def best_split(df: DataFrame, x: str, y: str, blocks: int = 32) -> DataFrame:
+def best_split(df: DataFrame, x: str, y: str) -> DataFrame:
     """Exact best threshold for one feature by Gini decrease (rows with
     x <= t go left); smallest threshold on ties.
 
@@ -119,7 +119,7 @@ def best_split(df: DataFrame, x: str, y: str, blocks: int = 32) -> DataFrame:
     c = df.where(F.col(x).isNotNull()).groupBy(F.col(x).cast("double").alias("t")).agg(
         F.sum(F.col(y)).alias("pos"), F.count(F.lit(1)).alias("cnt"))
     tot = c.agg(F.sum("pos").alias("P"), F.sum("cnt").alias("N"))
-    r = running(c, ["t"], {"lp": ("sum", "pos"), "ln": ("sum", "cnt")}, (), block=value_blocks(c, "t", blocks))
+    r = running(c, ["t"], {"lp": ("sum", "pos"), "ln": ("sum", "cnt")}, (), block=RANGE)
     j = r.crossJoin(F.broadcast(tot))  # one row
 
     def gini(p, n):

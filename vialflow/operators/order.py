@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vialflow.operators.window import row_index
+from vialflow.operators.window import RANGE, row_index
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def sort(df: DataFrame, keys: Sequence, block: Column | None = None, rank_col: str = "rank") -> DataFrame:
+def sort(df: DataFrame, keys: Sequence, block: Column | str = RANGE, rank_col: str = "rank") -> DataFrame:
     """Multi-key sort with mixed directions plus a 1-based ``rank`` column so
     the order survives an order-insensitive comparison. The rank is a
     distributed running count (see ``window.running``)."""

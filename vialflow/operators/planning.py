@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from vialflow.functions.hashing import md5_unit
 from vialflow.functions.stats import norm_cdf, norm_pdf, rnd
-from vialflow.operators.window import running, value_blocks
+from vialflow.operators.window import RANGE, running
 
 LEVEL_DIGITS = 10
 
@@ -116,13 +116,12 @@ def acquire(mu: Column | str, sigma: Column | str, kind: str, best: Column | flo
         return mu
     if kind == "ucb":
         return mu + F.lit(kappa) * sigma
-    imp = mu - b - F.lit(xi)
-    z = F.when(sigma > 0, imp / sigma).otherwise(F.lit(0.0))
+    # standard scores; certain candidates (sigma <= 0) have nothing to gain
+    score = (mu - F.lit(xi) - b) / F.when(sigma > 0, sigma)
     if kind == "pi":
-        return F.when(sigma > 0, norm_cdf(z)).otherwise(F.lit(0.0))
+        return F.coalesce(norm_cdf(score), F.lit(0.0))
     if kind == "ei":
-        ei = imp * norm_cdf(z) + sigma * norm_pdf(z)
-        return F.when(sigma <= 0, F.lit(0.0)).otherwise(F.greatest(ei, F.lit(0.0)))
+        return F.coalesce(F.greatest(sigma * (score * norm_cdf(score) + norm_pdf(score)), F.lit(0.0)), F.lit(0.0))
     raise ValueError(kind)
 
 
@@ -134,14 +133,14 @@ def ensemble_mu_sigma(preds: DataFrame, key: str, pred: str, eps: float = 1e-6)
 
 
 # ------------------------------------------------------------------ Pareto
-def pareto_2d(df: DataFrame, x: str, y: str, blocks: int = 32, out: str = "on_front") -> DataFrame:
+def pareto_2d(df: DataFrame, x: str, y: str, out: str = "on_front") -> DataFrame:
     """Non-dominated mask for two maximised objectives (ties do not dominate:
     equal points all stay). A point p is dominated iff some q has
     q.x > p.x and q.y >= p.y, or q.x == p.x and q.y > p.y."""
     per_x = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(x).agg(F.max(y).alias("_v"))
     # best y among strictly larger x: exclusive running max over distinct x
     strict = running(per_x, [F.col(x).desc()], {"_strict": ("max", "_v")}, (),
-                     block=value_blocks(per_x, x, blocks, descending=True), exclusive=True)
+                     block=RANGE, exclusive=True)
     j = df.join(strict, x, "left")
     dominated = ((F.col("_strict").isNotNull() & (F.col("_strict") >= F.col(y))) | (F.col("_v") > F.col(y)))
     keep = F.when(F.col(x).isNull() | F.col(y).isNull(), F.lit(False)).otherwise(~dominated)
@@ -149,15 +148,15 @@ def pareto_2d(df: DataFrame, x: str, y: str, blocks: int = 32, out: str = "on_fr
 
 
 def hypervolume_2d(front: DataFrame, x: str, y: str, ref: tuple[float, float] = (0.0, 0.0)) -> DataFrame:
-    """Area dominated by a maximised 2-D front above ``ref``: sort by x
-    descending, envelope of y, widths to the next smaller x (ref x last).
-    The front is the already-reduced set, so one ordered window is fine."""
-    w = Window.orderBy(F.col(x).desc(), F.col(y).desc())
-    env = F.max(y).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    nxt = F.coalesce(F.lead(x).over(w), F.lit(float(ref[0])))
-    d = front.select(F.col(x).alias("_x"), env.alias("_env"), nxt.alias("_nx"))
-    area = F.greatest(F.lit(0.0), F.col("_x") - F.col("_nx")) * F.greatest(F.lit(0.0), F.col("_env") - F.lit(float(ref[1])))
-    return d.agg(F.coalesce(F.sum(area), F.lit(0.0)).alias("hypervolume"))
+    """Area dominated by maximised 2-D points above ``ref``: walking x from
+    high to low, each x adds its width times what its best y gains over all
+    larger x. Points that are dominated or repeat add nothing, and the walk is
+    a running maximum over ranges, so any number of points will do."""
+    per_x = front.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(x).alias("_x")).agg(F.max(y).alias("_v"))
+    walk = running(per_x, [F.col("_x").desc()], {"_before": ("max", "_v")}, (), block=RANGE, exclusive=True)
+    floor = F.greatest(F.coalesce("_before", F.lit(float(ref[1]))), F.lit(float(ref[1])))
+    area = F.greatest(F.col("_x") - F.lit(float(ref[0])), F.lit(0.0)) * (F.greatest(F.col("_v"), floor) - floor)
+    return walk.agg(F.coalesce(F.sum(area), F.lit(0.0)).alias("hypervolume"))
 
 
 def simplex_weights(df: DataFrame, key: str, m: int, seed) -> DataFrame:
@@ -237,6 +236,26 @@ def thompson_draw(state: DataFrame, entity: str, arm: str, seed: int) -> DataFra
 
 
 # ------------------------------------------------------------------ plates
+#: Products of list lengths stop growing here; more reactions cannot be numbered.
+MANY = 1 << 62
+
+
+def _product(numbers: Column) -> Column:
+    """Exact product of a few counts as a long, at most ``MANY``."""
+    many = F.lit(MANY)
+    return F.aggregate(numbers, F.lit(1).cast("long"), lambda a, n: F.when(a > F.floor(many / n), many).otherwise(a * n))
+
+
+def worklist_coverage(stocks: DataFrame, category: str, stock: str, categories: Sequence[str], capacity: int) -> DataFrame:
+    """What a worklist of ``capacity`` reactions leaves out: one row with the
+    number of possible reactions, those scheduled and those left out."""
+    n = (stocks.where(F.col(category).isin(list(categories))).groupBy(category)
+         .agg(F.count(F.lit(1)).alias("_n")))
+    total = n.agg(_product(F.collect_list("_n")).alias("possible"))
+    return total.select("possible", F.least("possible", F.lit(capacity).cast("long")).alias("scheduled"),
+                        F.greatest(F.col("possible") - capacity, F.lit(0).cast("long")).alias("left_out"))
+
+
 def worklist(stocks: DataFrame, category: str, stock: str, volume: str, categories: Sequence[str],
              capacity: int, plate_size: int = 96) -> DataFrame:
     """One transfer row per (reaction, category).
@@ -245,7 +264,7 @@ def worklist(stocks: DataFrame, category: str, stock: str, volume: str, categori
     lexicographic order of the categories' stock lists, truncated to
     ``capacity``. Reaction k picks, for category i, stock number
     ``(k // prod(n_j, j > i)) mod n_i`` - decoded per row, the product is
-    never built. Each reaction gets a well (row-major, plates of
+    never built; ``worklist_coverage`` says what the capacity leaves out. Each reaction gets a well (row-major, plates of
     ``plate_size``).
     """
     st = stocks.select(F.col(category).alias("category"), F.col(stock).alias("stock"), F.col(volume).alias("volume"))
@@ -255,14 +274,13 @@ def worklist(stocks: DataFrame, category: str, stock: str, volume: str, categori
     counts = counts.withColumn("_ci", F.try_element_at(order, F.col("category"))).where(F.col("_ci").isNotNull())
     # radix of category i = product of the counts of categories after it
     wr = Window.orderBy(F.col("_ci").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    radix = counts.withColumn("_radix", F.coalesce(F.exp(F.sum(F.log(F.col("_n").cast("double"))).over(wr)), F.lit(1.0)))
-    radix = radix.withColumn("_radix", F.round("_radix").cast("bigint"))
-    total = counts.agg(F.round(F.exp(F.sum(F.log(F.col("_n").cast("double"))))).cast("bigint")).scalar()
+    radix = counts.withColumn("_radix", _product(F.collect_list("_n").over(wr)))
+    total = counts.agg(_product(F.collect_list("_n"))).scalar()
     n_react = F.least(total, F.lit(capacity).cast("bigint"))
     spark = stocks.sparkSession
     reactions = spark.range(capacity).where(F.col("id") < n_react).withColumnRenamed("id", "reaction")
     rx = reactions.crossJoin(F.broadcast(radix.select("category", "_ci", "_n", "_radix")))  # x categories (a few)
-    rx = rx.withColumn("_j", ((F.col("reaction") / F.col("_radix")).cast("bigint") % F.col("_n")).cast("int"))
+    rx = rx.withColumn("_j", (F.expr("reaction div _radix") % F.col("_n")).cast("int"))
     t = rx.join(st, ["category", "_j"])
     within = F.col("reaction") % plate_size
     letter = F.chr(F.lit(65) + (within / 12).cast("int"))
@@ -380,24 +398,25 @@ def gp_score(observed: DataFrame, candidates: DataFrame, feats: Sequence[str], y
     obs = observed.select(*feats, y).toPandas()
     X = obs[list(feats)].to_numpy(dtype=float)
     yv = obs[y].to_numpy(dtype=float)
-    mean_y = yv.mean()
+    # the kernel has unit variance, so the objective is brought to unit scale
+    mean_y, scale_y = yv.mean(), yv.std() or 1.0
     K = _matern52(X, X, length, signal) + noise * np.eye(len(X))
     L = np.linalg.cholesky(K)
-    alpha = np.linalg.solve(L.T, np.linalg.solve(L, yv - mean_y))
+    alpha = np.linalg.solve(L.T, np.linalg.solve(L, (yv - mean_y) / scale_y))
     sc = candidates.sparkSession.sparkContext
-    b = sc.broadcast((X, L, alpha, mean_y))
+    b = sc.broadcast((X, L, alpha, mean_y, scale_y))
     feats = list(feats)
     id_type = candidates.schema[id_col].dataType.simpleString()
 
     def score(batches):
-        Xo, Lo, al, my = b.value
+        Xo, Lo, al, my, sy = b.value
         for pdf in batches:
             Xc = pdf[feats].to_numpy(dtype=float)
             ks = _matern52(Xo, Xc, length, signal)
-            mu = ks.T @ al + my
+            mu = ks.T @ al * sy + my
             v = np.linalg.solve(Lo, ks)
             var = np.maximum(signal - (v * v).sum(0), 0.0)
-            yield pd.DataFrame({id_col: pdf[id_col], "mu": mu, "sigma": np.sqrt(var)})
+            yield pd.DataFrame({id_col: pdf[id_col], "mu": mu, "sigma": np.sqrt(var) * sy})
 
     return candidates.select(id_col, *feats).mapInPandas(score, f"{id_col} {id_type}, mu double, sigma double")
 
@@ -410,7 +429,7 @@ def suggest(space: DataFrame, id_col: str, feats: Sequence[str], objectives: Map
     min-max scaled on the space, one GP per objective is fitted on the
     completed points, means and sigmas are scalarised with the weights, EI
     against the best observed scalar picks the batch (EI desc, id asc). A
-    failing fit falls back to the hash draw.
+    failing fit, or more observations than ``gp_score`` takes, is an error.
     """
     from vialflow.operators.features import apply_minmax, fit_minmax
     done = space.where(F.col("iteration") >= 0)
@@ -419,24 +438,21 @@ def suggest(space: DataFrame, id_col: str, feats: Sequence[str], objectives: Map
                    .select(id_col, F.lit("random").alias("method"), F.lit(None).cast("double").alias("ei")))
     if done.isEmpty():
         return random_pick
-    try:
-        mm = fit_minmax(space, feats)
-        sc = apply_minmax(space.select(id_col, *feats, *objectives, "iteration"), mm, feats)
-        preds = None
-        for obj in objectives:
-            obs = sc.where((F.col("iteration") >= 0) & F.col(obj).isNotNull())
-            g = gp_score(obs, sc.where(F.col("iteration") == -1), feats, obj, id_col).select(
-                id_col, F.col("mu").alias(f"mu_{obj}"), F.col("sigma").alias(f"sd_{obj}"))
-            preds = g if preds is None else preds.join(g, id_col)
-        s = preds.select(id_col, *scalarise(objectives, {o: f"mu_{o}" for o in objectives},
-                                            {o: f"sd_{o}" for o in objectives}))
-        best_expr = None
-        for o, w in objectives.items():
-            t = F.lit(float(w)) * F.col(o)
-            best_expr = t if best_expr is None else best_expr + t
-        best = done.agg(F.max(best_expr)).scalar()
-        e = s.withColumn("ei", acquire("mu_s", "sigma_s", "ei", best, xi=xi))
-        return (e.orderBy(F.col("ei").desc(), F.col(id_col).asc()).limit(b)
-                .select(id_col, F.lit("gp_ei").alias("method"), "ei"))
-    except (ValueError, np.linalg.LinAlgError):
-        return random_pick
+    mm = fit_minmax(space, feats)
+    sc = apply_minmax(space.select(id_col, *feats, *objectives, "iteration"), mm, feats)
+    preds = None
+    for obj in objectives:
+        obs = sc.where((F.col("iteration") >= 0) & F.col(obj).isNotNull())
+        g = gp_score(obs, sc.where(F.col("iteration") == -1), feats, obj, id_col).select(
+            id_col, F.col("mu").alias(f"mu_{obj}"), F.col("sigma").alias(f"sd_{obj}"))
+        preds = g if preds is None else preds.join(g, id_col)
+    s = preds.select(id_col, *scalarise(objectives, {o: f"mu_{o}" for o in objectives},
+                                        {o: f"sd_{o}" for o in objectives}))
+    best_expr = None
+    for o, w in objectives.items():
+        t = F.lit(float(w)) * F.col(o)
+        best_expr = t if best_expr is None else best_expr + t
+    best = done.agg(F.max(best_expr)).scalar()
+    e = s.withColumn("ei", acquire("mu_s", "sigma_s", "ei", best, xi=xi))
+    return (e.orderBy(F.col("ei").desc(), F.col(id_col).asc()).limit(b)
+            .select(id_col, F.lit("gp_ei").alias("method"), "ei"))

@@ -13,12 +13,13 @@ import json
 import time
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
+from vialflow.operators.window import RANGE, running
+
 
 def map_struct(col: Column | str, fn: Callable, ddl: str) -> Column:
     """Apply ``fn(value) -> dict`` to every value through a pandas UDF
@@ -123,60 +124,20 @@ class TransferRows:
             yield i, f"{name}#{i}", float(total) / n
 
 
-def _front_mask(xy: np.ndarray) -> np.ndarray:
-    """Non-dominated mask for maximised 2-D points (equal points all kept)."""
-    order = np.lexsort((-xy[:, 1], -xy[:, 0]))
-    keep = np.zeros(len(xy), dtype=bool)
-    best_y = -np.inf
-    i = 0
-    while i < len(order):
-        j = i
-        x = xy[order[i], 0]
-        while j < len(order) and xy[order[j], 0] == x:
-            j += 1
-        group = order[i:j]
-        gmax = xy[group, 1].max()
-        for g in group:
-            keep[g] = xy[g, 1] == gmax and xy[g, 1] > best_y
-        best_y = max(best_y, gmax)
-        i = j
-    return keep
-
-
 def front_agg(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
-    """Custom aggregate: Pareto front size and 2-D hypervolume (reference
-    point 0, 0) per group.
+    """Pareto front size and 2-D hypervolume (reference point 0, 0) per group,
+    for maximised x and y.
 
-    Stage 1 keeps each partition's local front per group (``mapInPandas``):
-    a point dominated inside a partition is dominated globally, so only
-    survivors are shuffled. Stage 2 merges the survivors per group - a group's
-    survivors are its local fronts, not its raw rows.
+    Points are counted per distinct value first. Walking x from high to low,
+    a point is on the front if its y beats all larger x, and it adds its width
+    times that gain to the area: one running maximum over ranges of the points.
     """
-    gtype = df.schema[group].dataType.simpleString()
-    schema = f"{group} {gtype}, {x} double, {y} double"
-
-    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # fold Arrow batches into the running local fronts: memory is one
-        # batch plus the survivors, never the whole partition
-        acc = None
-        for pdf in batches:
-            cur = pdf if acc is None else pd.concat([acc, pdf], ignore_index=True)
-            keep = []
-            for _g, part in cur.groupby(group, sort=False):
-                keep.append(part[_front_mask(part[[x, y]].to_numpy(dtype=float))])
-            acc = pd.concat(keep, ignore_index=True) if keep else cur.iloc[0:0]
-        if acc is not None and not acc.empty:
-            yield acc[[group, x, y]]
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        xy = pdf[[x, y]].to_numpy(dtype=float)
-        front = xy[_front_mask(xy)]
-        f = front[np.lexsort((-front[:, 1], -front[:, 0]))]
-        env = np.maximum.accumulate(f[:, 1])
-        xs = np.concatenate([f[:, 0], [0.0]])
-        hv = float(np.sum(np.maximum(0.0, xs[:-1] - xs[1:]) * np.maximum(0.0, env)))
-        return pd.DataFrame({group: [pdf[group].iloc[0]], "n_front": [int(len(front))], "hypervolume": [hv]})
-
-    pts = df.select(group, F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y)).dropna()
-    survivors = pts.mapInPandas(local, schema)
-    return survivors.groupBy(group).applyInPandas(merge, f"{group} {gtype}, n_front long, hypervolume double")
+    pts = df.select(group, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).dropna()
+    per = pts.groupBy(group, "_x", "_y").agg(F.count(F.lit(1)).alias("_c"))
+    top = per.groupBy(group, "_x").agg(F.max("_y").alias("_v"), F.max_by("_c", "_y").alias("_c"))
+    walk = running(top, [F.col("_x").desc()], {"_before": ("max", "_v")}, [group], block=RANGE, exclusive=True)
+    on_front = F.col("_before").isNull() | (F.col("_v") > F.col("_before"))
+    floor = F.greatest(F.coalesce("_before", F.lit(0.0)), F.lit(0.0))
+    area = F.greatest(F.col("_x"), F.lit(0.0)) * (F.greatest(F.col("_v"), floor) - floor)
+    return walk.groupBy(group).agg(F.sum(F.when(on_front, F.col("_c")).otherwise(0)).cast("long").alias("n_front"),
+                                   F.sum(area).alias("hypervolume"))

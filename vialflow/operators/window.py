@@ -3,8 +3,8 @@
 Running aggregates over a whole table (or over one very large group) would
 normally put every row of that group in one task. ``running`` can instead
 split the ordered rows into *blocks* (any column that never decreases along
-the order, e.g. the day of a timestamp, or value-quantile buckets from
-``value_blocks``):
+the order, e.g. the day of a timestamp, or ``RANGE``, which range-partitions
+the rows by their whole order, so the number of blocks follows the cluster):
 
 1. a local running aggregate per (group, block) - many parallel tasks;
 2. per (group, block) totals - a partial aggregate, tiny;
@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vialflow.functions.stats import rnd, rnd_half_up
+from vialflow.session import ensure_checkpoint_dir
 
 _COMBINE = {"sum": "sum", "count": "sum", "max": "max", "min": "min"}
 
@@ -35,24 +36,24 @@ def _agg(fn: str, col: Column) -> Column:
     return {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}[fn](col)
 
 
-def value_blocks(df: DataFrame, col: str, n: int = 64, descending: bool = False) -> Column:
-    """Block id that is monotone in ``col``: the number of approximate
-    n-quantile cut points below (or, descending, at/above) the value.
+#: Block choice of ``running``: ranges of the whole order, cut by sampled
+#: splitters, as many as the session has shuffle partitions.
+RANGE = "range"
 
-    The cut points are one scalar subquery (an array of ``n - 1`` numbers).
-    NULL values go to the last block (NULLs sort last).
+
+def range_blocks(df: DataFrame, keys: Sequence[Column], out: str = "_blk") -> DataFrame:
+    """``df`` range-partitioned by ``keys`` with the range's number in ``out``.
+
+    The numbers are fixed by a reliable checkpoint, so a retried task cannot
+    see others. Rows that tie on all keys share a range; the callers' orders
+    end in a unique id where ties matter.
     """
-    x = F.col(col).cast("double")
-    probs = [i / n for i in range(1, n)]
-    cuts = df.agg(F.percentile_approx(x, probs, 1000)).scalar()
-    # position of x among the sorted cut points = number of cuts below x
-    below = F.array_position(F.sort_array(F.array_union(cuts, F.array(x))), x) - 1
-    b = (F.lit(n - 1) - below) if descending else below
-    return F.when(x.isNull(), F.lit(n)).otherwise(b.cast("int"))
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.repartitionByRange(*keys).withColumn(out, F.spark_partition_id()).checkpoint()
 
 
 def running(df: DataFrame, order: Sequence, aggs: dict, by: Sequence[str] = (),
-            block: Column | None = None, exclusive: bool = False) -> DataFrame:
+            block: Column | str | None = None, exclusive: bool = False) -> DataFrame:
     """Add running aggregates ``{out: (fn, col)}`` (fn in sum/count/max/min)
     over rows ordered by ``order`` within ``by`` (frame: first row .. current,
     or .. the previous row when ``exclusive``; an empty frame gives NULL for
@@ -68,7 +69,10 @@ def running(df: DataFrame, order: Sequence, aggs: dict, by: Sequence[str] = (),
             e = _agg(fn, _c(col)).over(w)
             outs.append((F.coalesce(e, F.lit(0)) if _COMBINE[fn] == "sum" else e).alias(out))
         return df.select("*", *outs)
-    d = df.withColumn("_blk", block)
+    if isinstance(block, str) and block == RANGE:
+        d = range_blocks(df, [*map(F.col, by), *order])
+    else:
+        d = df.withColumn("_blk", block)
     wl = Window.partitionBy(*by, "_blk").orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
     local = d.select("*", *[_agg(fn, _c(col)).over(wl).alias(f"_l_{out}") for out, (fn, col) in aggs.items()])
     tot = d.groupBy(*by, "_blk").agg(*[_agg(fn, _c(col)).alias(f"_t_{out}") for out, (fn, col) in aggs.items()])
@@ -117,15 +121,15 @@ def running_mean(df: DataFrame, order: Sequence, val: str, by: Sequence[str] = (
     return r.withColumn(out, rnd_half_up(F.col("_rs") / F.col("_rc"))).drop("_rs", "_rc")
 
 
-def row_index(df: DataFrame, order: Sequence, block: Column | None = None,
+def row_index(df: DataFrame, order: Sequence, block: Column | str = RANGE,
               out: str = "idx") -> DataFrame:
     """0-based position of every row in a total order, distributed: a running
-    count over order-respecting blocks (never a single-partition window)."""
+    count over order-respecting blocks, by default ranges of the order."""
     r = running(df.withColumn("_one", F.lit(1)), order, {"_n": ("count", "_one")}, (), block)
     return r.withColumn(out, (F.col("_n") - 1).cast("bigint")).drop("_n", "_one")
 
 
-def cumulative_share(df: DataFrame, order: Sequence, val: str, block: Column | None = None,
+def cumulative_share(df: DataFrame, order: Sequence, val: str, block: Column | str = RANGE,
                      digits: int = 6) -> DataFrame:
     """Running sum of ``val`` divided by its total (a scalar subquery)."""
     total = df.agg(F.sum(val)).scalar()
@@ -133,7 +137,7 @@ def cumulative_share(df: DataFrame, order: Sequence, val: str, block: Column | N
     return r.withColumn("cum_share", rnd(F.col("_cs") / total, digits)).drop("_cs")
 
 
-def envelope(df: DataFrame, x: str, y: str, block: Column | None = None,
+def envelope(df: DataFrame, x: str, y: str, block: Column | str = RANGE,
              out: str = "envelope") -> DataFrame:
     """Upper envelope: running max of ``y`` walking ``x`` from high to low."""
     return running(df, [F.col(x).desc(), F.col(y).desc()], {out: ("max", y)}, (), block)
@@ -145,7 +149,7 @@ PLATE_COLS = 12
 
 
 def assign_wells(df: DataFrame, order: Sequence, plate_size: int = 96,
-                 block: Column | None = None) -> DataFrame:
+                 block: Column | str = RANGE) -> DataFrame:
     """Index -> plate, row letter, column, well name (row-major, 1-based plate)."""
     cols = PLATE_COLS if plate_size == 96 else int(round((plate_size * 1.5) ** 0.5))
     r = row_index(df, order, block)

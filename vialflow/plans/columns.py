@@ -625,7 +625,9 @@ def _records(spark, sf):
                     info(F.concat(F.col("n_name"), F.lit(" nation"))).alias("Information"),
                     F.array(F.struct(F.lit("Suppliers").alias("TOCHeading"),
                                      info(F.concat(F.lit("suppliers: "), F.coalesce(F.col("n_sup"), F.lit(0)).cast("string"),
-                                                   F.lit(", top "), F.coalesce(F.col("top_sup"), F.lit("none")))).alias("Information")))
+                                                   F.lit(", top "), F.coalesce(F.col("top_sup"), F.lit("none")))).alias("Information"),
+                                     F.array(F.struct(F.concat("n_name", F.lit(" detail")).alias("TOCHeading"),
+                                                      info(F.lit("fourth level")).alias("Information"))).alias("Section")))
                     .alias("Section"))
     per_region = nat.groupBy(F.col("n_regionkey").alias("r_regionkey")).agg(
         F.array_sort(F.collect_list(F.struct("n_nationkey", nsec.alias("sec")))).alias("_n"))
@@ -636,8 +638,18 @@ def _records(spark, sf):
     return reg.select("r_regionkey", F.to_json(F.struct(F.struct(F.array(rsec).alias("Section")).alias("Record"))).alias("js"))
 
 
-@register("find_sections")
+@register("find_sections", sql="""
+WITH s AS (SELECT s_nationkey AS k, count(*) AS n, max(s_name) AS top FROM supplier GROUP BY s_nationkey),
+n AS (SELECT n_regionkey, n_name, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS i,
+             'suppliers: ' || coalesce(s.n, 0) || ', top ' || coalesce(s.top, 'none') AS sup
+      FROM nation LEFT JOIN s ON s.k = n_nationkey),
+p AS (SELECT r_regionkey, '0.' || i AS place, n_name, ' > Region ' || r_name || ' > ' || n_name AS path, sup
+      FROM n JOIN region ON r_regionkey = n_regionkey WHERE lower(n_name) LIKE '%nation\\_1%' ESCAPE '\\')
+SELECT r_regionkey, place AS "order", n_name AS title, path, n_name || ' nation' || chr(10) || sup || chr(10) || 'fourth level' AS text,
+       3 AS n_lines FROM p
+UNION ALL SELECT r_regionkey, place || '.0.0', n_name || ' detail', path || ' > Suppliers > ' || n_name || ' detail', 'fourth level', 1 FROM p
+""")
 def find_sections(spark, sf):
     """Sections whose title contains 'nation_1' in per-region nested records,
-    with path and up to 12 text lines (nested-record walk at fixed depth)."""
+    with path, up to 12 text lines and the number of lines."""
     return T.find_sections(_records(spark, sf), "r_regionkey", "js", "nation_1", 12)

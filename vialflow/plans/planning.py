@@ -325,6 +325,17 @@ def worklist(spark, sf):
     return _worklist(spark, sf)
 
 
+@register("worklist_coverage", sql=f"""
+WITH n AS (SELECT count(DISTINCT p_brand) AS n FROM part GROUP BY p_type),
+t AS (SELECT round(product(n))::BIGINT AS possible FROM n)
+SELECT possible, least(possible, {_CAPACITY}) AS scheduled, greatest(possible - {_CAPACITY}, 0) AS left_out FROM t
+""")
+def worklist_coverage(spark, sf):
+    stocks = Tables(spark, sf).part.select("p_type", "p_brand").distinct()
+    cats = [r[0] for r in stocks.select("p_type").distinct().collect()]  # a few category names
+    return P.worklist_coverage(stocks, "p_type", "p_brand", cats, _CAPACITY)
+
+
 @register("stock_consumption", sql=f"""
 SELECT category, stock, sum(volume) AS total_volume, count(*) AS n_transfers FROM {_WL_SQL} GROUP BY category, stock
 """)

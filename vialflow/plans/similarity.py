@@ -101,7 +101,7 @@ def cross_retrieve(spark, sf):
         F.concat_ws(":", F.col("label").cast("string"), F.col("template").cast("string")).alias("proto_id"), "proto")
     # items -> prototypes: each item ranks the (few) prototypes
     a = L.knn(protos.withColumnRenamed("proto", "pv"), em.select("vec_id", "embedding"), "proto_id", "vec_id",
-              "pv", "embedding", 3, "cosine").select(F.lit("item_to_proto").alias("direction"), "vec_id", "proto_id",
+              "pv", "embedding", 3, "cosine", few="items").select(F.lit("item_to_proto").alias("direction"), "vec_id", "proto_id",
                                                      "score", "rank")
     b = L.knn(em, protos, "vec_id", "proto_id", "embedding", "proto", 3, "cosine").select(
         F.lit("proto_to_item").alias("direction"), "vec_id", "proto_id", "score", "rank")
@@ -221,7 +221,7 @@ def _both(spark, sf):
 
 
 @register("aggregate_neighbours", sql=f"""
-SELECT e.dst AS node_id, round(sum(n.x * e.w) / sum(e.w), 6) AS agg
+SELECT e.dst AS node_id, round(avg(n.x * e.w), 6) AS agg
 FROM {_BOTH_SQL} e JOIN {_NODES_SQL} n ON n.node_id = e.src GROUP BY e.dst
 """)
 def aggregate_neighbours(spark, sf):

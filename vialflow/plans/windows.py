@@ -75,7 +75,7 @@ FROM supplier
 def cumulative_share(spark, sf):
     su = Tables(spark, sf).supplier.select("s_suppkey", "s_acctbal")
     r = W.cumulative_share(su, [F.col("s_acctbal").desc(), "s_suppkey"], "s_acctbal",
-                           block=W.value_blocks(su, "s_acctbal", 8, descending=True))
+                           block=W.RANGE)
     return r.select("s_suppkey", "cum_share")
 
 
@@ -85,7 +85,7 @@ SELECT l_orderkey, l_linenumber, round(max(yield) OVER (ORDER BY price DESC, yie
 """)
 def envelope(spark, sf):
     r = runs(spark, sf).select("l_orderkey", "l_linenumber", "price", "yield")
-    e = W.envelope(r, "price", "yield", block=W.value_blocks(r, "price", 16, descending=True))
+    e = W.envelope(r, "price", "yield", block=W.RANGE)
     return e.select("l_orderkey", "l_linenumber", rnd("envelope").alias("envelope"))
 
 
@@ -98,7 +98,7 @@ _WELLS_SQL = """(SELECT p_partkey, idx, (idx // 96 + 1)::BIGINT AS plate,
 @register("assign_wells", sql=f"SELECT * FROM {_WELLS_SQL}")
 def assign_wells(spark, sf):
     pa = Tables(spark, sf).part.select("p_partkey")
-    return W.assign_wells(pa, ["p_partkey"], block=W.value_blocks(pa, "p_partkey", 8))
+    return W.assign_wells(pa, ["p_partkey"], block=W.RANGE)
 
 
 @register("plate_occupancy", sql=f"""
@@ -109,7 +109,7 @@ FROM g LEFT JOIN w ON w.plate = g.plate AND w.plate_row = g.plate_row GROUP BY g
 """)
 def plate_occupancy(spark, sf):
     pa = Tables(spark, sf).part.select("p_partkey")
-    return W.plate_occupancy(W.assign_wells(pa, ["p_partkey"], block=W.value_blocks(pa, "p_partkey", 8)))
+    return W.plate_occupancy(W.assign_wells(pa, ["p_partkey"], block=W.RANGE))
 
 
 @register("cumulative_regret", sql=f"""
@@ -122,7 +122,7 @@ SELECT event_id, t::BIGINT AS t, round(cum, 6) AS cum_reward, round(best * t - c
 """)
 def cumulative_regret(spark, sf):
     a = arm_log(spark, sf).select("event_id", "ts", "arm", "reward")
-    r = W.cumulative_regret(a, "arm", "reward", ["ts", "event_id"], block=F.to_date("ts"))
+    r = W.cumulative_regret(a, "arm", "reward", ["ts", "event_id"], block=W.RANGE)
     return r.select("event_id", "t", "cum_reward", "regret")
 
 

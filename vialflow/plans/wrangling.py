@@ -217,8 +217,8 @@ WITH s AS (SELECT p_brand AS name, min(p_size)::DOUBLE AS start, max(p_size)::DO
                   (min(p_size) - 1)::DOUBLE AS step FROM part GROUP BY p_brand)
 SELECT name, start, "end", step,
        NOT (step IS NULL OR step <= 0 OR abs(("end" - start) / step - round(("end" - start) / step)) > 1e-9) AS ok,
-       CASE WHEN step IS NULL OR step <= 0 THEN 'non-positive interval'
-            WHEN abs(("end" - start) / step - round(("end" - start) / step)) > 1e-9 THEN 'span not divisible by interval'
+       CASE WHEN step IS NULL OR step <= 0 THEN 'step must be above zero'
+            WHEN abs(("end" - start) / step - round(("end" - start) / step)) > 1e-9 THEN 'steps do not reach the end exactly'
        END AS reason
 FROM s
 """)
@@ -239,8 +239,7 @@ FROM orders
 """)
 def sort_rank(spark, sf):
     o = Tables(spark, sf).orders.select("o_orderkey", "o_orderpriority", "o_totalprice")
-    s = order.sort(o, ["o_orderpriority", F.col("o_totalprice").desc(), "o_orderkey"],
-                   block=F.col("o_orderpriority"))
+    s = order.sort(o, ["o_orderpriority", F.col("o_totalprice").desc(), "o_orderkey"])
     return s.select("o_orderkey", "rank")
 
 
