@@ -3,9 +3,8 @@
 All of these are single ``groupBy`` jobs or a short chain of them, so Spark
 runs a partial (map-side) aggregate before every shuffle: a key that holds a
 third of the rows is combined inside each map task and never reaches one
-reducer as raw rows. Exact quantiles use ``percentile`` whose buffer is a
-value -> count map, so its size follows the number of distinct values of a
-group, not its row count.
+reducer as raw rows. Exact quantiles come from counts per value summed along
+ranges of the values (``window.exact_quantiles``).
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vialflow.functions.stats import rnd
+from vialflow.operators.window import exact_quantiles
 
 
 def _cols(x) -> list[str]:
@@ -71,15 +71,18 @@ def top_entities(df: DataFrame, col: str, n: int) -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """count, mean, std, min, 25/50/75 % (linear interpolation), max per column.
 
-    One scan computes every statistic of every column; the wide row is then
-    turned into one row per column with ``stack``.
+    One scan computes the plain statistics of all columns; the wide row is
+    then turned into one row per column. The quantiles count every column's
+    values together, keyed by the column's name.
     """
+    melted = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_x"))
+                                           for c in cols])).alias("s")).select("s.*")
+    quart = exact_quantiles(melted, "_x", (0.25, 0.5, 0.75), ["column"]).select("column", "_q")
     exprs = []
     for c in cols:
         x = F.col(c).cast("double")
         exprs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                   F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                  F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{c}__q"),
                   F.max(x).alias(f"{c}__max")]
     wide = df.agg(*exprs)
     parts = []
@@ -90,11 +93,10 @@ def describe(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
             rnd(F.col(f"{c}__mean"), digits).alias("mean"),
             rnd(F.col(f"{c}__std"), digits).alias("std"),
             rnd(F.col(f"{c}__min"), digits).alias("min"),
-            rnd(F.col(f"{c}__q")[0], digits).alias("p25"),
-            rnd(F.col(f"{c}__q")[1], digits).alias("p50"),
-            rnd(F.col(f"{c}__q")[2], digits).alias("p75"),
             rnd(F.col(f"{c}__max"), digits).alias("max")))
-    return wide.select(F.explode(F.array(*parts)).alias("s")).select("s.*")
+    rows = wide.select(F.explode(F.array(*parts)).alias("s")).select("s.*").join(quart, "column", "left")
+    return rows.select("column", "count", "mean", "std", "min", *[
+        rnd(F.get("_q", F.lit(i)), digits).alias(n) for i, n in enumerate(("p25", "p50", "p75"))], "max")
 
 
 def describe_cat(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -175,9 +177,8 @@ def box_stats(df: DataFrame, key, val: str, digits: int = 6) -> DataFrame:
     keys = _cols(key)
     x = F.col(val).cast("double")
     base = df.select(*keys, x.alias("_v")).where(F.col("_v").isNotNull())
-    q = base.groupBy(*keys).agg(
-        F.percentile("_v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"),
-        F.avg("_v").alias("_mean"), F.count(F.lit(1)).alias("n"))
+    quart = exact_quantiles(base, "_v", (0.25, 0.5, 0.75), keys).select(*keys, "_q")
+    q = base.groupBy(*keys).agg(F.avg("_v").alias("_mean"), F.count(F.lit(1)).alias("n")).join(quart, keys)
     q = q.select(*keys, "n", "_mean", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                  F.col("_q")[2].alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
@@ -278,7 +279,7 @@ def best_epoch(logs: DataFrame, run: str, epoch: str, train: str, val: str,
 
 def latency_summary(df: DataFrame, key, dur: str, digits: int = 6) -> DataFrame:
     """Mean, exact p95 and count of a duration per group."""
-    return df.groupBy(*_cols(key)).agg(
-        rnd(F.avg(dur), digits).alias("mean"),
-        rnd(F.percentile(F.col(dur), 0.95), digits).alias("p95"),
-        F.count(F.lit(1)).alias("n"))
+    keys = _cols(key)
+    p95 = exact_quantiles(df, dur, (0.95,), keys).select(*keys, rnd(F.col("_q")[0], digits).alias("p95"))
+    return df.groupBy(*keys).agg(rnd(F.avg(dur), digits).alias("mean"), F.count(F.lit(1)).alias("n")).join(
+        p95, keys, "left").select(*keys, "mean", "p95", "n")

@@ -10,6 +10,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vialflow.operators.window import exact_quantiles
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -102,7 +104,8 @@ def cut(col: Column | str, edges: Sequence[float], labels: Sequence) -> Column:
 
 def binarize(df: DataFrame, col: str, rule: str | float, out: str = "label") -> DataFrame:
     """1 when ``col <= threshold``; ``rule='median'`` uses the exact median."""
-    t = df.agg(F.median(F.col(col).cast("double"))).scalar() if rule == "median" else F.lit(float(rule))
+    t = (exact_quantiles(df, col, (0.5,)).select(F.col("_q")[0]).scalar() if rule == "median"
+         else F.lit(float(rule)))
     return df.withColumn(out, F.when(F.col(col).isNull(), None)
                          .otherwise((F.col(col) <= t).cast("int")))
 

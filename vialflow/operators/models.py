@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vialflow.functions.hashing import md5_unit
-from vialflow.operators.window import RANGE, running
+from vialflow.operators.window import RANGE, exact_quantiles, running
 
 
 def assemble(df: DataFrame, feats: Sequence[str], out: str = "features") -> DataFrame:
@@ -218,9 +218,9 @@ def pu_scores(df: DataFrame, feats: Sequence[str], s: str, id_col: str, holdout_
 def pick_prior(df: DataFrame, score: str) -> DataFrame:
     """Prior-guided threshold: prior = mean score clipped to [0.01, 0.99];
     keep rows with score >= the (1 - prior) quantile."""
-    # the prior is one number; percentile needs it as a literal fraction
+    # the prior is one number
     prior = df.agg(F.greatest(F.lit(0.01), F.least(F.lit(0.99), F.avg(score)))).first()[0]
-    thr = df.agg(F.percentile(F.col(score), 1.0 - prior)).scalar()
+    thr = exact_quantiles(df, score, (1.0 - prior,)).select(F.col("_q")[0]).scalar()
     return df.where(F.col(score) >= thr)
 
 
@@ -301,15 +301,15 @@ def self_train(labelled: DataFrame, unlabelled: DataFrame, feats: Sequence[str],
 
 
 def poisson1(u: "F.Column") -> "F.Column":
-    """Poisson(1) draw from a uniform by the inverse CDF (k <= 7 covers
-    all but 1e-5 of the mass; larger draws are capped at 8)."""
+    """Poisson(1) draw from a uniform by the inverse CDF. Beyond 18 the CDF
+    is 1 in double precision, so no draw is cut."""
     import math as _m
     cdf, expr, acc = 0.0, None, None
-    for k in range(8):
+    for k in range(19):
         cdf += _m.exp(-1.0) / _m.factorial(k)
         cond = u < F.lit(cdf)
         expr = F.when(cond, F.lit(k)) if expr is None else expr.when(cond, F.lit(k))
-    return expr.otherwise(F.lit(8))
+    return expr.otherwise(F.lit(19))
 
 
 def oob_score(df: DataFrame, feats: Sequence[str], y: str, id_col: str, n_trees: int, depth: int,

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vialflow.operators.window import RANGE, row_index
+from vialflow.operators.window import RANGE, exact_quantiles, row_index
 
 
 def _c(x) -> Column:
@@ -43,5 +43,5 @@ def pick_batch(space: DataFrame, score: str, b: int, id_col: str, iteration: str
 
 def pick_quantile(df: DataFrame, score: str, q: float) -> DataFrame:
     """Rows whose score is at or above the (1 - q) quantile (exact, linear)."""
-    thr = df.agg(F.percentile(F.col(score).cast("double"), 1.0 - q)).scalar()
+    thr = exact_quantiles(df, score, (1.0 - q,)).select(F.col("_q")[0]).scalar()
     return df.where(F.col(score) >= thr)

@@ -94,6 +94,28 @@ def running(df: DataFrame, order: Sequence, aggs: dict, by: Sequence[str] = (),
     return j.select(*keep, *outs)
 
 
+def exact_quantiles(df: DataFrame, val: str | Column, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """``by`` columns, ``_q`` (exact quantiles, linear interpolation) and ``_n``.
+
+    Rows are counted per distinct value, the counts are summed along ranges of
+    the values, and each quantile picks the two values around its place: no
+    task holds the values of a group. NULL values do not count.
+    """
+    by = list(by)
+    counts = (df.select(*by, _c(val).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+              .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_k")))
+    walk = running(counts, ["_v"], {"_cum": ("sum", "_k")}, by, block=RANGE)
+    size = walk.groupBy(*by).agg(F.max("_cum").alias("_n"))
+    # one row per group, or a single one
+    walk = walk.join(size, by) if by else walk.crossJoin(F.broadcast(size))
+    place = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
+    at = lambda rank: F.min(F.when(F.col("_cum") > rank, F.col("_v")))
+    ends = walk.groupBy(*by).agg(F.max("_n").alias("_n"), *[
+        e for i, p in enumerate(place) for e in (at(F.floor(p)).alias(f"_lo{i}"), at(F.ceil(p)).alias(f"_hi{i}"))])
+    q = [F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (p - F.floor(p)) for i, p in enumerate(place)]
+    return ends.select(*by, F.array(*q).alias("_q"), "_n")
+
+
 def first_per_group(df: DataFrame, key, order: Sequence) -> DataFrame:
     """First row per group after a sort. The ``row_number() = 1`` filter lets
     Spark insert a partial WindowGroupLimit before the shuffle, so each map
