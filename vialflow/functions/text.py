@@ -21,8 +21,8 @@ def _c(x) -> Column:
 
 
 def label_from_name(name: Column | str, positive: str, negatives: Sequence[str]) -> Column:
-    """1/0 label from a file name or URL part: negative prefixes are checked
-    before the positive prefix, then negative substrings before the positive
+    """1/0 label from a file name or URL part: the positive prefix is checked
+    first, then the negative prefixes, the negative substrings and the positive
     substring; NULL when nothing matches."""
     f = F.lower(_c(name))
     neg_prefix = None
@@ -125,8 +125,9 @@ def markdown_table(df: DataFrame, id_col: str, col: str) -> DataFrame:
     """Markdown table text -> long rows (id, row_no, column, value).
 
     Edge pipes are stripped, only separator lines (pipes, dashes, colons,
-    spaces) are dropped, the first remaining line is the header. Text with
-    fewer than two columns in its header gives no rows.
+    spaces) are dropped, the first remaining line is the header. Lines with
+    another number of cells than the header are skipped, and text with fewer
+    than two columns in its header gives no rows.
     """
     lines = F.filter(nonempty_lines(col), lambda s: ~s.rlike(r"^[\s|:\-]+$") & s.contains("|"))
     cells = F.transform(lines, lambda s: F.transform(
@@ -136,7 +137,7 @@ def markdown_table(df: DataFrame, id_col: str, col: str) -> DataFrame:
     d = d.where(F.size(F.element_at("_cells", 1)) >= 2)
     rows = d.select(id_col, F.element_at("_cells", 1).alias("_hdr"),
                     F.posexplode(F.slice("_cells", 2, 1 << 30)).alias("row_no", "_vals"))
-    out = rows.select(id_col, (F.col("row_no") + 1).cast("int").alias("row_no"),
+    out = rows.where(F.size("_vals") == F.size("_hdr")).select(id_col, (F.col("row_no") + 1).cast("int").alias("row_no"),
                       F.posexplode(F.arrays_zip(F.col("_hdr").alias("h"), F.col("_vals").alias("v"))).alias("_i", "_hv"))
     return out.where(F.col("_hv.h").isNotNull()).select(
         id_col, "row_no", F.col("_hv.h").alias("column"), F.col("_hv.v").alias("value"))

@@ -321,6 +321,7 @@ def parse_label(spark, sf):
 @register("markdown_table", sql="""
 WITH t AS (SELECT p_partkey, '| name | brand | size |' || chr(10) || '|---|:---:|---|' || chr(10) ||
                   '| ' || p_name || ' | ' || p_brand || ' | ' || p_size::VARCHAR || ' |' || chr(10) ||
+                  '| ragged ' || p_partkey || ' | row |' || chr(10) ||
                   '| ' || p_type || ' | | ' || p_retailprice::VARCHAR || ' |' AS md FROM part),
 l AS (SELECT p_partkey, list_filter(list_transform(regexp_split_to_array(md, '\\r?\\n'), lambda s: trim(s, ' ')),
                                     lambda s: s <> '' AND NOT regexp_full_match(s, '[\\s|:\\-]+') AND contains(s, '|')) AS lines
@@ -331,13 +332,13 @@ c AS (SELECT p_partkey, list_transform(lines, lambda s: list_transform(
 r AS (SELECT p_partkey, cells[1] AS hdr, unnest(cells[2:]) AS vals, generate_subscripts(cells[2:], 1) AS row_no
       FROM c WHERE len(cells) >= 2 AND len(cells[1]) >= 2)
 SELECT p_partkey, row_no::INTEGER AS row_no, hdr[i] AS "column", vals[i] AS value
-FROM r, range(1, 1 + len(hdr)) t(i)
+FROM r, range(1, 1 + len(hdr)) t(i) WHERE len(vals) = len(hdr)
 """)
 def markdown_table(spark, sf):
     pa = Tables(spark, sf).part
     md = F.concat(F.lit("| name | brand | size |\n|---|:---:|---|\n| "), F.col("p_name"), F.lit(" | "),
-                  F.col("p_brand"), F.lit(" | "), F.col("p_size").cast("string"), F.lit(" |\n| "),
-                  F.col("p_type"), F.lit(" | | "), F.col("p_retailprice").cast("string"), F.lit(" |"))
+                  F.col("p_brand"), F.lit(" | "), F.col("p_size").cast("string"), F.lit(" |\n| ragged "),
+                  F.col("p_partkey").cast("string"), F.lit(" | row |\n| "), F.col("p_type"), F.lit(" | | "), F.col("p_retailprice").cast("string"), F.lit(" |"))
     return T.markdown_table(pa.select("p_partkey", md.alias("md")), "p_partkey", "md")
 
 

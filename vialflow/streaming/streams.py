@@ -23,12 +23,15 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from vialflow.session import scratch_path
 
 
-def table_stream(spark: SparkSession, folder: str, name: str, max_files: int = 1) -> DataFrame:
-    """Stream the parquet files of one table from a folder (schema taken
-    from the files present now; new files are picked up as they land)."""
-    schema = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet").schema
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-            .option("pathGlobFilter", f"{name}*.parquet").parquet(folder))
+def table_stream(spark: SparkSession, folder: str, name: str, max_files: int | None = None) -> DataFrame:
+    """Stream the parquet files of one table, a single file or a folder of
+    part files (schema taken from the files present now; new files are picked
+    up as they land). ``max_files`` bounds a micro-batch where that is wanted."""
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    stream = spark.readStream.schema(spark.read.parquet(path).schema)
+    if max_files:
+        stream = stream.option("maxFilesPerTrigger", max_files)
+    return stream.parquet(path + "*")
 
 
 def run_available(stream: DataFrame, mode: str, name: str) -> DataFrame:
