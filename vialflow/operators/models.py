@@ -191,6 +191,78 @@ def kmeans(df: DataFrame, vec: str, k: int, seed: int):
     return KMeans(k=k, seed=seed, featuresCol="features").fit(d), d
 
 
+def cluster_in_units(df: DataFrame, id_col: str, feats: Sequence[str], k: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """KMeans on standardised columns: ``id, cluster`` per row, and the centres
+    in the columns' own units with the cluster sizes."""
+    stats = df.agg(*[F.avg(f).alias(f"m_{f}") for f in feats], *[F.stddev_pop(f).alias(f"s_{f}") for f in feats]).first()
+    scaled = [((F.col(f) - stats[f"m_{f}"]) / (stats[f"s_{f}"] or 1.0)).alias(f) for f in feats]
+    data = assemble(df.select(id_col, *scaled), feats).select(id_col, "features").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = KMeans(k=k, seed=seed, featuresCol="features", tol=1e-6, maxIter=100).fit(data)
+    finally:
+        data.unpersist()
+    labels = model.transform(data).select(id_col, F.col("prediction").alias("cluster"))
+    centres = df.sparkSession.createDataFrame(
+        [(i, *[float(v * (stats[f"s_{f}"] or 1.0) + stats[f"m_{f}"]) for f, v in zip(feats, c)])
+         for i, c in enumerate(model.clusterCenters())],
+        "cluster int, " + ", ".join(f"`{f}` double" for f in feats))
+    sizes = labels.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    return labels, centres.join(sizes, "cluster")
+
+
+def pca_tables(train: DataFrame, other: DataFrame, feats: Sequence[str], k: int, id_col: str) -> tuple[DataFrame, ...]:
+    """PCA of standardised columns fitted on ``train``: scores of ``other``
+    (scaled by the training statistics), loadings, and explained shares."""
+    stats = train.agg(*[F.avg(f).alias(f"m_{f}") for f in feats], *[F.stddev_pop(f).alias(f"s_{f}") for f in feats]).first()
+    scale = lambda d: assemble(d.select(id_col, *[((F.col(f) - stats[f"m_{f}"]) / (stats[f"s_{f}"] or 1.0)).alias(f)
+                                                  for f in feats]), feats)
+    model = PCA(k=k, inputCol="features", outputCol="pcs").fit(scale(train))
+    spark = train.sparkSession
+    loadings = spark.createDataFrame([(f, i + 1, float(model.pc.toArray()[j, i])) for j, f in enumerate(feats) for i in range(k)],
+                                     "feature string, component int, loading double")
+    shares = spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(model.explainedVariance.toArray())],
+                                   "component int, share double")
+    return model.transform(scale(other)).select(id_col, vector_to_array("pcs").alias("scores")), loadings, shares
+
+
+def best_threshold(df: DataFrame, y: str, score: str) -> DataFrame:
+    """Threshold (score >= t is positive) with the best F1, the largest one on
+    ties: counts per distinct score, summed from the highest score down."""
+    c = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("t")).agg(
+        F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).alias("pos"), F.count(F.lit(1)).alias("n"))
+    total = c.agg(F.sum("pos")).scalar()
+    r = running(c, [F.col("t").desc()], {"tp": ("sum", "pos"), "picked": ("sum", "n")}, (), block=RANGE)
+    r = r.withColumn("f1", 2 * F.col("tp") / (F.col("picked") + total))
+    return r.agg(F.max(F.struct("f1", "t")).alias("b")).select(F.col("b.t").alias("threshold"), F.col("b.f1").alias("f1"))
+
+
+def tree_report(train: DataFrame, test: DataFrame, feats: Sequence[str], y: str, depths: Sequence[int],
+                kind: str = "regression", impurity: str | None = None, trees: int = 1, seed: int = 0) -> DataFrame:
+    """One row per depth: number of leaves (summed over trees), root feature
+    and threshold (single trees), and test error (RMSE or error rate)."""
+    import re
+
+    from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
+    rows = []
+    for depth in depths:
+        how = {"featuresCol": "features", "labelCol": y, "maxDepth": depth, "seed": seed}
+        if kind == "regression":
+            est = DecisionTreeRegressor(**how) if trees == 1 else RandomForestRegressor(numTrees=trees, **how)
+        else:
+            how["impurity"] = impurity or "gini"
+            est = DecisionTreeClassifier(**how) if trees == 1 else RandomForestClassifier(numTrees=trees, **how)
+        model = _fit(est, train, feats, y)
+        wrong = ((F.col("prediction") - F.col(y)) ** 2 if kind == "regression"
+                 else (F.col("prediction") != F.col(y)).cast("double"))
+        error = model.transform(assemble(test, feats)).agg(F.avg(wrong)).first()[0]
+        root = re.search(r"If \(feature (\d+) <= ([-0-9.Ee]+)\)", model.toDebugString) if trees == 1 else None
+        leaves = len(re.findall(r"Predict:", model.toDebugString))
+        rows.append((depth, leaves, feats[int(root[1])] if root else None, float(root[2]) if root else None,
+                     None if error is None else float(error ** 0.5 if kind == "regression" else error)))
+    return train.sparkSession.createDataFrame(
+        rows, "depth int, n_leaves int, root_feature string, root_threshold double, test_error double")
+
+
 def pca_scores(df: DataFrame, vec: str, k: int, id_col: str) -> DataFrame:
     """PCA on centred vectors (ML PCA does not centre): scores per row and
     the explained share per component."""
@@ -206,12 +278,13 @@ def pca_scores(df: DataFrame, vec: str, k: int, id_col: str) -> DataFrame:
 def pu_scores(df: DataFrame, feats: Sequence[str], s: str, id_col: str, holdout_frac: float = 0.2,
               seed: int = 0) -> DataFrame:
     """PU learning under SCAR: fit p(s=1|x), estimate c = mean p(s=1|x) over
-    held-out labelled positives, then p(y=1|x) = clip(p(s)/c, 0, 1)."""
+    held-out labelled positives (0.5 if there are none, never below 1e-6),
+    then p(y=1|x) = clip(p(s)/c, 0, 1)."""
     u = md5_unit(id_col, seed)
     d = df.withColumn("_hold", (F.col(s) == 1) & (u < holdout_frac))
     model = logreg(d.where(~F.col("_hold")), feats, s)
     scored = model.transform(assemble(d, feats)).withColumn("ps", vector_to_array("probability")[1])
-    c = scored.where("_hold").agg(F.avg("ps")).scalar()
+    c = scored.where("_hold").agg(F.greatest(F.coalesce(F.avg("ps"), F.lit(0.5)), F.lit(1e-6))).scalar()
     return scored.select(id_col, s, "ps", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("ps") / c)).alias("py"))
 
 
@@ -262,6 +335,14 @@ def cv_table(df: DataFrame, feats: Sequence[str], y: str, fold: str, alphas: Seq
     return t.groupBy("alpha").agg(F.avg("rmse").alias("cv_rmse"), F.stddev_pop("rmse").alias("cv_std"))
 
 
+def cv_best(df: DataFrame, feats: Sequence[str], y: str, fold: str, alphas: Sequence[float]) -> DataFrame:
+    """The alpha with the smallest cross-validated RMSE (the largest alpha on
+    ties) and the coefficients of the refit on all rows."""
+    best = cv_table(df, feats, y, fold, alphas).orderBy("cv_rmse", F.col("alpha").desc()).first()
+    refit = coefficients(linreg(df, feats, y, "ridge", best["alpha"]), feats)
+    return refit.select(F.lit(best["alpha"]).alias("best_alpha"), F.lit(best["cv_rmse"]).alias("cv_rmse"), "feature", "coef")
+
+
 def permutation_importance(model, df: DataFrame, feats: Sequence[str], y: str, id_col: str,
                            repeats: int, seed: int) -> DataFrame:
     """Accuracy drop when one feature's values are permuted across rows.

@@ -337,3 +337,67 @@ def oob_score(spark, sf):
     """Out-of-bag accuracy of 8 Poisson-bagged depth-4 trees on text features."""
     d = _doc_feats(spark, sf).withColumn("quality", F.col("quality").cast("double"))
     return K.oob_score(d.select("doc_id", *_DOC_FEATS, "quality"), _DOC_FEATS, "quality", "doc_id", 8, 4, 21)
+
+
+# ---------------------------------------------------------------- more fits
+@register("linreg_two_features", sql=f"""
+WITH d AS (SELECT l_quantity AS a, l_discount AS b, l_extendedprice AS y FROM lineitem WHERE {_u(_LI_KEY, 42)} < 0.8),
+s AS (SELECT covar_pop(a, a) AS aa, covar_pop(b, b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS b_y,
+             avg(a) AS ma, avg(b) AS mb, avg(y) AS my FROM d),
+c AS (SELECT *, (ay * bb - b_y * ab) / (aa * bb - ab * ab) AS p, (b_y * aa - ay * ab) / (aa * bb - ab * ab) AS q FROM s)
+SELECT f.feature, round(f.coef, 3) AS coef FROM c, LATERAL (
+  SELECT unnest(['l_quantity', 'l_discount', 'intercept']) AS feature, unnest([p, q, my - p * ma - q * mb]) AS coef) f
+""")
+def linreg_two_features(spark, sf):
+    feats = ["l_quantity", "l_discount"]
+    m = K.linreg(_li_split(spark, sf).where("train"), feats, "l_extendedprice", "ols")
+    return K.coefficients(m, feats).select("feature", F.round("coef", 3).alias("coef"))
+
+
+def _order_frame(spark, sf):
+    return Tables(spark, sf).lineitem.select(
+        F.concat_ws(":", "l_orderkey", "l_linenumber").alias("rid"), "l_quantity", "l_discount", "l_tax", "l_extendedprice",
+        (md5_unit(F.concat_ws(":", "l_orderkey", "l_linenumber"), 42) < 0.8).alias("train"))
+
+
+@register("cluster_centres")
+def cluster_centres(spark, sf):
+    """KMeans (k = 4) of standardised columns; centres in own units, sizes."""
+    return K.cluster_in_units(_order_frame(spark, sf), "rid", ["l_quantity", "l_discount", "l_extendedprice"], 4, 3)[1]
+
+
+@register("pca_loadings")
+def pca_loadings(spark, sf):
+    """Loadings of two components fitted on the training rows, with shares."""
+    d = _order_frame(spark, sf)
+    _, loadings, shares = K.pca_tables(d.where("train"), d.where("not train"),
+                                       ["l_quantity", "l_discount", "l_tax", "l_extendedprice"], 2, "rid")
+    return loadings.join(shares, "component")
+
+
+@register("tree_regressors")
+def tree_regressors(spark, sf):
+    """Regression trees of three depths and a forest: leaves, root rule, error."""
+    d, feats = _order_frame(spark, sf), ["l_quantity", "l_discount", "l_tax"]
+    one = K.tree_report(d.where("train"), d.where("not train"), feats, "l_extendedprice", [1, 3, 5])
+    many = K.tree_report(d.where("train"), d.where("not train"), feats, "l_extendedprice", [4], trees=5, seed=2)
+    return one.withColumn("trees", F.lit(1)).unionByName(many.withColumn("trees", F.lit(5)))
+
+
+@register("cv_best")
+def cv_best(spark, sf):
+    """Best ridge alpha of a 5-fold grid and the refit on all rows."""
+    o = Tables(spark, sf).orders.select("o_orderkey", F.col("o_custkey").cast("double").alias("c"),
+                                        F.dayofyear("o_orderdate").cast("double").alias("doy"), "o_totalprice")
+    return K.cv_best(FE.kfold(o, "o_orderkey", 5, 11), ["c", "doy"], "o_totalprice", "fold", [0.1, 10.0, 1000.0])
+
+
+@register("best_threshold", sql=f"""
+WITH y AS (SELECT score, y AS quality FROM {_SCORED_SQL} s WHERE score IS NOT NULL),
+t AS (SELECT DISTINCT score AS t FROM y),
+f AS (SELECT t, 2.0 * count(*) FILTER (quality = 1 AND score >= t) /
+                (count(*) FILTER (score >= t) + count(*) FILTER (quality = 1)) AS f1 FROM t, y GROUP BY t)
+SELECT round(t, 6) AS threshold, round(f1, 6) AS f1 FROM f ORDER BY f1 DESC, t DESC LIMIT 1
+""")
+def best_threshold(spark, sf):
+    return K.best_threshold(scored_docs(spark, sf), "y", "score").select(F.round("threshold", 6).alias("threshold"), F.round("f1", 6).alias("f1"))
