@@ -44,7 +44,7 @@ RULES = {
 }
 #: Cutoffs from lenient to strict, the same for every rule, fixed beforehand.
 CUTOFFS = (1.0, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1)
-ALPHA = 0.02
+ALPHA = 0.05
 DELTA = 0.05
 _TAIL = 4000
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals")
