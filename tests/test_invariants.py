@@ -101,7 +101,7 @@ def test_pareto_demo_front(spark):
     pts = [(0.2, 0.9), (0.6, 0.6), (0.9, 0.2), (0.5, 0.8), (0.5, 0.5), (0.4, 0.7), (0.7, 0.3), (0.8, 0.4),
            (0.3, 0.3), (0.2, 0.5), (0.6, 0.5), (0.4, 0.3), (0.3, 0.2), (0.3, 0.5)]
     df = spark.createDataFrame(pts, "a double, b double")
-    front = sorted((r.a, r.b) for r in pareto_2d(df, "a", "b", blocks=4).where("on_front").collect())
+    front = sorted((r.a, r.b) for r in pareto_2d(df, "a", "b").where("on_front").collect())
     assert front == [(0.2, 0.9), (0.5, 0.8), (0.6, 0.6), (0.8, 0.4), (0.9, 0.2)]
 
 
