@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import rows_of
 
@@ -83,7 +84,7 @@ def test_long_texts_are_read_in_stretches(ready, monkeypatch):
     monkeypatch.setattr(repeats, "_STRETCH", 64)
     df, rows = shuffled_passages(ready, 5)
     for run, n, units, length, join in CASES.values():
-        texts = [t.encode() for _, t in rows]
+        texts = pa.array([t for _, t in rows])
         unit = repeats.BYTES if n == "n_bytes" else repeats.WORDS
         seen = [0] * len(texts)
         for codes, ends, docs, base in repeats._stretches(texts, unit):

@@ -13,8 +13,8 @@ with a smaller id is removed. Documents are parsed against reference blocks:
 * each phrase is parsed greedily from the left: a factor starts at a string
   that the index holds and goes on while the following strings come first in
   the same document. Strings that straddle the boundary of two factors are
-  looked up like all others, so no span is lost at a boundary; a phrase that
-  shares its anchor with a neighbouring block is compared across both.
+  looked up like all others, so no span is lost at a boundary; phrases of an
+  anchor that is spread over several blocks are compared across them.
 
 Factors of 13 words or more from an earlier document are duplicate spans.
 
@@ -58,18 +58,18 @@ def _parse_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     digests = [repeats.chain(words, seed) for seed in (1, 2)]
     first = index_strings(digests, phrases.column("ord").to_numpy()[row])
     # consecutive strings of one phrase with the same first document: a factor
-    yield repeats.resolved_rows(phrases, row, at, words, first, repeats.open_ends(phrases))
+    yield repeats.resolved_rows(phrases, row, at, words, first, phrases.column("open").to_numpy())
 
 
 def _resolve(phrases: DataFrame, n: int) -> DataFrame:
     return repeats.dealt(phrases, n).mapInArrow(_parse_block, repeats.RESOLVED)
 
 
-def drop_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_words, n_removed, n_spans,
     kept_sha256`` and ``kept``, the remaining words joined by one space."""
     runs = repeats.repeated(docs, UNIT, _resolve, id_col, text_col)
-    return repeats.strip(docs, runs, True, UNIT.length, id_col, text_col).withColumnRenamed("n_units", "n_words")
+    return repeats.strip(docs, runs, True, UNIT.length, id_col, text_col, with_text).withColumnRenamed("n_units", "n_words")
 
 
 _SQL = f"""
@@ -98,4 +98,4 @@ def op8_relative_lz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document in 13-word strings of earlier documents."""
     prepare(spark)
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return drop_spans(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    return drop_spans(docs, with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")

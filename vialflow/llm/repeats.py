@@ -19,10 +19,11 @@ this engine moves a fraction of it and loses nothing:
    phrase parse, see the callers) finds for each of their windows the first
    document. Its answers return to all documents with that block.
 
-Each step is an aggregate with partial combining or an equi-join that AQE can
-split, so neither a passage in a third of all documents nor thousands of
-copies meet in one task. Fingerprints have 64 bits within an anchor of 64
-bits; windows are compared by their units or 128-bit digests.
+Rows are combined per kernel call before the first shuffle, and the others
+move in equi-joins that AQE can split, so neither a passage in a third of all
+documents nor thousands of copies meet in one task. Blocks are told apart by
+48 bits within an anchor of 48 bits; windows by their units, or by 128-bit
+digests where an anchor's blocks are spread over several tasks.
 """
 
 from __future__ import annotations
@@ -38,17 +39,26 @@ from pyspark.sql import functions as F
 from vialflow.llm.common import id_order, materialise, tasks_for, text_of
 
 _U = np.uint64
+#: Bits of the filter of shared anchors, at most (128 MB), and per anchor.
+FILTER_BITS, BITS_PER_ANCHOR = 1 << 30, 16
+_SEGMENT = 1 << 19
+#: Blocks of one anchor that are resolved in one task; more are spread.
+GROUP = 1 << 18
+
 #: Units per kernel call; a longer document is read in overlapping stretches.
 _STRETCH = 1 << 20
 _PLACE_BITS = 24
-_KNOWN_WORDS = 500_000
+_KNOWN_WORDS = 200_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
     """64-bit finaliser (fixed odd multipliers)."""
-    x = (x ^ (x >> _U(33))) * _U(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> _U(29))) * _U(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> _U(32))
+    x = x ^ (x >> _U(33))
+    x *= _U(0xFF51AFD7ED558CCD)
+    x ^= x >> _U(29)
+    x *= _U(0xC4CEB9FE1A85EC53)
+    x ^= x >> _U(32)
+    return x
 
 
 def chain(parts, seed: int = 0x9E3779B97F4A7C15) -> np.ndarray:
@@ -102,7 +112,7 @@ class Unit:
         return sorted({*range(0, n - self.step + 1, self.step), n - self.step})
 
 
-BYTES = Unit(byte_units, byte_codes, "u1", length=50, gram=24, step=8)
+BYTES = Unit(byte_units, byte_codes, "u1", length=50, gram=20, step=8)
 WORDS = Unit(word_units, lambda units: units, "<u8", length=13, gram=5, step=1)
 
 
@@ -138,11 +148,13 @@ def blocks_of(codes: np.ndarray, ends: np.ndarray, unit: Unit) -> tuple[np.ndarr
     parts = [(right - left).astype(_U), *(codes[left + o] for o in unit.offsets(unit.length))]
     tail = span - 1                                            # units a block may have beyond one window
     parts += [codes[right - tail + o] for o in unit.offsets(tail)] if tail >= unit.step else []
-    return grams[at[first]], chain(parts), left, count, at[first] - left
+    # 48 bits are enough to tell texts of one anchor apart, and travel lighter
+    return grams[at[first]] >> _U(16), chain(parts) >> _U(16), left, count, at[first] - left
 
 
-def _stretches(texts: list[bytes], unit: Unit) -> Iterator[tuple[np.ndarray, np.ndarray, list[int], list[int]]]:
-    """Codes, ends, document numbers and offsets of kernel calls over ``texts``."""
+def _stretches(texts, unit: Unit) -> Iterator[tuple[np.ndarray, np.ndarray, list[int], list[int]]]:
+    """Codes, ends, document numbers and offsets of kernel calls over ``texts``
+    (an Arrow string array)."""
     held: list[np.ndarray] = []
     docs: list[int] = []
     base: list[int] = []
@@ -152,7 +164,7 @@ def _stretches(texts: list[bytes], unit: Unit) -> Iterator[tuple[np.ndarray, np.
         return np.concatenate(held), np.cumsum([len(c) for c in held]), list(docs), list(base)
 
     for i, t in enumerate(texts):
-        units = unit.units(t)
+        units = unit.units(t.as_py().encode())
         for start in range(0, max(1, len(units) - unit.length + 1), _STRETCH):
             part = units[start:start + _STRETCH + unit.length - 1]
             if len(part) < unit.length:
@@ -166,33 +178,73 @@ def _stretches(texts: list[bytes], unit: Unit) -> Iterator[tuple[np.ndarray, np.
         yield flush()
 
 
-def _block_batches(unit: Unit, summary: bool):
-    """Arrow function: (ord, key, text) to blocks, or to their summary, which
-    keeps one row per (anchor, block) of a kernel call, with first and last id."""
-    names = ["anchor", "block", "ord", "last"] if summary else ["anchor", "block", "ord", "key", "lo", "n", "off"]
+def _summaries(unit: Unit):
+    """Arrow function: (ord, key, text) to one row per anchor of a kernel call
+    with its smallest and largest block and id (the largest as differences)."""
+    names = ["anchor", "block", "block_up", "ord", "ord_up"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("ord").to_numpy()
+            for codes, ends, docs, _ in _stretches(batch.column("text"), unit):
+                anchor, block, left, _, _ = blocks_of(codes, ends, unit)
+                if not len(anchor):
+                    continue
+                ids_of = ids[np.array(docs)[np.searchsorted(ends, left, side="right")]]
+                order = np.argsort(anchor)
+                a, b, i = anchor[order], block[order].view(np.int64), ids_of[order]
+                head = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
+                b0, i0 = np.minimum.reduceat(b, head), np.minimum.reduceat(i, head)
+                cols = [a[head].view(np.int64), b0, np.maximum.reduceat(b, head) - b0, i0, np.maximum.reduceat(i, head) - i0]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
+
+    return run, ", ".join(f"{c} bigint" for c in names)
+
+
+def _blocks(unit: Unit, shared):
+    """Arrow function: (ord, key, text) to the blocks whose anchors may be
+    shared, by a broadcast filter of anchors."""
+    names = ["anchor", "block", "ord", "key", "lo", "n", "off"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        low = _U(len(bits) * 8 - 1)
         for batch in batches:
             ids, keys = (batch.column(c).to_numpy() for c in ("ord", "key"))
-            texts = [t.encode() for t in batch.column("text").to_pylist()]
-            for codes, ends, docs, base in _stretches(texts, unit):
+            for codes, ends, docs, base in _stretches(batch.column("text"), unit):
                 anchor, block, left, count, off = blocks_of(codes, ends, unit)
-                part = np.searchsorted(ends, left, side="right")
+                place = (anchor & low).astype(np.int64)
+                some = np.flatnonzero((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1)
+                part = np.searchsorted(ends, left[some], side="right")
                 doc = np.array(docs)[part]
-                if summary:
-                    order = np.lexsort((ids[doc], block, anchor))
-                    a, b = anchor[order], block[order]
-                    head = np.flatnonzero(np.r_[len(a) > 0, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-                    tail = np.r_[head[1:], len(a)][:len(head)] - 1
-                    cols = [a[head].view(np.int64), b[head].view(np.int64), ids[doc[order[head]]], ids[doc[order[tail]]]]
-                else:
-                    lo = left - np.r_[0, ends[:-1]][part] + np.array(base)[part]
-                    cols = [anchor.view(np.int64), block.view(np.int64), ids[doc], keys[doc], lo, count, off]
+                lo = left[some] - np.r_[0, ends[:-1]][part] + np.array(base)[part]
+                cols = [anchor[some].view(np.int64), block[some].view(np.int64), ids[doc], keys[doc], lo, count[some], off[some]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
 
     return run, ", ".join(f"{c} bigint" for c in names)
 
 
+def _anchor_filter(shared: DataFrame) -> np.ndarray:
+    """Bits of the shared anchors: ``FILTER_BITS`` at most, so it may be
+    broadcast at any corpus size; it only spares rows and drops no anchor."""
+    bits = _SEGMENT
+    while bits < min(shared.count() * BITS_PER_ANCHOR, FILTER_BITS):
+        bits *= 2
+
+    def fill(rows: pa.Table) -> pa.Table:
+        set_bits = np.zeros(_SEGMENT, bool)
+        set_bits[rows.column("place").to_numpy() % _SEGMENT] = True
+        return pa.table([rows.column("segment").slice(0, 1),
+                         pa.array([np.packbits(set_bits, bitorder="little").tobytes()], pa.binary())], ["segment", "bytes"])
+
+    place = F.col("anchor").bitwiseAND(F.lit(bits - 1))
+    rows = shared.select(place.alias("place")).distinct().withColumn("segment", F.floor(F.col("place") / _SEGMENT))
+    out = np.zeros((bits // _SEGMENT, _SEGMENT // 8), np.uint8)
+    for row in rows.groupBy("segment").applyInArrow(fill, "segment bigint, bytes binary").toLocalIterator():
+        out[row["segment"]] = np.frombuffer(row["bytes"], np.uint8)
+    return out.reshape(-1)
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``ord`` (id, NULL first), ``key`` (hash of the text) and the text."""
     return docs.select(id_order(id_col).alias("ord"), F.xxhash64(text_of(text_col)).alias("key"),
@@ -233,12 +285,15 @@ def repeated(docs: DataFrame, unit: Unit, resolve: Callable[[DataFrame, int], Da
     ``lead`` holds the anchor's units) of anchors with several block texts and returns ``RESOLVED`` rows.
     """
     source = keyed(docs, id_col, text_col)
-    seen = source.mapInArrow(*_block_batches(unit, summary=True))
-    per = seen.groupBy("anchor").agg(F.min("block").alias("b0"), F.max("block").alias("b1"),
-                                     F.min("ord").alias("first"), F.max("last").alias("last"))
+    # at most one row per anchor and kernel call, so the rows are dealt out once
+    seen = source.mapInArrow(*_summaries(unit)).repartition(tasks_for(docs), "anchor")
+    per = seen.groupBy("anchor").agg(
+        F.min("block").alias("b0"), F.max(F.col("block") + F.col("block_up")).alias("b1"),
+        F.min("ord").alias("first"), F.max(F.col("ord") + F.col("ord_up")).alias("last"))
     shared = materialise(per.where("first < last").select("anchor", "first", (F.col("b0") != F.col("b1")).alias("mixed")),
                          "repeats-anchors")
-    back = source.mapInArrow(*_block_batches(unit, summary=False)).join(shared, "anchor")
+    bits = docs.sparkSession.sparkContext.broadcast(_anchor_filter(shared))
+    back = source.mapInArrow(*_blocks(unit, bits)).join(shared, "anchor")
     found = materialise(back.where("mixed or ord > first").drop("first"), "repeats-blocks")
     plain = found.where("not mixed").select("ord", "key", "lo", "n")
 
@@ -273,16 +328,15 @@ def windows_of(reps: pa.Table, unit: Unit) -> tuple[np.ndarray, ...]:
     return row, at, [codes[start + o] for o in unit.offsets(unit.length)]
 
 
-def open_ends(reps: pa.Table) -> np.ndarray:
-    """Rows whose leading units are the first or last of their task."""
-    lead = np.array(reps.column("lead").to_pylist(), object)
-    return (lead == min(lead)) | (lead == max(lead))
-
-
 def dealt(reps: DataFrame, n: int) -> DataFrame:
-    """Blocks range-partitioned by their anchors' units, ties by block; the
-    splitters are sampled from the rows by ``repartitionByRange``."""
-    return reps.repartitionByRange(n, "lead", "block").select("anchor", "block", "ord", "lead", "units")
+    """Blocks range-partitioned by their anchors' units; Spark samples the
+    splitters. Anchors with more than ``GROUP`` blocks are spread over several
+    ranges and marked ``open``: their windows are compared across ranges."""
+    big = reps.groupBy("lead").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > GROUP)
+    # one row per GROUP blocks at most
+    led = reps.join(F.broadcast(big), "lead", "left").withColumn("open", F.col("_n").isNotNull())
+    led = led.withColumn("salt", F.when(F.col("open"), F.pmod("block", F.ceil(F.col("_n") / GROUP))).otherwise(F.lit(0)))
+    return led.repartitionByRange(n, "lead", "salt").select("anchor", "block", "ord", "lead", "units", "open")
 
 
 def whole(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
@@ -310,43 +364,82 @@ def resolved_rows(reps: pa.Table, row: np.ndarray, at: np.ndarray, parts: list[n
         ["anchor", "block", "at", "n", "first", "open", "d1", "d2"])
 
 
-def _strip(unit_is_word: bool, length: int):
+def _spans(lo: np.ndarray, n: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs [start, stop) of units that the windows cover."""
+    order = np.argsort(lo, kind="stable")
+    start, stop = lo[order], np.maximum.accumulate((lo + n - 1 + length)[order])
+    fresh = np.flatnonzero(np.r_[len(lo) > 0, start[1:] > stop[:-1]])
+    return start[fresh], stop[np.r_[fresh[1:], len(lo)][:len(fresh)] - 1]
+
+
+def _rest(raw: bytes, runs: pa.StructScalar, words: bool, length: int) -> tuple[bytes, int, int, int]:
+    """What stays of a text, its units, and the units and runs that go."""
+    units = raw.split() if words else raw
+    kept, gone, k = units, 0, 0
+    if runs.is_valid:
+        lo, n = (runs.values.field(c).to_numpy() for c in ("lo", "n"))
+        start, stop = _spans(lo, n, length)
+        gone, k = int((stop - start).sum()), len(start)
+        stay = zip(np.r_[0, stop].tolist(), np.r_[start, len(units)].tolist())
+        kept = [u for a, b in stay for u in units[a:b]] if words else b"".join(units[a:b] for a, b in stay)
+    return b" ".join(kept) if words else kept, len(units), gone, k
+
+
+def _readable(kept: bytes) -> bytes:
+    """Without halves of characters at seams."""
+    return kept.decode(errors="ignore").encode()
+
+
+def _strip(words: bool, length: int, with_text: bool):
     """Arrow function: rows with their repeated runs to what is left of them."""
     import hashlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text, runs = batch.column("text"), batch.column("runs")
-            total, removed, spans, digest, left = [], [], [], [], []
-            for i in range(batch.num_rows):
-                raw = (text[i].as_py() or "").encode()
-                units = raw.split() if unit_is_word else np.frombuffer(raw, np.uint8)
-                edge = np.zeros(len(units) + 1, np.int32)
-                for r in runs[i].as_py() or ():
-                    edge[r["lo"]] += 1
-                    edge[r["lo"] + r["n"] - 1 + length] -= 1
-                gone = np.cumsum(edge[:-1]) > 0
-                kept = (b" ".join(u for u, g in zip(units, gone) if not g) if unit_is_word else units[~gone].tobytes())
-                total.append(len(units)), removed.append(int(gone.sum()))
-                spans.append(int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum()))
-                digest.append(hashlib.sha256(kept).hexdigest()), left.append(kept)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in batch.schema.names if c not in ("text", "runs")),
-                 *(pa.array(c, pa.int64()) for c in (total, removed, spans)), pa.array(digest, pa.string()),
-                 pa.array(left, pa.binary())],
-                [*(c for c in batch.schema.names if c not in ("text", "runs")),
-                 "n_units", "n_removed", "n_spans", "kept_sha256", "kept"])
+            others = [c for c in batch.schema.names if c not in ("text", "runs")]
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                total, removed, spans, digest, left = [], [], [], [], []
+                for text, runs in zip(part.column("text"), part.column("runs")):
+                    kept, n, gone, k = _rest(text.as_py().encode(), runs, words, length)
+                    total.append(n), removed.append(gone), spans.append(k)
+                    digest.append(hashlib.sha256(kept).hexdigest()), left.append(_readable(kept) if with_text else None)
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in others), *(pa.array(c, pa.int64()) for c in (total, removed, spans)),
+                     pa.array(digest, pa.string()), pa.array(left, pa.binary())],
+                    [*others, "n_units", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     return run
 
 
+def cut_text(docs: DataFrame, runs: DataFrame, words: bool, length: int, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, with the repeated runs cut out of the texts. The
+    texts move once, to meet their runs; a NULL text stays NULL."""
+    per = runs.groupBy("ord", "key").agg(F.collect_set(F.struct("lo", "n")).alias("_runs")).select(
+        F.col("ord").alias("_ord"), F.col("key").alias("_key"), "_runs")
+    d = docs.withColumns({"_o": id_order(id_col), "_k": F.xxhash64(text_of(text_col))})
+    d = d.join(per, (F.col("_o") == F.col("_ord")) & (F.col("_k") == F.col("_key")), "left").select(*docs.columns, "_runs")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [_readable(_rest(t.as_py().encode(), r, words, length)[0]).decode() if r.is_valid else t.as_py()
+                     for t, r in zip(batch.column(text_col), batch.column("_runs"))]
+            names = [c for c in batch.schema.names if c != "_runs"]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in names], names)
+
+    return d.mapInArrow(run, docs.schema)
+
+
 def strip(docs: DataFrame, runs: DataFrame, words: bool, length: int, id_col: str = "doc_id",
-          text_col: str = "text") -> DataFrame:
+          text_col: str = "text", with_text: bool = True) -> DataFrame:
     """Every row's id and what stays of its text: ``n_units, n_removed,
-    n_spans, kept_sha256, kept`` (binary UTF-8)."""
+    n_spans, kept_sha256`` (of the bytes that stay) and ``kept`` (binary UTF-8
+    without halves of characters at seams; NULL unless ``with_text``)."""
     per = runs.groupBy("ord", "key").agg(F.collect_set(F.struct("lo", "n")).alias("runs"))
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), id_order(id_col).alias("ord"),
                     F.xxhash64(text_of(text_col)).alias("key"), text_of(text_col).alias("text"))
     joined = d.join(per, ["ord", "key"], "left").select("doc_id", "ord", "key", "text", "runs")
-    return joined.mapInArrow(_strip(words, length), "doc_id bigint, ord bigint, key bigint, n_units bigint, n_removed bigint, "
+    return joined.mapInArrow(_strip(words, length, with_text), "doc_id bigint, ord bigint, key bigint, n_units bigint, n_removed bigint, "
                                                     "n_spans bigint, kept_sha256 string, kept binary")
