@@ -141,7 +141,7 @@ def test_tokens_equal_the_library(documents, path):
     enc = tokens.Encoder(path, 2)
     texts = [t or "" for _, t in rows_of(documents)]
     texts += [" lead", "trail ", "a  b", "a \n b", "x,y.", "don't, can't.", "it's.,", "Ünï, cödé.\nÉ", "1,000.5 ,", "٣, ²,", "İstanbul ǅ ﬁ",
-              "á b", "\x85x", "a b c", "w" * 100 + " " + "w" * 100 + ".", "<|startoftext|> x", "ſ K Å"]
+              "á b", "\x85x", "a b c", "w" * 100 + " " + "w" * 100 + ".", "<|startoftext|> x", "ſ K Å", "a%%% b!! c_d e_ f's g's. x--y \"q\" (z) 12% 3.5$ ½% ²!\nNew.\nÉtat\nit's\n12 A\n\nB"]
     rng = random.Random(1)
     texts += ["".join(rng.choice("ab é.,'\n \tZ9_ß|") for _ in range(60)) for _ in range(300)]
     want = [np.array(enc.tok.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]

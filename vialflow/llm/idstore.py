@@ -41,10 +41,10 @@ from vialflow.llm.tokens import ids32, with_ids
 _HEAD = "<qI"
 _HEAD_BYTES = struct.calcsize(_HEAD)
 #: Bytes of text per shard, about.
-SHARD_TEXT = 32 << 20
+SHARD_TEXT = 8 << 20
 BUCKET = 2048
-_GROUP = 4
-_MASK = (1 << 64) - 1
+_GROUP = 2
+_TRIES = 64
 
 
 def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id",
@@ -58,15 +58,13 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
     total = d.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     d = (d.repartitionByRange(max(tasks_for(docs), total // SHARD_TEXT), "_id", F.xxhash64("_text"))
          .sortWithinPartitions("_id", F.xxhash64("_text")))
-    records = with_ids(d, "_text", tokenizer, end_id, width)
 
-    def frame(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [struct.pack(_HEAD, i, len(b) // width) + b
-                   for i, b in zip(batch.column("_id").to_pylist(), batch.column("ids").to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+    def frame(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = [struct.pack(_HEAD, i, len(b) // width) + b
+               for i, b in zip(batch.column("_id").to_pylist(), batch.column("ids").to_pylist())]
+        return pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
-    framed = records.mapInArrow(frame, "value binary")
+    framed = with_ids(d, "_text", tokenizer, end_id, width, then=frame, schema="value binary")
     framed.select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\n").text(path)
 
 
@@ -106,9 +104,9 @@ def records(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
 
 # -- minimal perfect hash ----------------------------------------------------
 
-def _mix(h: np.ndarray, d: int) -> np.ndarray:
+def _mix(h: np.ndarray, d: np.ndarray) -> np.ndarray:
     """64-bit finaliser of ``h`` displaced by ``d`` (fixed odd multipliers)."""
-    x = (h ^ np.uint64((d * 0x9E3779B97F4A7C15) & _MASK)).astype(np.uint64)
+    x = h ^ (np.asarray(d).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
     return x ^ (x >> np.uint64(33))
@@ -132,12 +130,16 @@ def displacements(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             continue
         d = 0
         while True:
-            want = (_mix(h[keys], d) % np.uint64(n)).astype(np.int64)
-            if not taken[want].any() and len(set(want.tolist())) == len(keys):
+            want = (_mix(h[keys][:, None], np.arange(d, d + _TRIES)) % np.uint64(n)).astype(np.int64)
+            free = ~taken[want].any(0)
+            ranked = np.sort(want, 0)
+            free &= (ranked[1:] != ranked[:-1]).all(0)
+            if free.any():
                 break
-            d += 1
-        disp[group[keys[0]]], slot[keys] = d, want
-        taken[want] = True
+            d += _TRIES
+        i = int(np.argmax(free))
+        disp[group[keys[0]]], slot[keys] = d + i, want[:, i]
+        taken[want[:, i]] = True
     for key, free in zip(singles, np.flatnonzero(~taken)):
         disp[group[key]], slot[key] = -int(free) - 1, free
     return disp, slot
@@ -146,11 +148,7 @@ def displacements(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def slots_of(h: np.ndarray, disp: np.ndarray, n: int) -> np.ndarray:
     """Slots of key hashes ``h`` under a bucket's displacements."""
     d = disp[(h % np.uint64(len(disp))).astype(np.int64)]
-    out = -d - 1
-    for value in np.unique(d[d >= 0]):
-        at = d == value
-        out[at] = (_mix(h[at], int(value)) % np.uint64(n)).astype(np.int64)
-    return out
+    return np.where(d < 0, -d - 1, (_mix(h, np.maximum(d, 0)) % np.uint64(n)).astype(np.int64))
 
 
 def _hash(key: Column) -> Column:

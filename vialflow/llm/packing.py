@@ -94,21 +94,22 @@ def _projection(n_ids: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, HASHED, n_ids), rng.standard_normal((HASHED, DIMS))
 
 
-def _with_keys(tokens: DataFrame, width: int, seed: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, project = _projection(1 << 16, seed)
-        for batch in batches:
-            cells = []
-            for b in batch.column("ids"):
-                ids = np.frombuffer(b.as_py(), f"<u{width}") & 0xFFFF
-                counts = np.bincount(place[ids], minlength=HASHED).astype(np.float64)
-                cells.append(np.tanh((counts / np.sqrt((counts * counts).sum())) @ project))
-            grid = np.minimum((0.5 + 0.5 * np.array(cells).reshape(-1, DIMS)) * (1 << BITS), (1 << BITS) - 1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hilbert_key(grid.astype(np.int64), BITS))],
-                                             [*batch.schema.names, "_curve"])
+def _keyed(width: int, seed: int):
+    """Arrow function: a batch with ``ids`` gets the documents' curve keys."""
+    made: list = []
+
+    def add(batch: pa.RecordBatch) -> pa.RecordBatch:
+        if not made:
+            made.extend(_projection(1 << 16, seed))
+        place, project = made
+        points = np.empty((batch.num_rows, DIMS))
+        for i, b in enumerate(batch.column("ids").to_pylist()):
+            counts = np.bincount(place[np.frombuffer(b, f"<u{width}") & 0xFFFF], minlength=HASHED).astype(np.float64)
+            points[i] = (counts / np.sqrt(counts @ counts)) @ project
+        grid = np.minimum((0.5 + 0.5 * np.tanh(points)) * (1 << BITS), (1 << BITS) - 1).astype(np.int64)
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(hilbert_key(grid, BITS))], [*batch.schema.names, "_curve"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.schema.fields)
-    return tokens.mapInArrow(run, f"{schema}, _curve bigint")
+    return add
 
 
 def running_start(rows: DataFrame, order: list[str], value: str, out: str, n: int) -> DataFrame:
@@ -158,7 +159,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, max_tokens: int = MAX_TOK
     unsigned 32-bit), ``doc_tokens, sequence_id, offset``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), id_order(id_col).alias("_order"),
                        F.monotonically_increasing_id().alias("_rid"), F.col(text_col).alias("_text"))
-    tokens = materialise(_with_keys(with_ids(rows, "_text", tokenizer, end_id, width), width, seed), "pack-tokens")
+    tokens = materialise(with_ids(rows, "_text", tokenizer, end_id, width, then=_keyed(width, seed),
+                                  schema="doc_id bigint, _order bigint, _rid bigint, ids binary, _curve bigint"), "pack-tokens")
     lengths = tokens.select("_rid", "_curve", "_order", (F.octet_length("ids") / width).cast("long").alias("_n"))
     starts = running_start(lengths, ["_curve", "_order", "_rid"], "_n", "_start", tasks_for(docs))
     placed = tokens.select("_rid", "doc_id", "ids").join(starts.select("_rid", "_start"), "_rid")
