@@ -46,9 +46,9 @@ _SEGMENT = 1 << 19
 GROUP = 1 << 18
 
 #: Units per kernel call; a longer document is read in overlapping stretches.
-_STRETCH = 1 << 20
+_STRETCH = 1 << 19
 _PLACE_BITS = 24
-_KNOWN_WORDS = 200_000
+_KNOWN_WORDS = 100_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:

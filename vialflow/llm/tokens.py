@@ -40,13 +40,13 @@ def _whole(t: str) -> bool:
 _FEEDS = re.compile(r"\n+").sub
 #: Pieces kept per worker (memory only): later ones, which are rare, are
 #: encoded whenever they occur.
-_KNOWN = 600_000
+_KNOWN = 300_000
 _LONG = 64
 #: ASCII punctuation but the apostrophe: a run of it after a letter or digit
 #: is a piece of its own in both vocabularies.
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Bytes of text that are encoded in one go.
-_STEP = 6 << 20
+_STEP = 3 << 20
 _ENCODERS: dict = {}
 
 
