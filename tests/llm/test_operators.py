@@ -278,6 +278,40 @@ def test_lm_helps_on_held_out_texts(ready):
     assert ngrams.score(docs.where("1 = 0"), full, model).collect() == []
 
 
+def test_lm_score_is_the_same_at_any_size(ready):
+    """Words outside the table and a filter that is not broadcast change the way, not the score."""
+    rng = random.Random(6)
+    # w50 .. w299 are rare, yet have pairs that occur twice or more
+    rows = [(i, " ".join(f"w{min(rng.randrange(300), rng.randrange(300))} then w{rng.randrange(300)}"
+                         for _ in range(rng.randint(0, 60)))) for i in range(300)]
+    docs = ready.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    toks = {i: [None, *t.split(), "</s>"] for i, t in rows}
+    out_of = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
+    train = [t for i, t in toks.items() if not out_of(i)]
+    c = Counter(w for t in train for w in t[1:])
+    pairs = Counter(p for t in train for p in zip(t, t[1:]))
+    stored = {p: 2.0 ** int(np.log2(k)) for p, k in pairs.items() if k >= 2}
+    mass = Counter()
+    for (h, _), q in stored.items():
+        mass[h] += q
+    n, v = sum(c.values()), len(c)
+    times = {**c, None: len(train)}
+
+    def p(h, w):
+        rest = max(times.get(h, 0) - mass[h], 0) + 10.0
+        return (stored.get((h, w), 0.0) + rest * (c[w] + 0.1) / (n + 0.1 * (v + 1))) / (times.get(h, 0) + 10.0)
+
+    want = {i: sum(log10(p(h, w)) for h, w in zip(t, t[1:])) for i, t in toks.items()}
+    got = []
+    for bounds in ({}, {"table_words": 40}, {"filter_entries": 100}, {"table_words": 40, "filter_entries": 100}):
+        full, model = ngrams.train(docs, **bounds)
+        got.append({r["doc_id"]: r["score"] for r in ngrams.score(docs, full, model).collect()})
+        assert got[-1] == pytest.approx(got[0], abs=1e-9)
+        assert (model["least"] > 1) == ("table_words" in bounds) and (model["bits"] is None) == ("filter_entries" in bounds)
+    # false positives of the filter only
+    assert sum(abs(got[0][i] - want[i]) for i in want) < 0.02 * sum(abs(s) for s in want.values())
+
+
 def test_filter_reads_back_levels(ready):
     rows = [(5, i, 1 + i % 6) for i in range(5000)]
     deal, fill = ngrams._build(3)
