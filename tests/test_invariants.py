@@ -134,3 +134,18 @@ def test_find_sections_at_any_depth(spark):
     assert got["Key six"] == ("0.0.0.0.0.0", " > Key 1 > Key 2 > Key 3 > Key 4 > Key 5 > Key six", "six", 1)
     assert got["Key 1"] == ("0", " > Key 1", "line 1\nline 2", 6) and len(got) == 6
     assert T.find_sections(df.where("id > 1"), "id", "js", "key").collect() == []
+
+
+def test_nearest_row_has_no_bound_on_proposals(spark):
+    from vialflow.operators.joins import nearest_row
+    pool = [(i, float(i * 37 % 101), float(i * 53 % 97)) for i in range(20)]
+    # 10,001 were refused before; 20,001 are met in blocks instead of a broadcast
+    for n in (10_001, 20_001):
+        props = spark.range(n).select("id", (F.col("id") * 7 % 101).cast("double").alias("x"),
+                                      (F.col("id") * 11 % 97).cast("double").alias("y"))
+        got = nearest_row(props, spark.createDataFrame(pool, "k int, x double, y double"), ["x", "y"], "id", "k").collect()
+        assert len(got) == n
+        for r in got:
+            x, y = r["id"] * 7 % 101, r["id"] * 11 % 97
+            d2, k = min(((a - x) ** 2 + (b - y) ** 2, k) for k, a, b in pool)
+            assert r["k"] == k and math.isclose(r["distance"], math.sqrt(d2))
