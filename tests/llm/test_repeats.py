@@ -80,6 +80,20 @@ def test_odd_rows(documents, clashing, nothing, case):
     assert run(nothing).collect() == []
 
 
+@pytest.mark.parametrize("case", CASES)
+def test_null_id_comes_first(ready, case):
+    """A text without an id is repeated by one with an id, in one kernel call and in several."""
+    run, n, units, length, join = CASES[case]
+    text = " ".join(f"w{i * i % 97}x{i % 11}" for i in range(120))
+    rows = [(7, "a " + text), (None, text), (0, text + " z"), ((1 << 63) - 1, text), (-5, text[:400])]
+    df = ready.createDataFrame(rows, "doc_id bigint, text string")
+    want = brute(rows, units, length, join)
+    for parts in (1, 5):
+        got = run(df.repartition(parts)).select("doc_id", n, "n_removed", "n_spans", "kept_sha256").collect()
+        assert sorted([tuple(r) for r in got], key=repr) == want
+    assert {r[0]: r[2] for r in want}[None] == 0
+
+
 def test_long_texts_are_read_in_stretches(ready, monkeypatch):
     monkeypatch.setattr(repeats, "_STRETCH", 64)
     df, rows = shuffled_passages(ready, 5)

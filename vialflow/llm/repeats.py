@@ -180,8 +180,9 @@ def _stretches(texts, unit: Unit) -> Iterator[tuple[np.ndarray, np.ndarray, list
 
 def _summaries(unit: Unit):
     """Arrow function: (ord, key, text) to one row per anchor of a kernel call
-    with its smallest and largest block and id (the largest as differences)."""
-    names = ["anchor", "block", "block_up", "ord", "ord_up"]
+    with its smallest and largest block (the largest as a difference), its
+    smallest id and whether it has several ids (ids may be 2^63 apart)."""
+    names = ["anchor", "block", "block_up", "ord", "several"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,10 +196,11 @@ def _summaries(unit: Unit):
                 a, b, i = anchor[order], block[order].view(np.int64), ids_of[order]
                 head = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
                 b0, i0 = np.minimum.reduceat(b, head), np.minimum.reduceat(i, head)
-                cols = [a[head].view(np.int64), b0, np.maximum.reduceat(b, head) - b0, i0, np.maximum.reduceat(i, head) - i0]
+                several = np.maximum.reduceat(i, head) > i0
+                cols = [a[head].view(np.int64), b0, np.maximum.reduceat(b, head) - b0, i0, several]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
 
-    return run, ", ".join(f"{c} bigint" for c in names)
+    return run, ", ".join(f"{c} bigint" for c in names[:-1]) + ", several boolean"
 
 
 def _blocks(unit: Unit, shared):
@@ -289,8 +291,8 @@ def repeated(docs: DataFrame, unit: Unit, resolve: Callable[[DataFrame, int], Da
     seen = source.mapInArrow(*_summaries(unit)).repartition(tasks_for(docs), "anchor")
     per = seen.groupBy("anchor").agg(
         F.min("block").alias("b0"), F.max(F.col("block") + F.col("block_up")).alias("b1"),
-        F.min("ord").alias("first"), F.max(F.col("ord") + F.col("ord_up")).alias("last"))
-    shared = materialise(per.where("first < last").select("anchor", "first", (F.col("b0") != F.col("b1")).alias("mixed")),
+        F.min("ord").alias("first"), F.max("ord").alias("last"), F.max("several").alias("several"))
+    shared = materialise(per.where("several or first < last").select("anchor", "first", (F.col("b0") != F.col("b1")).alias("mixed")),
                          "repeats-anchors")
     bits = docs.sparkSession.sparkContext.broadcast(_anchor_filter(shared))
     back = source.mapInArrow(*_blocks(unit, bits)).join(shared, "anchor")
