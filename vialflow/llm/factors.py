@@ -1,23 +1,18 @@
-"""Duplicate word spans by relative Lempel-Ziv parsing.
+"""Duplicate word spans by shared anchors and window digests.
 
 Every word that a window of 13 words covers which also starts in a document
-with a smaller id is removed. Documents are parsed against reference blocks:
-
-* a reference block holds all phrases of the corpus whose anchor words fall
-  into its range (``repeats``: the phrases around anchors that occur in
-  several documents with different surroundings; equal phrases are one). So
-  the blocks that can match a phrase are met by sending it to one place, and
-  every phrase meets every indexed block that could hold a part of it;
-* a block indexes its phrases by their 13-word strings and remembers the first
-  document of each;
-* each phrase is parsed greedily from the left: a factor starts at a string
-  that the index holds and goes on while the following strings come first in
-  the same document. Strings that straddle the boundary of two factors are
-  looked up like all others, so no span is lost at a boundary; phrases of an
+with a smaller id is removed. The spans are those of a relative Lempel-Ziv
+parse with factors of 13 words or more, but no greedy parse is done:
+
+* ``repeats`` brings together the phrases around anchors that occur in several
+  documents with different surroundings (equal phrases are one), in blocks by
+  ranges of the anchors; anchors with one surrounding need no look-up;
+* a block indexes its phrases by the digests of their 13-word strings and
+  remembers the first document of each;
+* every string of every phrase is looked up, so no span is lost at a boundary,
+  and neighbours with the same first document become one run; phrases of an
   anchor that is spread over several blocks are compared across them.
 
-Factors of 13 words or more from an earlier document are duplicate spans.
-
 Defined cases: NULL, empty and short texts (under 13 words) have no window and
 lose nothing; NULL ids sort first; rows that repeat an id do not count as
 earlier than each other; an empty table gives no rows; other columns are
@@ -57,7 +52,7 @@ def _parse_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     row, at, words = repeats.windows_of(phrases, UNIT)
     digests = [repeats.chain(words, seed) for seed in (1, 2)]
     first = index_strings(digests, phrases.column("ord").to_numpy()[row])
-    # consecutive strings of one phrase with the same first document: a factor
+    # consecutive strings of one phrase with the same first document: a run
     yield repeats.resolved_rows(phrases, row, at, words, first, phrases.column("open").to_numpy())
 
 
