@@ -9,7 +9,7 @@ import pytest
 from vialflow.llm.queries import ORACLE, QUERIES
 
 SF = os.environ.get("VIALFLOW_TEST_SF", "/root/testdata/sf0.001")
-TABLES = "documents embeddings labels conversations".split()
+TABLES = "documents embeddings benchmark labels conversations".split()
 
 
 def _norm(v):
@@ -34,5 +34,5 @@ def test_matches_sql(spark, name):
     assert got and got == _rows(cols, res.fetchall())
 
 
-def test_all_ten_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_all_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
