@@ -1,5 +1,5 @@
 """All queries and SQL of this package; importing it registers them."""
 
 from vialflow.llm import (  # noqa: F401
-    factors, idstore, mixing, neardup, ngrams, packing, quality, ranking, suffixes, toolcalls, topk, whitening)
+    factors, idstore, linecrf, mixing, neardup, ngrams, packing, quality, ranking, suffixes, toolcalls, topk, whitening)
 from vialflow.llm.common import ORACLE, QUERIES  # noqa: F401
