@@ -408,7 +408,8 @@ def test_tool_calls(ready):
         (None, "a", 1, "search", "{}", None), (2, "h", 1, "search", '{"query":"x"}', ["i"]), (2, "i", 1, "search", None, ["h"]),
         (2, "j", 1, "search", '{"query":"x","limit":1,"more":{}}', None),
     ], "conv_id long, call_id string, seq long, name string, arguments string, after array<string>")
-    results = ready.createDataFrame([(1, "a", 7, "late"), (1, "a", 6, "found"), (1, "b", 8, None), (3, "a", 1, "lost")],
+    results = ready.createDataFrame([(1, "a", 7, "late"), (1, "a", 6, "found"), (1, "b", 8, None), (3, "a", 1, "lost"),
+                                     (None, "b", 4, "x"), (1, None, 3, "y"), (1, None, 3, "y")],
                                     "conv_id long, call_id string, seq long, content string")
     schemas = ready.createDataFrame([("search", "query", "string", True), ("search", "limit", "integer", True)],
                                     "name string, parameter string, type string, required boolean")
@@ -418,15 +419,66 @@ def test_tool_calls(ready):
         (1, "a", 5): "ok", (1, "b", 6): "ok", (1, "c", 1): "bad_arguments", (1, "d", 2): "unknown_tool",
         (1, "e", 3): "bad_arguments", (1, "f", 4): "cycle", (1, "g", 7): "missing_dependency", (1, "b", 9): "repeated_id",
         (1, None, 1): "no_id", (None, "a", 1): "no_id", (2, "h", 1): "cycle", (2, "i", 1): "cycle", (2, "j", 1): "bad_arguments",
-        (3, "a", 1): "orphan_result"}
+        (3, "a", 1): "orphan_result", (None, "b", 4): "orphan_result", (1, None, 3): "orphan_result"}
+    extra = {c: F.lit("extra") for c in ("level", "status", "args", "before", "floor", "far", "_b")}
+    again = toolcalls.link(calls.withColumns(extra), results.withColumns(extra), schemas.withColumns({"kind": F.lit(1), "args": F.lit(1)}))
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, got.values()))
     order = sorted((r["position"], k[1]) for k, r in got.items() if k[0] == 1 and r["position"] is not None)
     assert order == [(0, "c"), (1, "d"), (2, "e"), (3, "b"), (4, "g"), (5, "a")]
     assert got[1, "a", 5]["line"] == '{"after":["b"],"arguments":{"limit":3,"query":"qé"},"id":"a","name":"search","result":"found"}'
     none = calls.where("1 = 0")
-    assert [r["status"] for r in toolcalls.link(none, results, schemas).collect()] == ["orphan_result"] * 3
+    assert [r["status"] for r in toolcalls.link(none, results, schemas).collect()] == ["orphan_result"] * 5
     assert toolcalls.link(none, results.where("1 = 0"), schemas).collect() == []
 
 
+def brute_levels(ids, waits):
+    need = {c: {b for a, b in waits if a == c} for c in ids}
+    level = {}
+    while True:
+        ready_now = [c for c in need if c not in level and need[c] <= level.keys()]
+        if not ready_now:
+            return level
+        for c in ready_now:
+            level[c] = max((level[b] + 1 for b in need[c]), default=0)
+
+
+def test_levels_of_random_graphs(ready):
+    rng = random.Random(6)
+    ids, waits = [], []
+    for conv in range(12):
+        n = rng.randrange(1, 40)
+        ids += [(conv, f"c{i}") for i in range(n)]
+        for i in range(1, n):
+            many = rng.choice([0, 1, 1, 1, 1, 2, 3])
+            waits += [((conv, f"c{i}"), (conv, f"c{rng.randrange(max(0, i - 4), i)}")) for _ in range(many)]
+        if conv % 4 == 0 and n > 6:  # a circle, and what hangs on it
+            waits += [((conv, "c1"), (conv, "c3")), ((conv, "c3"), (conv, "c1"))]
+    calls = ready.createDataFrame(ids, "conv_id long, call_id string")
+    rows = ready.createDataFrame([(*a, b[1]) for a, b in waits], "conv_id long, call_id string, before string")
+    got = {(r["conv_id"], r["call_id"]): r["level"] for r in toolcalls.levels(calls, rows).collect()}
+    assert got == brute_levels(ids, set(waits))
+
+
+def test_a_chain_of_a_thousand_calls_takes_few_rounds(ready, monkeypatch):
+    n, written = 1000, []
+    table = toolcalls.materialise
+    monkeypatch.setattr(toolcalls, "materialise", lambda df, name: written.append(name) or table(df, name))
+    calls = ready.range(n).select(F.lit(1).alias("conv_id"), F.format_string("c%d", "id").alias("call_id"), "id")
+    waits = calls.where("id > 0").select("conv_id", "call_id", F.format_string("c%d", F.col("id") - 1).alias("before"))
+    got = {r["call_id"]: r["level"] for r in toolcalls.levels(calls, waits).collect()}
+    assert got == {f"c{i}": i for i in range(n)} and written.count("calls-links") <= 12
+
+
+def test_long_arguments(ready):
+    big = "x" * 300_000
+    calls = ready.createDataFrame([(1, "a", 0, "t", '{"q":"' + big + '"}', None)],
+                                  "conv_id long, call_id string, seq long, name string, arguments string, after array<string>")
+    results = ready.createDataFrame([(1, "a", 1, big)], "conv_id long, call_id string, seq long, content string")
+    schemas = ready.createDataFrame([("t", "q", "string", True)], "name string, parameter string, type string, required boolean")
+    (row,) = toolcalls.link(calls, results, schemas).collect()
+    assert row["status"] == "ok" and row["line"].count("x") == 600_000
+
+
 # -- top-k ------------------------------------------------------------------
 
 def test_top_k_odd_vectors(ready, monkeypatch):

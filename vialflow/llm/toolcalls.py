@@ -10,8 +10,8 @@ Inputs are three tables:
 
 Calls and results are joined by (conversation, call id). Calls are ordered
 topologically by their dependencies: a call's level is one more than the
-highest of the calls it waits for; rounds settle one level each and carry only
-the calls that a newly settled one releases. Positions within a conversation
+highest of the calls it waits for; chains are halved by pointer jumping, so
+rounds follow the logarithm of the longest chain. Positions within a conversation
 follow (level, seq, call id) and come from one range-partitioned running
 count, so a conversation with a third of all calls is no single task's work.
 Arguments are parsed once to VARIANT, whose text form has sorted keys and no
@@ -26,8 +26,9 @@ for itself, directly or not; no position), ``unknown_tool``,
 ``bad_arguments`` (NULL, no JSON object, a missing or unknown parameter, a
 wrong type), ``missing_dependency`` (waits for an id that is no call),
 ``missing_result``, else ``ok``; the first that applies. A result without a
-call has status ``orphan_result`` and no position; of several results to a
-call the smallest (seq, content) counts. Empty tables give no rows; extra
+call, NULL ids included, has status ``orphan_result`` and no position; of several
+results to an id the smallest (seq, content) counts, and of those with a NULL
+id each distinct one. Empty tables give no rows; extra
 columns are ignored.
 """
 
@@ -36,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialflow.llm.common import materialise, prepare, read, register, tasks_for
+from vialflow.llm.common import materialise, prepare, read, register, scratch, tasks_for
 from vialflow.llm.packing import running_start
 
 KEY = ["conv_id", "call_id"]
@@ -59,27 +60,78 @@ def _kind(value: Column) -> Column:
             .when(s.startswith("OBJECT"), "object").otherwise("null"))
 
 
+def _jump(links: DataFrame, rounds: int) -> DataFrame:
+    """Follows ``links`` (``conv_id, call_id, before, floor, far``: a call that
+    waits for one other, its level is max(floor, level of ``before`` + far)) to
+    the first call that is no link itself. Each round doubles the way covered, so
+    a chain takes as many rounds as the logarithm of its length; what is then
+    still on the way goes round a circle and is left out."""
+    far = materialise(links.withColumn("_moved", F.lit(True)), "calls-links")
+    for _ in range(rounds):
+        t = far.select("conv_id", F.col("call_id").alias("before"), F.col("before").alias("_b"), F.col("floor").alias("_f"),
+                       F.col("far").alias("_d"))
+        on = F.col("_b").isNotNull()
+        far = materialise(far.join(t, ["conv_id", "before"], "left").select(
+            *KEY, F.coalesce("_b", "before").alias("before"),
+            F.when(on, F.greatest("floor", F.col("_f") + F.col("far"))).otherwise(F.col("floor")).alias("floor"),
+            F.when(on, F.col("far") + F.col("_d")).otherwise(F.col("far")).alias("far"), on.alias("_moved")), "calls-links")
+        if far.where("_moved").isEmpty():
+            break
+    return far.where("not _moved").drop("_moved")
+
+
 def levels(calls: DataFrame, waits: DataFrame) -> DataFrame:
     """``conv_id, call_id, level`` of the calls that can be ordered.
 
-    ``waits``: ``conv_id, call_id, before``, pairs of existing calls. As many
-    rounds as the longest chain of dependencies, each over its frontier.
+    ``waits``: ``conv_id, call_id, before``, pairs of existing calls. A round
+    settles the calls that wait for nothing, shortens every chain of calls that
+    wait for one other each to one step (``_jump``), and hands both on to the
+    calls that wait for several: steps to the same call merge into the longest,
+    steps to settled calls become a least level. Rounds grow with the longest
+    run of calls that still wait for several, never with the length of chains.
+    What a round settles is written to one folder, a subfolder per round.
     """
-    waits = materialise(waits.distinct(), "calls-waits")
-    need = waits.groupBy(KEY).agg(F.count(F.lit(1)).alias("open"))
-    open_calls = materialise(need, "calls-open")
-    front = materialise(calls.select(KEY).join(open_calls, KEY, "left_anti").withColumn("level", F.lit(0)), "calls-level")
-    done = front
-    while not open_calls.isEmpty() and not front.isEmpty():
-        freed = (front.select("conv_id", F.col("call_id").alias("before"), "level").join(waits, ["conv_id", "before"])
-                 .groupBy(KEY).agg(F.count(F.lit(1)).alias("n"), F.max("level").alias("level")))
-        # only calls reached in this round change; the last one reached gives the level
-        met = materialise(open_calls.join(freed, KEY), "calls-met")
-        front = materialise(met.where("open = n").select(*KEY, (F.col("level") + 1).alias("level")), "calls-level")
-        rest = met.where("open > n").select(*KEY, (F.col("open") - F.col("n")).alias("open"))
-        open_calls = materialise(open_calls.join(met.select(KEY), KEY, "left_anti").unionByName(rest), "calls-open")
-        done = done.unionByName(front)
-    return done
+    spark = calls.sparkSession
+    path, rounds, schema = scratch(spark, "calls-level"), 0, None
+    edges = materialise(waits.distinct().withColumn("far", F.lit(1)), "calls-waits")
+    nodes = calls.select(*KEY, F.lit(0).alias("floor"))
+    left = []  # links whose end is not settled yet, by round
+
+    def settle(rows: DataFrame, part: str) -> DataFrame:
+        rows.select(*KEY, "level").write.parquet(f"{path}/{part}")
+        return spark.read.schema(schema).parquet(f"{path}/{part}")
+    schema = nodes.select(*KEY, F.col("floor").alias("level")).schema
+    while True:
+        degree = edges.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"), F.min("before").alias("before"), F.min("far").alias("far"))
+        all_nodes = materialise(nodes.join(degree, KEY, "left"), "calls-nodes")
+        free = settle(all_nodes.where("_n is null").withColumnRenamed("floor", "level"), f"{rounds}-free")
+        several = all_nodes.where("_n > 1")
+        ends = free.select("conv_id", F.col("call_id").alias("before"), F.col("level").alias("_level"))
+        links = all_nodes.where("_n = 1").select(*KEY, "before", "floor", "far")
+        links = materialise(_jump(links, 2 + links.count().bit_length()).join(ends, ["conv_id", "before"], "left"), "calls-ends")
+        settle(links.where("_level is not null").withColumn("level", F.greatest("floor", F.col("_level") + F.col("far"))),
+               f"{rounds}-links")
+        left.append(links.where("_level is null"))
+        if several.isEmpty() or free.isEmpty():
+            break
+        # steps of the calls that wait for several: past links, and settled ends turned into least levels
+        via = links.select("conv_id", F.col("call_id").alias("before"), F.col("before").alias("_end"), F.col("floor").alias("_f"),
+                           F.col("far").alias("_d"))
+        steps = (edges.join(several.select(KEY), KEY, "left_semi").join(via, ["conv_id", "before"], "left")
+                 .select(*KEY, F.coalesce("_end", "before").alias("before"), (F.col("far") + F.coalesce("_d", F.lit(0))).alias("far"),
+                         (F.col("far") + F.col("_f")).alias("_least")).join(ends, ["conv_id", "before"], "left"))
+        steps = materialise(steps, "calls-steps")
+        least = steps.groupBy(KEY).agg(F.max(F.greatest(F.coalesce("_least", F.lit(0)), F.coalesce(
+            F.col("_level") + F.col("far"), F.lit(0)))).alias("_least"))
+        nodes = several.join(least, KEY).select(*KEY, F.greatest("floor", "_least").alias("floor"))
+        edges = materialise(steps.where("_level is null").groupBy(*KEY, "before").agg(F.max("far").alias("far")), "calls-waits")
+        rounds += 1
+    settled = lambda: spark.read.schema(schema).parquet(f"{path}/*")
+    for k in range(rounds - 1, -1, -1):  # links that ended at a call of a later round
+        ends = settled().select("conv_id", F.col("call_id").alias("before"), F.col("level").alias("_end"))
+        settle(left[k].join(ends, ["conv_id", "before"]).withColumn("level", F.greatest("floor", F.col("_end") + F.col("far"))),
+               f"{k}-late")
+    return settled()
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -88,6 +140,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     calls = calls.select("conv_id", "call_id", "seq", "name", "arguments",
                          F.array_sort(F.array_distinct(F.coalesce("after", F.array().cast("array<string>")))).alias("after"))
     calls = calls.distinct()
+    schemas = schemas.select("name", "parameter", "type", "required")
     has_id = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
     body = F.struct("seq", "name", "arguments", "after")
     known = calls.where(has_id)
@@ -99,8 +152,9 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
 
     answers = (results.where(has_id).groupBy(KEY).agg(F.min(F.struct("seq", "content")).alias("_r"))
                .select(*KEY, F.col("_r.seq").alias("result_seq"), F.col("_r.content").alias("result")))
-    orphans = answers.join(one.select(KEY), KEY, "left_anti").select(
-        *KEY, F.col("result_seq").alias("seq"), F.lit("orphan_result").alias("status"))
+    orphans = answers.join(one.select(KEY), KEY, "left_anti").select(*KEY, F.col("result_seq").alias("seq"))
+    lost = results.where(~has_id).select(*KEY, "seq", "content").distinct().select(*KEY, "seq")  # no call can have their ids
+    orphans = orphans.unionByName(lost).withColumn("status", F.lit("orphan_result"))
 
     asked = one.select(*KEY, F.explode("after").alias("before"))
     ids = one.select("conv_id", F.col("call_id").alias("before"))
