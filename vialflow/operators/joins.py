@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vialflow.operators.similarity import against
+from vialflow.operators.nearest import nearest
 
 
 def _keys(k) -> list[str]:
@@ -128,19 +128,8 @@ def _nearest(x: Column, arr: Column) -> Column:
 def nearest_row(props: DataFrame, pool: DataFrame, feats: Sequence[str], prop_id: str,
                 pool_id: str) -> DataFrame:
     """Nearest pool row (Euclidean over ``feats``) to every proposal; ties go
-    to the smallest pool id.
-
-    Any number of proposals: few are broadcast, more are met block by block
-    (``similarity.against``). A partial ``min_by`` aggregate per proposal
-    leaves one candidate per proposal and task to shuffle.
-    """
-    p = props.select(F.col(prop_id), *[F.col(f).cast("double").alias(f"_p_{f}") for f in feats])
-    q = pool.select(F.col(pool_id), *[F.col(f).cast("double").alias(f"_q_{f}") for f in feats])
-    d2 = sum(((F.col(f"_q_{f}") - F.col(f"_p_{f}")) ** 2 for f in feats), F.lit(0.0))
-    pairs = against(q, p).select(prop_id, pool_id, d2.alias("_d2"))
-    return pairs.groupBy(prop_id).agg(
-        F.min_by(F.col(pool_id), F.struct("_d2", pool_id)).alias(pool_id),
-        F.sqrt(F.min("_d2")).alias("distance"))
+    to the smallest pool id. Any number of both: see ``operators.nearest``."""
+    return nearest(props, pool, feats, prop_id, pool_id)
 
 
 def route_identifier(col: Column | str, code_pattern: str) -> Column:

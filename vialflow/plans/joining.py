@@ -131,8 +131,7 @@ def snap_levels(spark, sf):
 
 
 @register("nearest_row", sql="""
-WITH p AS (SELECT s_suppkey, s_acctbal / 200.0 AS x, s_nationkey::DOUBLE AS y FROM supplier
-           ORDER BY s_acctbal DESC, s_suppkey LIMIT 20),
+WITH p AS (SELECT s_suppkey, s_acctbal / 200.0 AS x, s_nationkey::DOUBLE AS y FROM supplier),
 q AS (SELECT c_custkey, c_acctbal / 200.0 AS x, c_nationkey::DOUBLE AS y FROM customer),
 d AS (SELECT s_suppkey, c_custkey, (q.x - p.x) ^ 2 + (q.y - p.y) ^ 2 AS d2 FROM p, q)
 SELECT s_suppkey, arg_min(c_custkey, (d2, c_custkey)) AS c_custkey, round(sqrt(min(d2)), 6) AS distance
@@ -140,8 +139,8 @@ FROM d GROUP BY s_suppkey
 """)
 def nearest_row(spark, sf):
     t = Tables(spark, sf)
-    props = (t.supplier.orderBy(F.col("s_acctbal").desc(), "s_suppkey").limit(20)
-             .select("s_suppkey", (F.col("s_acctbal") / 200.0).alias("x"), F.col("s_nationkey").cast("double").alias("y")))
+    props = t.supplier.select("s_suppkey", (F.col("s_acctbal") / 200.0).alias("x"),
+                              F.col("s_nationkey").cast("double").alias("y"))
     pool = t.customer.select("c_custkey", (F.col("c_acctbal") / 200.0).alias("x"),
                              F.col("c_nationkey").cast("double").alias("y"))
     out = joins.nearest_row(props, pool, ["x", "y"], "s_suppkey", "c_custkey")

@@ -11,6 +11,8 @@ def _rh(x):
     """SQL twin of rnd_half_up."""
     return f"round(({x}) + sign({x}) * 1e-9, 6)"
 from vialflow.operators import planning as P
+from vialflow.operators.pareto import hypervolume_3d as volume_3d
+from vialflow.operators.pareto import pareto_nd
 from vialflow.plans.columns import _u
 from vialflow.plans.registry import register
 from vialflow.plans.standins import ARMS_SQL, RUNS_SQL, arm_log, runs
@@ -194,6 +196,41 @@ def hypervolume_2d(spark, sf):
     return hv.select(rnd("hypervolume").alias("hypervolume"))
 
 
+# three objectives: yield, purity and a low price
+_POINTS3_SQL = f"(SELECT DISTINCT yield AS x, purity AS y, -price AS z FROM {RUNS_SQL} r0)"
+#: Points that no other dominates; per (x, y) only the highest z can, so few are compared.
+_FRONT3_SQL = f"""(WITH b AS (SELECT x, y, max(z) AS z FROM {_POINTS3_SQL} p GROUP BY x, y)
+SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM b q WHERE q.x >= b.x AND q.y >= b.y AND q.z >= b.z
+                                  AND (q.x > b.x OR q.y > b.y OR q.z > b.z)))"""
+
+
+def _objectives3(spark, sf):
+    return runs(spark, sf).select("l_orderkey", "l_linenumber", "yield", "purity", (-F.col("price")).alias("cheapness"))
+
+
+@register("pareto_front_3", sql=f"""
+SELECT r.l_orderkey, r.l_linenumber, r.yield, r.purity, -r.price AS cheapness FROM {RUNS_SQL} r
+JOIN {_FRONT3_SQL} f ON f.x = r.yield AND f.y = r.purity AND f.z = -r.price
+""")
+def pareto_front_3(spark, sf):
+    """Runs that no other run beats in yield, purity and price together."""
+    p = pareto_nd(_objectives3(spark, sf), ["yield", "purity", "cheapness"])
+    return p.where("on_front").drop("on_front")
+
+
+# prices lie below 120,000; the volume is taken above (0, 0, -120,000)
+@register("hypervolume_3d", sql=f"""
+WITH f AS {_FRONT3_SQL}, u AS (SELECT x, y, z + 120000.0 AS z FROM f WHERE x > 0 AND y > 0 AND z > -120000.0),
+xs AS (SELECT x, x - coalesce(lag(x) OVER (ORDER BY x), 0.0) AS w FROM (SELECT DISTINCT x FROM u)),
+ys AS (SELECT y, y - coalesce(lag(y) OVER (ORDER BY y), 0.0) AS h FROM (SELECT DISTINCT y FROM u)),
+cells AS (SELECT xs.x, ys.y, any_value(w * h) AS a, max(u.z) AS top FROM xs, ys JOIN u ON u.x >= xs.x AND u.y >= ys.y GROUP BY xs.x, ys.y)
+SELECT round(coalesce(sum(a * top), 0.0), 3) AS hypervolume FROM cells
+""")
+def hypervolume_3d(spark, sf):
+    hv = volume_3d(_objectives3(spark, sf), "yield", "purity", "cheapness", (0.0, 0.0, -120000.0))
+    return hv.select(F.round("hypervolume", 3).alias("hypervolume"))
+
+
 @register("simplex_weights", sql=f"""
 WITH e AS (SELECT event_id, -ln(1.0 - {_u('event_id', '4:0')}) AS e0, -ln(1.0 - {_u('event_id', '4:1')}) AS e1,
                   -ln(1.0 - {_u('event_id', '4:2')}) AS e2 FROM events)
