@@ -109,12 +109,21 @@ def cross_retrieve(spark, sf):
                                    F.col("rank").cast("bigint").alias("rank"))
 
 
-@register("tanimoto_pairs")
+@register("tanimoto_pairs", sql=r"""
+WITH d AS (SELECT doc_id, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> ''))) AS s
+           FROM documents),
+r AS (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY s) AS rep FROM d WHERE len(s) > 0),
+tok AS (SELECT doc_id, len(s) AS n, unnest(s) AS tok FROM r WHERE doc_id = rep),
+i AS (SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS shared
+      FROM tok x JOIN tok y ON x.tok = y.tok AND x.doc_id < y.doc_id AND y.n >= 0.8 * x.n AND x.n >= 0.8 * y.n GROUP BY 1, 2)
+SELECT a, b, round(shared / (na + nb - shared), 9) AS jaccard FROM i WHERE shared / (na + nb - shared) >= 0.8
+UNION ALL SELECT rep, doc_id, 1.0 FROM r WHERE doc_id <> rep
+""")
 def tanimoto_pairs(spark, sf):
-    """Exact Jaccard >= 0.8 pairs of documents' word sets (prefix filtering);
-    checked against brute force on sf0.001 in tests."""
+    """Documents' word sets: pairs of different sets with Jaccard >= 0.8, by
+    the smallest document of each, and copies linked to that document."""
     d = Tables(spark, sf).documents.select("doc_id", L.tokenize_words("text").alias("tokens"))
-    return L.tanimoto_pairs(d, "doc_id", "tokens", 0.8)
+    return L.tanimoto_pairs(d, "doc_id", "tokens", 0.8).select("a", "b", F.round("jaccard", 9).alias("jaccard"))
 
 
 def _chunks(spark, sf):
@@ -276,7 +285,23 @@ def shortest_path(spark, sf):
     return d.select("x", "y", F.col("d").cast("int").alias("d"))
 
 
-@register("pick_examples")
+@register("pick_examples", sql=f"""
+WITH p AS (SELECT d.doc_id, d.text, l.toxic FROM documents d JOIN labels l USING (doc_id) WHERE l.toxic IS NOT NULL),
+tf AS (SELECT doc_id, term, count(*) AS c FROM (SELECT doc_id, unnest({_TOK.format('text')}) AS term FROM p) GROUP BY ALL),
+n AS (SELECT count(*) AS n FROM p),
+idf AS (SELECT term, ln((1 + n) / (1 + count(*))) + 1 AS idf FROM tf, n GROUP BY term, n),
+pw AS (SELECT doc_id, term, c * idf AS w FROM tf JOIN idf USING (term)),
+pv AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM pw),
+qt AS (SELECT item_id, unnest({_TOK.format('text')}) AS term FROM benchmark),
+qw AS (SELECT item_id, term, count(*) * idf AS w FROM qt JOIN idf USING (term) GROUP BY item_id, term, idf),
+qv AS (SELECT item_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY item_id)) AS qweight FROM qw),
+s AS (SELECT item_id, doc_id, round(sum(qweight * weight), 9) AS score FROM qv JOIN pv USING (term) GROUP BY ALL),
+a AS (SELECT b.item_id, p.doc_id, p.toxic, coalesce(s.score, 0.0) AS score
+      FROM (SELECT DISTINCT item_id FROM benchmark) b CROSS JOIN p LEFT JOIN s ON s.item_id = b.item_id AND s.doc_id = p.doc_id),
+c AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY item_id, toxic ORDER BY score DESC, doc_id) = 1 THEN 0 ELSE 1 END AS stage FROM a)
+SELECT item_id, doc_id, toxic, score, pick FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY stage, score DESC, doc_id)::INTEGER AS pick FROM c) WHERE pick <= 4
+""")
 def pick_examples(spark, sf):
     """Four few-shot examples per benchmark question from the labelled
     documents, covering both toxicity classes first."""

@@ -92,3 +92,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def written(df, name: str):
+    """``df`` as a table in the shared folder: lineage is cut, and later reads
+    prune columns (a checkpoint keeps whole serialised rows)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
