@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vialflow.functions.hashing import md5_unit
+from vialflow.operators import kernelfit
 from vialflow.functions.stats import norm_cdf, norm_pdf, rnd
 from vialflow.operators.window import RANGE, running
 
@@ -325,9 +326,6 @@ def reveal_positives(df: DataFrame, id_col: str, y: str, c: float, seed, out: st
     return df.withColumn(out, ((F.col(y) == 1) & (md5_unit(id_col, seed) < c)).cast("int"))
 
 
-ROUND = rnd
-
-
 # ------------------------------------------------------------------ traces
 def compare_strategies(log: DataFrame, method: str, order: Sequence, outcome: str,
                        budgets: Sequence[int], block: Column | None = None) -> DataFrame:
@@ -375,50 +373,13 @@ def q_iterate(transitions: DataFrame, gamma: float, alpha: float, rounds: int) -
 
 
 # ------------------------------------------------------------------ GP
-def _matern52(a: np.ndarray, b: np.ndarray, length: float, signal: float) -> np.ndarray:
-    d = np.sqrt(np.maximum(((a[:, None, :] - b[None, :, :]) ** 2).sum(-1), 0.0)) / length
-    return signal * (1.0 + np.sqrt(5.0) * d + 5.0 * d * d / 3.0) * np.exp(-np.sqrt(5.0) * d)
-
-
 def gp_score(observed: DataFrame, candidates: DataFrame, feats: Sequence[str], y: str, id_col: str,
-             length: float = 0.5, signal: float = 1.0, noise: float = 1e-4, max_obs: int = 2000) -> DataFrame:
+             length: float = 0.5, signal: float = 1.0, noise: float = 1e-4) -> DataFrame:
     """Gaussian-process mean and sigma for every candidate (Matern 5/2 kernel,
-    fixed hyperparameters, features expected on [0, 1]).
-
-    The observed set of a planning loop is small; its size is counted and
-    must not exceed ``max_obs`` before it is brought to the driver for the
-    Cholesky factorisation. The factor and weights are broadcast and the
-    candidate table is scored in Arrow batches (``mapInPandas``).
-    """
-    n = observed.count()
-    if n == 0:
-        raise ValueError("no observed rows to fit")
-    if n > max_obs:
-        raise ValueError(f"{n} observations exceed the GP bound {max_obs}")
-    obs = observed.select(*feats, y).toPandas()
-    X = obs[list(feats)].to_numpy(dtype=float)
-    yv = obs[y].to_numpy(dtype=float)
-    # the kernel has unit variance, so the objective is brought to unit scale
-    mean_y, scale_y = yv.mean(), yv.std() or 1.0
-    K = _matern52(X, X, length, signal) + noise * np.eye(len(X))
-    L = np.linalg.cholesky(K)
-    alpha = np.linalg.solve(L.T, np.linalg.solve(L, (yv - mean_y) / scale_y))
-    sc = candidates.sparkSession.sparkContext
-    b = sc.broadcast((X, L, alpha, mean_y, scale_y))
-    feats = list(feats)
-    id_type = candidates.schema[id_col].dataType.simpleString()
-
-    def score(batches):
-        Xo, Lo, al, my, sy = b.value
-        for pdf in batches:
-            Xc = pdf[feats].to_numpy(dtype=float)
-            ks = _matern52(Xo, Xc, length, signal)
-            mu = ks.T @ al * sy + my
-            v = np.linalg.solve(Lo, ks)
-            var = np.maximum(signal - (v * v).sum(0), 0.0)
-            yield pd.DataFrame({id_col: pdf[id_col], "mu": mu, "sigma": np.sqrt(var) * sy})
-
-    return candidates.select(id_col, *feats).mapInPandas(score, f"{id_col} {id_type}, mu double, sigma double")
+    fixed hyperparameters, features expected on [0, 1]), for any number of
+    observations: a random-feature model whose Gram matrix is summed on Spark
+    (``operators.kernelfit``)."""
+    return kernelfit.score(candidates, kernelfit.fit(observed, feats, y, length, signal, noise), feats, id_col)
 
 
 def suggest(space: DataFrame, id_col: str, feats: Sequence[str], objectives: Mapping[str, float], b: int,
@@ -429,7 +390,7 @@ def suggest(space: DataFrame, id_col: str, feats: Sequence[str], objectives: Map
     min-max scaled on the space, one GP per objective is fitted on the
     completed points, means and sigmas are scalarised with the weights, EI
     against the best observed scalar picks the batch (EI desc, id asc). A
-    failing fit, or more observations than ``gp_score`` takes, is an error.
+    failing fit is an error.
     """
     from vialflow.operators.features import apply_minmax, fit_minmax
     done = space.where(F.col("iteration") >= 0)

@@ -239,7 +239,7 @@ def aggregate_neighbours(spark, sf):
 
 
 def _mp_step_sql(prev):
-    return f"""(SELECT n.node_id, greatest(-2.0, least(2.0, tanh(0.5 * n.x + 0.5 * coalesce(a.agg, 0.0)))) AS x
+    return f"""(SELECT n.node_id, tanh(0.5 * n.x + 0.5 * coalesce(a.agg, 0.0)) AS x
   FROM {prev} n LEFT JOIN (SELECT e.dst AS node_id, avg(p.x) AS agg FROM {_BOTH_SQL} e JOIN {prev} p ON p.node_id = e.src
                            GROUP BY e.dst) a USING (node_id))"""
 
@@ -250,10 +250,71 @@ s3 AS {_mp_step_sql('s2')}
 SELECT node_id, round(x, 6) AS x FROM s3
 """)
 def message_pass(spark, sf):
-    m = G.message_pass(_nodes(spark, sf), _both(spark, sf).drop("w"), 3, 0.5, 0.5, cap=2.0, checkpoint_every=2)
+    m = G.message_pass(_nodes(spark, sf), _both(spark, sf).drop("w"), 3, 0.5, 0.5, checkpoint_every=2)
     return m.select("node_id", rnd("x").alias("x"))
 
 
+# vectors of three features per node: price or balance, size or nation, kind
+_VEC_SQL = (f"(SELECT p_partkey AS node_id, 'part' AS kind, p_retailprice / 1000.0 AS x0, p_size / 25.0 AS x1, 1.0 AS x2 FROM part "
+            f"UNION ALL SELECT s_suppkey + {SUPPLIER_OFFSET}, 'supplier', s_acctbal / 5000.0, s_nationkey / 12.0, -1.0 FROM supplier)")
+
+
+def _vectors(spark, sf):
+    t = Tables(spark, sf)
+    return (t.part.select(F.col("p_partkey").alias("node_id"), F.lit("part").alias("kind"), F.array(
+                F.col("p_retailprice") / 1000.0, F.col("p_size") / 25.0, F.lit(1.0)).alias("x"))
+            .unionByName(t.supplier.select((F.col("s_suppkey") + SUPPLIER_OFFSET).alias("node_id"), F.lit("supplier").alias("kind"), F.array(
+                F.col("s_acctbal") / 5000.0, F.col("s_nationkey") / 12.0, F.lit(-1.0)).alias("x"))))
+
+
+def _vec_step_sql(prev):
+    z = ", ".join(f"tanh(0.6 * n.x{k} + 0.8 * coalesce(a.x{k}, 0.0)) AS z{k}" for k in range(3))
+    return f"""(SELECT node_id, z0 * s AS x0, z1 * s AS x1, z2 * s AS x2 FROM (
+  SELECT *, least(1.0, 1.2 / greatest(sqrt(z0 * z0 + z1 * z1 + z2 * z2), 1e-8)) AS s FROM (
+    SELECT n.node_id, {z} FROM {prev} n LEFT JOIN (
+      SELECT e.dst AS node_id, avg(p.x0) AS x0, avg(p.x1) AS x1, avg(p.x2) AS x2
+      FROM {_BOTH_SQL} e JOIN {prev} p ON p.node_id = e.src GROUP BY e.dst) a USING (node_id))))"""
+
+
+@register("message_pass_vectors", sql=f"""
+WITH s0 AS (SELECT * FROM {_VEC_SQL}), s1 AS {_vec_step_sql('s0')}, s2 AS {_vec_step_sql('s1')}
+SELECT node_id, round(x0, 6) AS x0, round(x1, 6) AS x1, round(x2, 6) AS x2 FROM s2
+""")
+def message_pass_vectors(spark, sf):
+    """Two vector steps; vectors longer than 1.2 are scaled back to that norm."""
+    m = G.message_pass(_vectors(spark, sf), _both(spark, sf).drop("w"), 2, 0.6, 0.8, cap=1.2)
+    return m.select("node_id", *[rnd(F.col("x")[k]).alias(f"x{k}") for k in range(3)])
+
+
+# weights of the typed step: 2 outputs from 3 inputs; an embedding per return flag
+_W_SELF, _W_NEI = ((0.5, -0.2, 0.1), (-0.3, 0.4, 0.2)), ((0.02, 0.01, -0.03), (0.01, -0.02, 0.02))
+_TYPES = (("A", (0.1, 0.0, -0.1)), ("N", (0.0, 0.2, 0.0)), ("R", (-0.1, 0.1, 0.3)))
+
+
+def _typed_sql():
+    dot = lambda w, c: " + ".join(f"{v} * coalesce({c}{k}, 0.0)" for k, v in enumerate(w))
+    types = ", ".join(f"('{t}', {e[0]}, {e[1]}, {e[2]})" for t, e in _TYPES)
+    out = ", ".join(f"round(greatest(0.0, {dot(s, 'n.x')} + {dot(w, 'a.m')}), 6) AS h{i}" for i, (s, w) in enumerate(zip(_W_SELF, _W_NEI)))
+    return f"""
+WITH v AS {_VEC_SQL}, t(type, e0, e1, e2) AS (VALUES {types}),
+e AS (SELECT l_partkey AS src, l_suppkey + {SUPPLIER_OFFSET} AS dst, l_returnflag AS type FROM lineitem),
+b AS (SELECT src, dst, type FROM e UNION ALL SELECT dst, src, type FROM e),
+a AS (SELECT b.dst AS node_id, sum(v.x0 + t.e0) AS m0, sum(v.x1 + t.e1) AS m1, sum(v.x2 + t.e2) AS m2
+      FROM b JOIN v ON v.node_id = b.src JOIN t USING (type) GROUP BY b.dst)
+SELECT n.node_id, {out} FROM v n LEFT JOIN a USING (node_id)"""
+
+
+@register("typed_message", sql=_typed_sql())
+def typed_message(spark, sf):
+    """Typed message step over part-supplier edges, the return flag as type."""
+    li = Tables(spark, sf).lineitem
+    e = li.select(F.col("l_partkey").alias("src"), (F.col("l_suppkey") + SUPPLIER_OFFSET).alias("dst"), F.col("l_returnflag").alias("type"))
+    both = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "type"))
+    emb = spark.createDataFrame([(t, list(map(float, v))) for t, v in _TYPES], "type string, e array<double>")
+    m = G.typed_message(_vectors(spark, sf), both, _W_SELF, _W_NEI, F.broadcast(emb))
+    return m.select("node_id", *[rnd(F.col("x")[k]).alias(f"h{k}") for k in range(2)])
+
+
 @register("pool_graph", sql=f"""
 SELECT kind, round(avg(x), 6) AS pooled, count(*) AS n_nodes FROM {_NODES_SQL} GROUP BY kind
 """)
@@ -262,27 +323,29 @@ def pool_graph(spark, sf):
     return p.select("kind", rnd("pooled").alias("pooled"), "n_nodes")
 
 
-def _grid(spark, sf):
-    from vialflow.functions.hashing import md5_unit
-    t = Tables(spark, sf)
-    cells = t.nation.select(F.col("n_nationkey").alias("x")).crossJoin(t.region.select(F.col("r_regionkey").alias("y")))
-    key = F.concat_ws(":", F.col("x").cast("string"), F.col("y").cast("string"))
-    return cells.where((md5_unit(key, "wall") >= 0.25) | ((F.col("x") == 0) & (F.col("y") == 0)))
+@register("pool_graph_vectors", sql=f"""
+SELECT kind, round(sum(x0), 4) AS p0, round(sum(x1), 4) AS p1, round(sum(x2), 4) AS p2, count(*) AS n_nodes FROM {_VEC_SQL} GROUP BY kind
+""")
+def pool_graph_vectors(spark, sf):
+    p = G.pool(_vectors(spark, sf), "kind", "sum")
+    return p.select("kind", *[rnd(F.col("pooled")[k], 4).alias(f"p{k}") for k in range(3)], "n_nodes")
 
 
 @register("shortest_path", sql=f"""
-WITH RECURSIVE cells AS (SELECT n_nationkey AS x, r_regionkey AS y FROM nation, region
-                         WHERE {_u("n_nationkey::VARCHAR || ':' || r_regionkey::VARCHAR", 'wall')} >= 0.25
-                            OR (n_nationkey = 0 AND r_regionkey = 0)),
-bfs(x, y, d) AS (SELECT 0, 0, 0
-                 UNION
-                 SELECT c.x, c.y, b.d + 1 FROM bfs b JOIN cells c
-                   ON abs(c.x - b.x) + abs(c.y - b.y) = 1 WHERE b.d < 200)
-SELECT x, y, min(d) AS d FROM bfs GROUP BY x, y
+WITH RECURSIVE e AS MATERIALIZED {_BOTH_SQL},
+s AS (SELECT min(l_suppkey) + {SUPPLIER_OFFSET} AS node_id FROM lineitem),
+bfs(node_id, d) USING KEY (node_id) AS (
+  SELECT node_id, 0 FROM s
+  UNION
+  SELECT e.dst, min(b.d) + 1 FROM bfs b JOIN e ON e.src = b.node_id
+  WHERE NOT EXISTS (SELECT 1 FROM recurring.bfs r WHERE r.node_id = e.dst) GROUP BY e.dst)
+SELECT node_id, d::INTEGER AS d FROM bfs
 """)
 def shortest_path(spark, sf):
-    d = G.grid_shortest_path(_grid(spark, sf), (0, 0), 200)  # stops when the frontier is empty
-    return d.select("x", "y", F.col("d").cast("int").alias("d"))
+    """Steps from the first supplier to every part and supplier over lineitem."""
+    e = _edges(spark, sf).select("src", "dst")
+    start = e.agg(F.min("dst")).first()[0]
+    return G.distances(e, start).select("node_id", F.col("d").cast("int").alias("d"))
 
 
 @register("pick_examples", sql=f"""
