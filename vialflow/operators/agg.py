@@ -257,8 +257,9 @@ def best_by_entity(df: DataFrame, entity: str, conds: Sequence[str], val: str,
     conds = list(conds)
     per = (df.dropna(subset=conds + [entity]).groupBy(entity, *conds)
            .agg(F.avg(val).alias("_m"), F.count(F.lit(1)).alias("n_runs")))
-    per = per.withColumn("mean", rnd("_m", digits))
-    w = Window.partitionBy(entity).orderBy(F.col("mean").desc(), *[F.col(c).asc() for c in conds])
+    # ranked on the mean itself, to the digits that the order of summation cannot touch
+    per = per.withColumns({"mean": rnd("_m", digits), "_true": F.round("_m", 12)})
+    w = Window.partitionBy(entity).orderBy(F.col("_true").desc(), *[F.col(c).asc() for c in conds])
     return (per.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
             .select(entity, *conds, "mean", "n_runs"))
 

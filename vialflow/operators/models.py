@@ -19,7 +19,7 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark import StorageLevel
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vialflow.functions.hashing import md5_unit
@@ -108,19 +108,24 @@ def importances(model, feats: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([(f, float(v)) for f, v in zip(feats, imp)], "feature string, importance double")
 
 
-def best_split(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Exact best threshold for one feature by Gini decrease (rows with
-    x <= t go left); smallest threshold on ties.
+def best_splits(df: DataFrame, feats: Sequence[str], y: str) -> DataFrame:
+    """``feature, threshold, decrease, place``: per feature the exact threshold
+    with the largest Gini decrease (rows with x <= t go left; the smallest
+    threshold on ties), best feature first (ties: order of ``feats``). A feature
+    with fewer than two values has no threshold and no row.
 
-    Counts per distinct x (partial aggregate) and running class counts over
-    the sorted distinct values (block-wise prefix) give every candidate's
-    impurity without sorting the raw rows in one task.
+    Features are melted once into counts per (feature, value) (partial
+    aggregate); one prefix pass over these gives every candidate's impurity, so
+    raw rows are neither sorted nor read once per feature.
     """
-    c = df.where(F.col(x).isNotNull()).groupBy(F.col(x).cast("double").alias("t")).agg(
-        F.sum(F.col(y)).alias("pos"), F.count(F.lit(1)).alias("cnt"))
-    tot = c.agg(F.sum("pos").alias("P"), F.sum("cnt").alias("N"))
-    r = running(c, ["t"], {"lp": ("sum", "pos"), "ln": ("sum", "cnt")}, (), block=RANGE)
-    j = r.crossJoin(F.broadcast(tot))  # one row
+    feats = list(feats)
+    melted = df.select(F.col(y).alias("_y"), F.explode(F.array(*[F.struct(F.lit(i).alias("_f"), F.col(f).cast("double").alias("t"))
+                                                                 for i, f in enumerate(feats)])).alias("_m"))
+    c = melted.select("_y", "_m._f", "_m.t").where(F.col("t").isNotNull()).groupBy("_f", "t").agg(
+        F.sum("_y").alias("pos"), F.count(F.lit(1)).alias("cnt"))
+    r = running(c, ["t"], {"lp": ("sum", "pos"), "ln": ("sum", "cnt")}, ["_f"], block=RANGE)
+    tot = c.groupBy("_f").agg(F.sum("pos").alias("P"), F.sum("cnt").alias("N"))  # a row per feature
+    j = r.join(F.broadcast(tot), "_f").where(F.col("ln") < F.col("N"))
 
     def gini(p, n):
         q = F.when(n > 0, p / n).otherwise(0.0)
@@ -130,9 +135,16 @@ def best_split(df: DataFrame, x: str, y: str) -> DataFrame:
     left = gini(F.col("lp"), F.col("ln"))
     right = gini(F.col("P") - F.col("lp"), F.col("N") - F.col("ln"))
     dec = parent - (F.col("ln") / F.col("N")) * left - ((F.col("N") - F.col("ln")) / F.col("N")) * right
-    s = j.where(F.col("ln") < F.col("N")).select("t", F.round(dec, 9).alias("decrease"), "ln", "N")
-    return s.agg(F.min_by("t", F.struct(-F.col("decrease"), F.col("t"))).alias("threshold"),
-                 F.max("decrease").alias("decrease"))
+    best = j.select("_f", "t", F.round(dec, 9).alias("decrease")).groupBy("_f").agg(
+        F.min_by("t", F.struct(-F.col("decrease"), F.col("t"))).alias("threshold"), F.max("decrease").alias("decrease"))
+    name = F.element_at(F.array(*[F.lit(f) for f in feats]), F.col("_f") + 1)
+    place = F.row_number().over(Window.orderBy(F.col("decrease").desc(), "_f"))  # a row per feature
+    return best.select(name.alias("feature"), "threshold", "decrease", place.alias("place"))
+
+
+def best_split(df: DataFrame, x: str, y: str) -> DataFrame:
+    """``threshold, decrease`` of one feature (NULL where it has one value)."""
+    return best_splits(df, [x], y).agg(F.first("threshold").alias("threshold"), F.first("decrease").alias("decrease"))
 
 
 def ensemble_mean(preds: DataFrame, id_col: str, pred: str) -> DataFrame:
@@ -149,41 +161,87 @@ def vote(preds: DataFrame, id_col: str, label: str, prob: str) -> DataFrame:
                                          (F.col("mean_prob") >= 0.5).cast("int").alias("soft_vote"))
 
 
+_SUMS = ("n", "x", "y", "xx", "xy", "yy")
+
+
+def _sums(train: Column | None = None) -> list[Column]:
+    """Sufficient statistics of a line through (``_x``, ``_y``), of the rows where
+    ``train`` holds."""
+    x, y = F.col("_x"), F.col("_y")
+    terms = (F.lit(1.0), x, y, x * x, x * y, y * y)
+    return [F.coalesce(F.sum(t if train is None else F.when(train, t)), F.lit(0.0)) for t in terms]
+
+
+def _line(s: Column) -> tuple[Column, Column]:
+    """Slope and intercept from a struct of sums."""
+    d = s["n"] * s["xx"] - s["x"] * s["x"]
+    m = F.when(d != 0, (s["n"] * s["xy"] - s["x"] * s["y"]) / F.when(d != 0, d))
+    return m, (s["y"] - m * s["x"]) / s["n"]
+
+
+def _rmse(s: Column, m: Column, b: Column) -> Column:
+    """Root mean squared error of a line on the rows behind a struct of sums."""
+    sse = s["yy"] - 2 * m * s["xy"] - 2 * b * s["y"] + m * m * s["xx"] + 2 * m * b * s["x"] + b * b * s["n"]
+    return F.when(s["n"] > 0, F.sqrt(F.greatest(sse, F.lit(0.0)) / F.when(s["n"] > 0, s["n"])))
+
+
+def _centred(df: DataFrame, id_col: str, x: str, y: str) -> DataFrame:
+    """``_id, _x, _y`` around the means, so that sums of squares keep their
+    digits (errors of a fitted line do not depend on the shift)."""
+    d = df.select(F.col(id_col).alias("_id"), F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).dropna()
+    mx, my = d.agg(F.avg("_x"), F.avg("_y")).first()
+    return d.select("_id", (F.col("_x") - F.lit(mx or 0.0)).alias("_x"), (F.col("_y") - F.lit(my or 0.0)).alias("_y"))
+
+
 def split_study(df: DataFrame, id_col: str, x: str, y: str, fractions: Sequence[float],
                 seeds: Sequence[int]) -> DataFrame:
-    """One-feature least squares over a grid of (train fraction, seed):
-    test RMSE per split, then mean and population std over seeds. The grid
-    (a few dozen splits) multiplies the rows once; every fit is a grouped
-    regr_* aggregate."""
-    spark = df.sparkSession
-    grid = spark.createDataFrame([(float(f), int(s)) for f in fractions for s in seeds], "frac double, seed int")
-    d = df.select(id_col, F.col(x).alias("_x"), F.col(y).alias("_y")).crossJoin(F.broadcast(grid))
-    u = F.conv(F.substring(F.md5(F.concat(F.col(id_col).cast("string"), F.lit(":"), F.col("seed").cast("string"))), 1, 8),
-               16, 10).cast("double") / 4294967296.0
-    d = d.withColumn("_train", u < F.col("frac"))
-    fit = d.where("_train").groupBy("frac", "seed").agg(F.regr_slope("_y", "_x").alias("_m"),
-                                                       F.regr_intercept("_y", "_x").alias("_b"))
-    test = d.where(~F.col("_train")).join(fit, ["frac", "seed"])
-    err = test.groupBy("frac", "seed").agg(F.sqrt(F.avg((F.col("_y") - F.col("_m") * F.col("_x") - F.col("_b")) ** 2)).alias("rmse"))
-    return err.groupBy("frac").agg(F.avg("rmse").alias("rmse_mean"), F.stddev_pop("rmse").alias("rmse_std"),
-                                   F.count(F.lit(1)).alias("n_splits"))
+    """One-feature least squares over a grid of (train fraction, seed): test RMSE
+    per split, then mean and population std over seeds.
+
+    One pass and no row more than the table has: a row's draw under a seed puts it
+    into one of the gaps between the fractions, each (seed, gap) sums a line's
+    sufficient statistics, and every split's train and test sums are sums of
+    gaps. Fit and error come from the sums."""
+    d = _centred(df, id_col, x, y)
+    cuts = sorted(set(map(float, fractions)))
+    gaps = [(s, g) for s in seeds for g in range(len(cuts) + 1)]
+    for s in dict.fromkeys(seeds):
+        u = F.conv(F.substring(F.md5(F.concat(F.col("_id").cast("string"), F.lit(f":{int(s)}"))), 1, 8), 16, 10).cast("double") / 4294967296.0
+        d = d.withColumn(f"_g{int(s)}", sum((F.when(u >= c, 1).otherwise(0) for c in cuts), F.lit(0)))
+    one = d.agg(*[F.struct(*[v.alias(k) for k, v in zip(_SUMS, _sums(F.col(f"_g{int(s)}") == g))]).alias(f"s{i}")
+                  for i, (s, g) in enumerate(gaps)])
+    at = {key: F.col(f"s{i}") for i, key in enumerate(gaps)}
+
+    def total(keys):
+        return F.struct(*[sum((at[k][f] for k in keys), F.lit(0.0)).alias(f) for f in _SUMS])
+    rows = F.array(*[F.struct(F.lit(float(c)).alias("frac"), total([(s, g) for g in range(cuts.index(float(c)) + 1)]).alias("train"),
+                              total([(s, g) for g in range(cuts.index(float(c)) + 1, len(cuts) + 1)]).alias("test"))
+                     for c in map(float, fractions) for s in seeds])
+    m, b = _line(F.col("train"))
+    err = one.select(F.explode(rows).alias("_r")).select("_r.*").withColumns({"_m": m, "_b": b}).select(
+        "frac", _rmse(F.col("test"), F.col("_m"), F.col("_b")).alias("rmse"))
+    return err.where("rmse is not null").groupBy("frac").agg(F.avg("rmse").alias("rmse_mean"), F.stddev_pop("rmse").alias("rmse_std"),
+                                                             F.count(F.lit(1)).alias("n_splits"))
 
 
 def learning_curve(df: DataFrame, id_col: str, x: str, y: str, sizes: Sequence[float], seed: int,
                    test_frac: float = 0.2) -> DataFrame:
     """Test RMSE by training-set size: a fixed hash test set; nested training
-    sets are hash prefixes of the rest (u below each size share)."""
-    spark = df.sparkSession
-    u = md5_unit(id_col, seed)
-    v = md5_unit(id_col, f"{seed}:size")
-    d = df.select(id_col, F.col(x).alias("_x"), F.col(y).alias("_y"), (u < test_frac).alias("_test"), v.alias("_v"))
-    grid = spark.createDataFrame([(float(s),) for s in sizes], "size double")
-    tr = d.where(~F.col("_test")).crossJoin(F.broadcast(grid)).where(F.col("_v") < F.col("size"))
-    fit = tr.groupBy("size").agg(F.regr_slope("_y", "_x").alias("_m"), F.regr_intercept("_y", "_x").alias("_b"),
-                                 F.count(F.lit(1)).alias("n_train"))
-    te = d.where("_test").crossJoin(F.broadcast(fit))
-    return te.groupBy("size", "n_train").agg(
-        F.sqrt(F.avg((F.col("_y") - F.col("_m") * F.col("_x") - F.col("_b")) ** 2)).alias("rmse"))
+    sets are hash prefixes of the rest (u below each size share). One pass: the
+    sums of the test set and of each training set are conditional aggregates, and
+    fit and error come from the sums."""
+    d = _centred(df, id_col, x, y).select("_x", "_y", (md5_unit("_id", seed) < test_frac).alias("_test"),
+                                          md5_unit("_id", f"{seed}:size").alias("_v"))
+    sizes = [float(s) for s in sizes]
+    struct = lambda keep: F.struct(*[v.alias(k) for k, v in zip(_SUMS, _sums(keep))])
+    one = d.agg(struct(F.col("_test")).alias("test"), *[struct(~F.col("_test") & (F.col("_v") < s)).alias(f"s{i}")
+                                                        for i, s in enumerate(sizes)])
+    rows = one.select("test", F.explode(F.array(*[F.struct(F.lit(s).alias("size"), F.col(f"s{i}").alias("train"))
+                                                  for i, s in enumerate(sizes)])).alias("_r")).select("test", "_r.*")
+    m, b = _line(F.col("train"))
+    rows = rows.where(F.col("train.n") > 0).withColumns({"_m": m, "_b": b})
+    return rows.select("size", F.col("train.n").cast("bigint").alias("n_train"),
+                       _rmse(F.col("test"), F.col("_m"), F.col("_b")).alias("rmse"))
 
 
 def kmeans(df: DataFrame, vec: str, k: int, seed: int):

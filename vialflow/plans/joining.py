@@ -54,12 +54,14 @@ def align(spark, sf):
 
 
 @register("untested", sql="""
-SELECT p_partkey FROM part p WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_partkey = p.p_partkey)
+SELECT p_partkey FROM part p WHERE NOT EXISTS (
+  SELECT 1 FROM lineitem l WHERE l.l_partkey = p.p_partkey AND l_discount = 0.1 AND l_tax = 0.0)
 """)
 def untested(spark, sf):
     t = Tables(spark, sf)
     return joins.untested(t.part.select("p_partkey"),
-                          t.lineitem.select(F.col("l_partkey").alias("p_partkey")), "p_partkey")
+                          t.lineitem.where("l_discount = 0.1 and l_tax = 0.0").select(F.col("l_partkey").alias("p_partkey")),
+                          "p_partkey")
 
 
 @register("restrict", sql="""

@@ -107,6 +107,34 @@ SELECT arg_min(t, (-round(dec, 9), t)) AS threshold, max(round(dec, 9)) AS decre
 """
 
 
+_SPLIT_FEATS = {"score": "score", "n_chars": "n_chars", "n_lines": "length(text) - length(replace(text, chr(10), ''))"}
+
+
+def _splits_sql():
+    melted = " UNION ALL ".join(
+        f"SELECT {i} AS f, '{name}' AS feature, ({expr})::DOUBLE AS t, s.y FROM {_SCORED_SQL} s JOIN documents d USING (doc_id)"
+        for i, (name, expr) in enumerate(_SPLIT_FEATS.items()))
+    return f"""
+WITH a AS ({melted}),
+c AS (SELECT f, feature, t, sum(y) AS pos, count(*) AS cnt FROM a WHERE t IS NOT NULL GROUP BY ALL),
+r AS (SELECT *, sum(pos) OVER w AS lp, sum(cnt) OVER w AS ln, sum(pos) OVER (PARTITION BY f) AS P, sum(cnt) OVER (PARTITION BY f) AS N
+      FROM c WINDOW w AS (PARTITION BY f ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+g AS (SELECT f, feature, t, round(
+   (1 - (P / N) ^ 2 - (1 - P / N) ^ 2) - (ln / N) * (1 - (lp / ln) ^ 2 - (1 - lp / ln) ^ 2)
+   - ((N - ln) / N) * (1 - ((P - lp) / (N - ln)) ^ 2 - (1 - (P - lp) / (N - ln)) ^ 2), 9) AS dec FROM r WHERE ln < N),
+b AS (SELECT f, feature, arg_min(t, (-dec, t)) AS threshold, max(dec) AS decrease FROM g GROUP BY f, feature)
+SELECT feature, threshold, decrease, row_number() OVER (ORDER BY decrease DESC, f)::INTEGER AS place FROM b"""
+
+
+@register("best_splits", sql=_splits_sql())
+def best_splits(spark, sf):
+    """Best threshold of three document features at once."""
+    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
+    d = scored_docs(spark, sf).select("doc_id", "score", "y").join(
+        Tables(spark, sf).documents.select("doc_id", "n_chars", lines.alias("n_lines")), "doc_id")
+    return K.best_splits(d, list(_SPLIT_FEATS), "y")
+
+
 @register("best_split", sql=_SPLIT_SQL)
 def best_split(spark, sf):
     return K.best_split(scored_docs(spark, sf), "score", "y")

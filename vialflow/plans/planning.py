@@ -310,15 +310,15 @@ def thompson_draw(spark, sf):
 @register("agent_report", sql=f"""
 WITH s AS {_STATS_SQL},
 b AS (SELECT user_id, arm, pulls, {_rh('mean')} AS mean,
-             row_number() OVER (PARTITION BY user_id ORDER BY {_rh('mean')} DESC, arm) AS rk FROM s),
-best AS (SELECT user_id, arm, pulls, mean FROM b WHERE rk = 1)
-SELECT *, row_number() OVER (ORDER BY mean DESC, user_id) <= 3 AS recommended FROM best
+             round(mean, 12) AS m, row_number() OVER (PARTITION BY user_id ORDER BY round(mean, 12) DESC, arm) AS rk FROM s),
+best AS (SELECT user_id, arm, pulls, mean, m FROM b WHERE rk = 1)
+SELECT user_id, arm, pulls, mean, row_number() OVER (ORDER BY m DESC, user_id) <= 3 AS recommended FROM best
 """)
 def agent_report(spark, sf):
     from vialflow.operators.window import first_per_group
-    s = _stats(spark, sf).withColumn("mean", rnd_half_up("mean"))
-    best = first_per_group(s, "user_id", [F.col("mean").desc(), "arm"]).select("user_id", "arm", "pulls", "mean")
-    top = best.orderBy(F.col("mean").desc(), "user_id").limit(3).select("user_id", F.lit(True).alias("_top"))
+    s = _stats(spark, sf).withColumns({"_m": F.round("mean", 12), "mean": rnd_half_up("mean")})
+    best = first_per_group(s, "user_id", [F.col("_m").desc(), "arm"]).select("user_id", "arm", "pulls", "mean", "_m")
+    top = best.orderBy(F.col("_m").desc(), "user_id").limit(3).select("user_id", F.lit(True).alias("_top"))
     return best.join(F.broadcast(top), "user_id", "left").select(
         "user_id", "arm", "pulls", "mean", F.coalesce("_top", F.lit(False)).alias("recommended"))
 

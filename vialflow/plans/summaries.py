@@ -179,11 +179,11 @@ def fit_residuals(spark, sf):
 
 @register("best_by_entity", sql=f"""
 WITH per AS (SELECT l_suppkey, l_returnflag, l_linestatus, l_discount, l_tax,
-                    round(avg(yield), 6) AS mean, count(*) AS n_runs
+                    round(avg(yield), 6) AS mean, round(avg(yield), 12) AS m, count(*) AS n_runs
              FROM {RUNS_SQL} r WHERE l_suppkey IS NOT NULL AND l_returnflag IS NOT NULL
                AND l_linestatus IS NOT NULL AND l_discount IS NOT NULL AND l_tax IS NOT NULL
              GROUP BY ALL),
-rk AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY mean DESC, l_returnflag,
+rk AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY m DESC, l_returnflag,
                                      l_linestatus, l_discount, l_tax) AS rn FROM per)
 SELECT l_suppkey, l_returnflag, l_linestatus, l_discount, l_tax, mean, n_runs FROM rk WHERE rn = 1
 """)

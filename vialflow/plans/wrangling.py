@@ -110,10 +110,16 @@ def drop_incomplete(spark, sf):
     return clean.drop_incomplete(_cu_nulls(spark, sf), ["c_acctbal", "c_mktsegment"]).select("c_custkey")
 
 
-@register("drop_all_null", sql="SELECT doc_id, lang, source, n_chars FROM documents")
+@register("drop_all_null", sql="""
+WITH d AS (SELECT d.doc_id, l.quality, l.toxic, CASE WHEN d.lang = 'en' THEN d.source END AS source
+           FROM documents d LEFT JOIN labels l USING (doc_id))
+SELECT quality, toxic, source, count(*) AS n FROM d WHERE quality IS NOT NULL OR toxic IS NOT NULL OR source IS NOT NULL GROUP BY ALL
+""")
 def drop_all_null(spark, sf):
-    d = Tables(spark, sf).documents.select("doc_id", "lang", "source", "n_chars")
-    return clean.drop_all_null(d)
+    """Documents without a label in another language than English have no value left."""
+    t = Tables(spark, sf)
+    d = t.documents.select("doc_id", F.when(F.col("lang") == "en", F.col("source")).alias("source")).join(t.labels, "doc_id", "left")
+    return clean.drop_all_null(d.select("quality", "toxic", "source")).groupBy("quality", "toxic", "source").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("finite_only", sql="""
@@ -313,11 +319,13 @@ def shared_conditions(spark, sf):
 
 
 @register("difference", sql="""
-SELECT DISTINCT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_partkey IS NOT NULL)
+SELECT DISTINCT p_partkey FROM part WHERE p_partkey NOT IN (
+  SELECT l_partkey FROM lineitem WHERE l_partkey IS NOT NULL AND l_quantity > 45 AND l_returnflag = 'R')
 """)
 def difference(spark, sf):
     t = Tables(spark, sf)
-    return sets.difference(t.part, t.lineitem.select(F.col("l_partkey").alias("p_partkey")), "p_partkey")
+    large = t.lineitem.where("l_quantity > 45 and l_returnflag = 'R'").select(F.col("l_partkey").alias("p_partkey"))
+    return sets.difference(t.part, large, "p_partkey")
 
 
 @register("undirected_edges", sql="""
