@@ -15,6 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vialflow.operators.window import RANGE, running
 # Default screening cues (kind, name, pattern). They are data,
 # not the method - the protocol (exclusion > strong > 2 weak) is what counts.
 DEFAULT_RULES = [
@@ -210,39 +211,52 @@ def follow_ups(df: DataFrame, conv: str, turn: str, role: str) -> DataFrame:
     return df.select(conv, turn, role, prev_user.alias("follows_user_turn"))
 
 
+def json_kind(value: Column) -> Column:
+    """'number', 'string', 'boolean', 'array', 'object' or 'null' of a VARIANT."""
+    s = F.schema_of_variant(value)
+    return (F.when(s.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), "number").when(s == "STRING", "string").when(s == "BOOLEAN", "boolean")
+            .when(s.startswith("ARRAY"), "array").when(s.startswith("OBJECT"), "object").otherwise("null"))
+
+
 def route_calls(calls: DataFrame, id_col: str, tool: str, args: str,
                 specs: Mapping[str, Mapping[str, str]]) -> DataFrame:
     """Validate each call's JSON arguments against its tool's spec
-    ({tool: {arg: 'number' | 'string'}}): unknown tool, missing or extra
-    argument and wrong type are reported; ok calls get a normalised argument
-    string ``name=value;...`` in spec order."""
-    m = F.from_json(F.col(args), "map<string,string>", {"mode": "PERMISSIVE"})
-    raw = F.from_json(F.col(args), "map<string,string>", {"mode": "PERMISSIVE"})
-    d = calls.select(id_col, tool, m.alias("_m"), raw.alias("_raw"), F.col(args))
-    err = None
-    norm = None
+    ({tool: {arg: kind}}, kinds as in ``json_kind``): unknown tool, missing or
+    unexpected argument and wrong type are reported; ok calls get a normalised
+    argument string ``name=value;...`` in spec order. Arguments are parsed once to
+    VARIANT, so ``{"k": "5"}`` is a string and no number."""
+    v = F.try_parse_json(F.col(args))
+    d = calls.select(id_col, tool, v.alias("_v")).withColumn("_o", F.schema_of_variant("_v").startswith("OBJECT"))
+    d = d.withColumn("_k", F.when(F.col("_o"), F.json_object_keys(F.to_json("_v"))))
+    at = lambda a, kind: F.try_variant_get("_v", f"$['{a}']", kind)
+    err = norm = None
     for t, spec in specs.items():
-        names = list(spec)
-        missing = F.filter(F.array(*[F.lit(a) for a in names]), lambda a: ~F.array_contains(F.map_keys("_m"), a))
-        extra = F.filter(F.map_keys("_m"), lambda k: ~F.array_contains(F.array(*[F.lit(a) for a in names]), k))
-        bad_type = F.lit(False)
-        for a, typ in spec.items():
-            if typ == "number":
-                bad_type = bad_type | (F.try_element_at("_m", F.lit(a)).isNotNull() &
-                                       ~F.try_element_at("_m", F.lit(a)).rlike(r"^-?[0-9]+(\.[0-9]+)?$"))
-        e = (F.when(F.col("_m").isNull(), F.lit("bad json"))
+        names = F.array(*[F.lit(a) for a in spec])
+        missing, extra = F.array_except(names, "_k"), F.array_sort(F.array_except("_k", names))
+        wrong = F.lit(False)
+        for a, kind in spec.items():
+            wrong = wrong | (json_kind(at(a, "variant")) != kind)
+        e = (F.when(~F.coalesce("_o", F.lit(False)), F.lit("bad json"))
              .when(F.size(missing) > 0, F.concat(F.lit("missing: "), F.array_join(missing, ",")))
-             .when(F.size(extra) > 0, F.concat(F.lit("unexpected: "), F.array_join(F.array_sort(extra), ",")))
-             .when(bad_type, F.lit("wrong type")))
-        nv = F.concat_ws(";", *[F.concat(F.lit(f"{a}="), F.try_element_at("_m", F.lit(a))) for a in names])
+             .when(F.size(extra) > 0, F.concat(F.lit("unexpected: "), F.array_join(extra, ",")))
+             .when(wrong, F.lit("wrong type")))
+        nv = F.concat_ws(";", *[F.concat(F.lit(f"{a}="), at(a, "string")) for a in spec])
         err = F.when(F.col(tool) == t, e) if err is None else err.when(F.col(tool) == t, e)
         norm = F.when(F.col(tool) == t, nv) if norm is None else norm.when(F.col(tool) == t, nv)
-    known = F.col(tool).isin(list(specs))
-    error = F.when(~known, F.lit("unknown tool")).otherwise(err)
+    error = F.when(F.col(tool).isNull() | ~F.col(tool).isin(list(specs)), F.lit("unknown tool")).otherwise(err)
     return d.select(id_col, tool, error.isNull().alias("ok"), error.alias("error"),
                     F.when(error.isNull(), norm).alias("call"))
 
 
+def collect_results(routed: DataFrame, turn: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per call with its place in its turn (from 1, in ``order``) and the
+    content that goes back: the call's result, or its error. The place is a running
+    count over ranges, so a turn with very many calls is no single task's work."""
+    r = running(routed.withColumn("_one", F.lit(1)), list(order), {"place": ("count", "_one")}, list(turn), block=RANGE)
+    content = F.when(F.col("ok"), F.col("call")).otherwise(F.concat(F.lit("error: "), F.col("error")))
+    return r.drop("_one").withColumn("content", content)
+
+
 # 20 page categories and the pattern that flags each (searched
 # in lower-cased page HTML).
 PAGE_CATEGORIES = [

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from vialflow.functions.hashing import md5_unit
 from vialflow.operators import kernelfit
 from vialflow.functions.stats import norm_cdf, norm_pdf, rnd
-from vialflow.operators.window import RANGE, running
+from vialflow.operators.window import RANGE, row_index, running
 
 LEVEL_DIGITS = 10
 
@@ -61,35 +61,32 @@ def build_space(levels: DataFrame, names: Sequence[str], objectives: Sequence[st
 
 
 def merge_runs(space: DataFrame, runs: DataFrame, var_cols: Sequence[str], obj_cols: Sequence[str],
-               order: Sequence[str], batch: str) -> tuple[DataFrame, DataFrame]:
+               order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Write completed runs into the grid.
 
-    * ``iteration`` = 0-based rank of the run's batch (distinct batches, a
-      small table ranked once);
+    * ``iteration`` is the place of the run among all runs on grid points, in
+      ``order`` and from 1 (a running count over ranges of the order);
     * several runs on one grid point: the last by ``order`` wins (partial
-      ``max_by``);
+      ``max_by``) and gives the iteration;
     * runs whose point is not in the grid are returned as error rows.
     Returns (merged space, errors).
     """
     var_cols, obj_cols = list(var_cols), list(obj_cols)
     r = runs.select(*[F.round(F.col(v).cast("double"), LEVEL_DIGITS).alias(v) for v in var_cols],
-                    *obj_cols, *order, batch)
-    batches = r.select(batch).distinct()
-    batches = batches.select(batch, (F.dense_rank().over(Window.orderBy(batch)) - 1).alias("_it"))
-    r = r.join(batches, batch)
+                    *obj_cols, *[o for o in order if o not in obj_cols])
     known = space.select(*var_cols)
     errors = r.join(known, var_cols, "left_anti").select(*var_cols, *order,
                                                          F.lit("point not in design space").alias("error"))
-    last = r.join(known, var_cols, "left_semi").groupBy(*var_cols).agg(
-        F.max_by(F.struct(*[F.col(o).alias(o) for o in obj_cols], F.col("_it").alias("_it")),
-                 F.struct(*order)).alias("_w"))
+    placed = row_index(r.join(known, var_cols, "left_semi"), [*order, *var_cols], out="_it")
+    last = placed.groupBy(*var_cols).agg(
+        F.max_by(F.struct(*[F.col(o).alias(o) for o in obj_cols], (F.col("_it") + 1).alias("_it")), F.col("_it")).alias("_w"))
     j = space.join(last, var_cols, "left")
     cols = []
     for c in space.columns:
         if c in obj_cols:
             cols.append(F.coalesce(F.col(f"_w.{c}"), F.col(c)).alias(c))
         elif c == "iteration":
-            cols.append(F.coalesce(F.col("_w._it"), F.col(c)).cast("int").alias(c))
+            cols.append(F.coalesce(F.col("_w._it"), F.col(c)).cast("bigint").alias(c))
         else:
             cols.append(F.col(c))
     return j.select(*cols), errors
@@ -290,6 +287,20 @@ def worklist(stocks: DataFrame, category: str, stock: str, volume: str, categori
                     "_ci", "category", "stock", "volume").withColumnRenamed("_ci", "step")
 
 
+def reaction_worklist(transfers: DataFrame, reaction: str, step: str, category: str, stock: str, volume: str,
+                      plate_size: int = 96) -> DataFrame:
+    """One transfer row per given (reaction, step): every reaction of the table
+    gets a well of its own, row-major in order of the reactions, on as many plates
+    as it takes. Reactions are numbered by a running count over ranges."""
+    wells = row_index(transfers.select(F.col(reaction).alias("reaction")).distinct(), ["reaction"])
+    within = F.col("idx") % plate_size
+    wells = wells.select("reaction", F.floor(F.col("idx") / plate_size).cast("bigint").alias("plate"),
+                         F.concat(F.chr(F.lit(65) + (within / 12).cast("int")), (within % 12 + 1).cast("string")).alias("well"))
+    t = transfers.select(F.col(reaction).alias("reaction"), F.col(step).alias("step"), F.col(category).alias("category"),
+                         F.col(stock).alias("stock"), F.col(volume).alias("volume"))
+    return t.join(wells, "reaction").select("reaction", "plate", "well", "step", "category", "stock", "volume")
+
+
 def stock_consumption(wl: DataFrame) -> DataFrame:
     return wl.groupBy("category", "stock").agg(F.sum("volume").alias("total_volume"),
                                                F.count(F.lit(1)).alias("n_transfers"))

@@ -191,36 +191,47 @@ TOOL_SPECS = {"click": {"k": "number"}, "view": {"k": "number"},
               "purchase": {"k": "number", "amount": "number"}, "error": {"code": "string"}}
 
 
-@register("route_calls", sql=r"""
-WITH c AS (SELECT event_id, event_type AS tool, props,
+_ROUTED_SQL = r"""(WITH c AS (SELECT event_id, user_id, ts, event_type AS tool,
                   CASE WHEN json_valid(props) AND json_type(props) = 'OBJECT' THEN props END AS js FROM events),
-k AS (SELECT event_id, tool, js, json_keys(js) AS keys FROM c),
-e AS (SELECT event_id, tool, js,
-        CASE WHEN tool NOT IN ('click', 'view', 'purchase', 'error') THEN 'unknown tool'
-             WHEN js IS NULL THEN 'bad json'
-             WHEN tool IN ('click', 'view') AND NOT list_contains(keys, 'k') THEN 'missing: k'
-             WHEN tool IN ('click', 'view') AND len(list_filter(keys, lambda x: x <> 'k')) > 0
-                  THEN 'unexpected: ' || array_to_string(list_sort(list_filter(keys, lambda x: x <> 'k')), ',')
-             WHEN tool IN ('click', 'view') AND NOT regexp_matches(json_extract_string(js, '$.k'), '^-?[0-9]+(\.[0-9]+)?$') THEN 'wrong type'
-             WHEN tool = 'purchase' AND (NOT list_contains(keys, 'k') OR NOT list_contains(keys, 'amount'))
-                  THEN 'missing: ' || array_to_string(list_filter(['k', 'amount'], lambda a: NOT list_contains(keys, a)), ',')
-             WHEN tool = 'purchase' AND len(list_filter(keys, lambda x: x NOT IN ('k', 'amount'))) > 0
-                  THEN 'unexpected: ' || array_to_string(list_sort(list_filter(keys, lambda x: x NOT IN ('k', 'amount'))), ',')
-             WHEN tool = 'error' AND NOT list_contains(keys, 'code') THEN 'missing: code'
-             WHEN tool = 'error' AND len(list_filter(keys, lambda x: x <> 'code')) > 0
-                  THEN 'unexpected: ' || array_to_string(list_sort(list_filter(keys, lambda x: x <> 'code')), ',')
-        END AS error FROM k)
-SELECT event_id, tool, error IS NULL AS ok, error,
+k AS (SELECT *, list_sort(json_keys(js)) AS keys,
+        CASE tool WHEN 'click' THEN ['k'] WHEN 'view' THEN ['k'] WHEN 'purchase' THEN ['k', 'amount'] WHEN 'error' THEN ['code'] END AS names FROM c),
+e AS (SELECT *,
+        CASE WHEN names IS NULL THEN 'unknown tool' WHEN js IS NULL THEN 'bad json'
+             WHEN len(list_filter(names, lambda a: NOT list_contains(keys, a))) > 0
+                  THEN 'missing: ' || array_to_string(list_filter(names, lambda a: NOT list_contains(keys, a)), ',')
+             WHEN len(list_filter(keys, lambda x: NOT list_contains(names, x))) > 0
+                  THEN 'unexpected: ' || array_to_string(list_filter(keys, lambda x: NOT list_contains(names, x)), ',')
+             WHEN tool <> 'error' AND NOT json_type(js, '$.k') IN ('BIGINT', 'UBIGINT', 'HUGEINT', 'DOUBLE') THEN 'wrong type'
+             WHEN tool = 'purchase' AND NOT json_type(js, '$.amount') IN ('BIGINT', 'UBIGINT', 'HUGEINT', 'DOUBLE') THEN 'wrong type'
+             WHEN tool = 'error' AND json_type(js, '$.code') <> 'VARCHAR' THEN 'wrong type' END AS error FROM k)
+SELECT event_id, user_id, ts, tool, error IS NULL AS ok, error,
        CASE WHEN error IS NULL THEN CASE WHEN tool IN ('click', 'view') THEN 'k=' || json_extract_string(js, '$.k')
             WHEN tool = 'purchase' THEN 'k=' || json_extract_string(js, '$.k') || ';amount=' || json_extract_string(js, '$.amount')
             WHEN tool = 'error' THEN 'code=' || json_extract_string(js, '$.code') END END AS call
-FROM e
-""")
-def route_calls(spark, sf):
+FROM e)"""
+
+
+def _routed(spark, sf):
     ev = Tables(spark, sf).events.select("event_id", F.col("event_type").alias("tool"), "props")
     return N.route_calls(ev, "event_id", "tool", "props", TOOL_SPECS)
 
 
+@register("route_calls", sql=f"SELECT event_id, tool, ok, error, call FROM {_ROUTED_SQL}")
+def route_calls(spark, sf):
+    return _routed(spark, sf)
+
+
+@register("turn_results", sql=f"""
+SELECT user_id, ts::DATE::VARCHAR AS day, row_number() OVER (PARTITION BY user_id, ts::DATE ORDER BY ts, event_id) AS place,
+       event_id, tool, CASE WHEN ok THEN call ELSE 'error: ' || error END AS content FROM {_ROUTED_SQL}
+""")
+def turn_results(spark, sf):
+    """Results of routed calls in order, a user's day as the turn."""
+    at = Tables(spark, sf).events.select("event_id", "user_id", "ts", F.to_date("ts").cast("string").alias("day"))
+    r = N.collect_results(_routed(spark, sf).join(at, "event_id"), ["user_id", "day"], ["ts", "event_id"])
+    return r.select("user_id", "day", "place", "event_id", "tool", "content")
+
+
 def _flags(spark, sf):
     pg = Tables(spark, sf).pages.select("page_id", _doc_key().alias("doc"), _page_no().alias("page_no"), "html")
     return N.page_flags(pg, ["page_id", "doc", "page_no"], "html")

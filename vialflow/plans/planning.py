@@ -59,7 +59,7 @@ def build_space(spark, sf):
 
 _RUNS_GRID_SQL = """(SELECT round(l_quantity::DOUBLE, 10) AS var_quantity, round(l_discount, 10) AS var_discount,
   round(l_tax, 10) AS var_tax, l_quantity / 50.0 AS obj_yield, 1.0 - l_discount * 5.0 AS obj_purity, l_shipdate,
-  l_orderkey, l_linenumber, year(l_shipdate) AS batch FROM lineitem)"""
+  l_orderkey, l_linenumber FROM lineitem)"""
 
 
 def _runs_grid(spark, sf):
@@ -67,7 +67,7 @@ def _runs_grid(spark, sf):
     return li.select(F.col("l_quantity").alias("var_quantity"), F.col("l_discount").alias("var_discount"),
                      F.col("l_tax").alias("var_tax"), (F.col("l_quantity") / 50.0).alias("obj_yield"),
                      (F.lit(1.0) - F.col("l_discount") * 5.0).alias("obj_purity"),
-                     "l_shipdate", "l_orderkey", "l_linenumber", F.year("l_shipdate").alias("batch"))
+                     "l_shipdate", "l_orderkey", "l_linenumber")
 
 
 _VARS = ["var_quantity", "var_discount", "var_tax"]
@@ -75,18 +75,16 @@ _ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "obj_yield", "obj_purity"]
 
 
 def _merged(spark, sf, steps=None):
-    return P.merge_runs(_space(spark, sf, steps), _runs_grid(spark, sf), _VARS, ["obj_yield", "obj_purity"],
-                        _ORDER, "batch")
+    return P.merge_runs(_space(spark, sf, steps), _runs_grid(spark, sf), _VARS, ["obj_yield", "obj_purity"], _ORDER)
 
 
 _MERGED_SQL = f"""(WITH s AS {_SPACE_SQL}, r0 AS {_RUNS_GRID_SQL},
-b AS (SELECT batch, dense_rank() OVER (ORDER BY batch) - 1 AS it FROM (SELECT DISTINCT batch FROM r0)),
-r AS (SELECT r0.*, b.it FROM r0 JOIN b USING (batch)),
-w AS (SELECT var_quantity, var_discount, var_tax,
-             arg_max({{'y': obj_yield, 'p': obj_purity, 'it': it}}, ({', '.join(_ORDER)})) AS win
-      FROM r SEMI JOIN s USING (var_quantity, var_discount, var_tax) GROUP BY ALL)
+r AS (SELECT *, row_number() OVER (ORDER BY {', '.join(_ORDER)}, var_quantity, var_discount, var_tax) AS it
+      FROM r0 SEMI JOIN s USING (var_quantity, var_discount, var_tax)),
+w AS (SELECT var_quantity, var_discount, var_tax, arg_max({{'y': obj_yield, 'p': obj_purity, 'it': it}}, it) AS win
+      FROM r GROUP BY ALL)
 SELECT s.var_quantity, s.var_discount, s.var_tax, coalesce(w.win.y, s.obj_yield) AS obj_yield,
-       coalesce(w.win.p, s.obj_purity) AS obj_purity, coalesce(w.win.it, s.iteration)::INTEGER AS iteration
+       coalesce(w.win.p, s.obj_purity) AS obj_purity, coalesce(w.win.it, s.iteration)::BIGINT AS iteration
 FROM s LEFT JOIN w USING (var_quantity, var_discount, var_tax))"""
 
 
@@ -335,26 +333,24 @@ def replay_value(spark, sf):
 
 
 # ---------------------------------------------------------------- worklist
+#: What ``worklist_coverage`` sets against all combinations: two plates.
 _CAPACITY = 192
 
 
 def _worklist(spark, sf):
-    pa = Tables(spark, sf).part
-    stocks = pa.groupBy("p_type", "p_brand").agg(F.min("p_size").cast("double").alias("volume"))
-    cats = [r[0] for r in pa.select("p_type").distinct().orderBy("p_type").collect()]  # a few category names
-    return P.worklist(stocks, "p_type", "p_brand", "volume", cats, _CAPACITY)
-
-
-_WL_SQL = f"""(WITH st AS (SELECT p_type AS category, p_brand AS stock, min(p_size)::DOUBLE AS volume,
-                         row_number() OVER (PARTITION BY p_type ORDER BY p_brand) - 1 AS j FROM part GROUP BY p_type, p_brand),
-c AS (SELECT category, count(*) AS n, dense_rank() OVER (ORDER BY category) - 1 AS ci FROM st GROUP BY category),
-rx AS (SELECT category, ci, n, coalesce(round(exp(sum(ln(n)) OVER (ORDER BY ci DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))), 1)::BIGINT AS radix FROM c),
-tot AS (SELECT round(exp(sum(ln(n))))::BIGINT AS total FROM c),
-re AS (SELECT range AS reaction FROM range({_CAPACITY}), tot WHERE range < least(total, {_CAPACITY}))
-SELECT re.reaction, (re.reaction // 96)::BIGINT AS plate,
-       chr((65 + (re.reaction % 96) // 12)::INTEGER) || ((re.reaction % 96) % 12 + 1)::VARCHAR AS well,
-       rx.ci::INTEGER AS step, rx.category, st.stock, st.volume
-FROM re CROSS JOIN rx JOIN st ON st.category = rx.category AND st.j = (re.reaction // rx.radix) % rx.n)"""
+    """Orders are the reactions, their lines the transfers: part type and brand
+    name the stock, the quantity is the volume."""
+    t = Tables(spark, sf)
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    parts = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand")
+    return P.reaction_worklist(lines.join(parts, "l_partkey"), "l_orderkey", "l_linenumber", "p_type", "p_brand", "l_quantity")
+
+
+_WL_SQL = """(WITH t AS (SELECT l_orderkey AS reaction, l_linenumber AS step, p_type AS category, p_brand AS stock, l_quantity AS volume
+           FROM lineitem JOIN part ON l_partkey = p_partkey),
+i AS (SELECT reaction, row_number() OVER (ORDER BY reaction) - 1 AS idx FROM (SELECT DISTINCT reaction FROM t))
+SELECT t.reaction, (i.idx // 96)::BIGINT AS plate, chr((65 + (i.idx % 96) // 12)::INTEGER) || ((i.idx % 96) % 12 + 1)::VARCHAR AS well,
+       t.step, t.category, t.stock, t.volume FROM t JOIN i USING (reaction))"""
 
 
 @register("worklist", sql=f"SELECT * FROM {_WL_SQL}")

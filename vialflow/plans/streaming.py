@@ -18,7 +18,7 @@ SELECT user_id, epoch_us(last_ts) AS last_ts_us, last_kind, n_events,
 """)
 def stream_latest_per_source(spark, sf):
     ev = S.table_stream(spark, sf, "events")
-    latest = S.run_available(S.latest_per_source(ev, "user_id", "ts", "event_type", "event_id"), "complete", "latest")
+    latest = S.run_updates(S.latest_per_source(ev, "user_id", "ts", "event_type", "event_id"), ["user_id"], "latest")
     out = S.silent_flag(latest, "1 day")
     return out.select("user_id", F.unix_micros(F.col("last_ts").cast("timestamp")).alias("last_ts_us"), "last_kind",
                       "n_events", "silent")
@@ -32,7 +32,7 @@ GROUP BY w, event_type
 """)
 def stream_window_counts(spark, sf):
     ev = S.table_stream(spark, sf, "events")
-    w = S.run_available(S.windowed_counts(ev, "ts", "event_type", "1 hour", "10 minutes"), "append", "windows")
+    w = S.run_available(S.windowed_counts(ev, "ts", "event_type", "1 hour", "10 minutes"), "windows")
     return w.select(F.unix_micros("window_start").alias("window_start_us"), "event_type", "n")
 
 
@@ -42,7 +42,7 @@ SELECT user_id, event_type AS arm, count(*) AS pulls, round(sum(value / 500.0),
 """)
 def stream_arm_state(spark, sf):
     ev = S.table_stream(spark, sf, "events").withColumnRenamed("event_type", "arm")
-    st = S.run_available(S.arm_state(ev, "user_id", "arm", F.col("value") / 500.0), "complete", "arms")
+    st = S.run_updates(S.arm_state(ev, "user_id", "arm", F.col("value") / 500.0), ["user_id", "arm"], "arms")
     return st.select("user_id", "arm", "pulls", rnd("total").alias("total"), rnd_half_up("mean").alias("mean"))
 
 
@@ -54,4 +54,4 @@ SELECT user_id, event_id, value, previous_best FROM r WHERE previous_best IS NUL
 """)
 def stream_best_alerts(spark, sf):
     ev = S.table_stream(spark, sf, "events")
-    return S.run_available(S.best_alerts(ev), "append", "best")
+    return S.best_alerts(ev)
