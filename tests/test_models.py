@@ -1,5 +1,6 @@
 """Properties of the model jobs that have no SQL twin."""
 
+import random
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -66,3 +67,47 @@ def test_pu_without_held_out_positives(spark):
     df = spark.createDataFrame([(i, float(i % 7), float(i < 3)) for i in range(60)], "id long, x double, s double")
     got = K.pu_scores(df, ["x"], "s", "id", holdout_frac=0.0).collect()
     assert all(0.0 <= r["py"] <= 1.0 and abs(r["py"] - min(1.0, r["ps"] / 0.5)) < 1e-9 for r in got)
+
+
+def test_saved_model_scores_with_errors(spark):
+    from vialflow.session import scratch_path
+    rows = [(i, float(i % 7), float(i % 3), float(i % 7 > 3)) for i in range(120)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, y double")
+    path = scratch_path(spark, "model")
+    model = K.logreg(df, ["a", "b"], "y")
+    K.save_model(model, ["a", "b"], path)
+    new = spark.createDataFrame([(1, 6.0, 1.0), (2, 0.0, 1.0), (3, None, 1.0), (4, float("nan"), None)], "id int, a double, b double")
+    got = {r["id"]: r for r in K.score_saved(path, new, ["id"]).collect()}
+    assert [got[i]["error"] for i in (1, 2, 3, 4)] == [None, None, "missing: a", "missing: a,b"]
+    assert [got[i]["prediction"] for i in (1, 2, 3)] == [1.0, 0.0, None] and got[1]["p1"] > 0.5 and not got[3]["ok"]
+    fresh = {r["id"]: r["p1"] for r in K.score(model, new, ["a", "b"], ["id"]).collect()}
+    assert all(got[i]["p1"] == fresh[i] for i in fresh)
+    short = K.score_saved(path, new.drop("b"), ["id"]).collect()
+    assert {r["error"] for r in short} == {"no column: b"} and len(short) == 4
+
+
+def test_binned_target_and_multinomial(spark):
+    df = spark.createDataFrame([(i, float(i), float(-i)) for i in range(90)], "id int, x double, z double")
+    d = K.binned_target(df, "x", 3)
+    assert {r["label"]: r["count"] for r in d.groupBy("label").count().collect()} == {0.0: 30, 1.0: 30, 2.0: 30}
+    p = K.multinomial(d, ["x"], "label").transform(K.assemble(d, ["x"]))
+    assert p.where("prediction <> label").count() <= 6
+
+
+def test_prior_of_labelled_positives(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(3000):
+        y = rng.random() < 0.4
+        rows.append((i, rng.gauss(3.0 if y else -3.0, 1.0), float(y and rng.random() < 0.5)))
+    got = K.pu_scores(spark.createDataFrame(rows, "id int, x double, s double"), ["x"], "s", "id").first()
+    # a fifth of the labelled positives is held out of the fit: 0.4 of the other 0.9
+    assert abs(got["c"] - 0.4 / 0.9) < 0.06 and abs(got["prior"] - 0.4) < 0.06
+
+
+def test_layer_grid_is_ordered(spark):
+    rows = [(i, (i % 11) / 11, (i % 5) / 5, float((i % 11 > 5) == (i % 5 > 2))) for i in range(220)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, y double")
+    got = K.mlp_grid(df, df, ["a", "b"], "y", [[1], [6], [6, 4]], seed=1).orderBy("place").collect()
+    acc = [r["val_accuracy"] for r in got]
+    assert acc == sorted(acc, reverse=True) and {r["layers"] for r in got} == {"1", "6", "6-4"} and acc[0] > 0.7

@@ -58,11 +58,22 @@ def test_matches_sql(spark, con, name):
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
-def test_rows_only_queries_run(spark, name):
+def test_rows_only_queries_are_sound(spark, name):
+    """No NULL-only column or NaN but where the job says so, shares between 0 and 1,
+    and for jobs that draw or pick at random the same rows again."""
     df = QUERIES[name](spark, SF)
     rows = df.collect()
-    assert rows and len({tuple(r.asDict()) for r in rows}) == 1
-    assert any(v is not None for r in rows for v in r)
+    assert rows and len({f.name for f in df.schema}) == len(df.columns)
+    shares = ("accuracy", "val_accuracy", "oob_accuracy", "p1", "py", "ps", "prior", "probability", "draw")
+    for c in df.columns:
+        values = [r[c] for r in rows if r[c] is not None]
+        assert values or c in ("error", "ei"), c
+        assert not any(isinstance(v, float) and math.isnan(v) for v in values), c
+        if c in shares:
+            assert all(0 <= v <= 1 for v in values), c
+    if name in ("thompson_draw", "suggest_batch", "gp_score", "pu_learning"):
+        rough = lambda rs: _rows(df.columns, [[round(v, 3) if isinstance(v, float) else v for v in r] for r in rs])
+        assert rough(rows) == rough(QUERIES[name](spark, SF).collect())
 
 
 def test_entry_smoke(spark):

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vialflow.operators.nearest import nearest
+from vialflow.session import small
 
 
 def _keys(k) -> list[str]:
@@ -47,7 +48,7 @@ def factorial(*levels: DataFrame) -> DataFrame:
     """
     out = levels[0]
     for lv in levels[1:]:
-        out = out.crossJoin(F.broadcast(lv))
+        out = out.crossJoin(small(lv))
     return out
 
 
@@ -102,27 +103,14 @@ def lookup_outcomes(proposals: DataFrame, runs: DataFrame, keys, val: str,
 
 
 def snap(df: DataFrame, col: str, levels: DataFrame, out: str = "snapped") -> DataFrame:
-    """Snap ``col`` to the nearest level; the lower level wins ties.
-
-    Levels are gathered into one array (bounded: a grid's level list) and
-    attached as a scalar subquery; the nearest level is found from the
-    neighbours of the value in the sorted level array, per row - no join.
-    """
-    arr = levels.agg(F.sort_array(F.collect_set(F.col(levels.columns[0]).cast("double")))).scalar()
+    """Snap ``col`` to the nearest level; the lower level wins ties. Each distinct
+    value looks its level up once (``operators.nearest``), so neither the number of
+    levels nor of rows is bounded. NULL stays NULL."""
     x = F.col(col).cast("double")
-    return df.withColumn(out, _nearest(x, arr))
-
-
-def _nearest(x: Column, arr: Column) -> Column:
-    # nearest = the level just below or just above x in the sorted array
-    pos = F.array_position(F.sort_array(F.array_union(arr, F.array(x))), x)
-    merged = F.sort_array(F.array_union(arr, F.array(x)))
-    below = F.when(pos > 1, F.element_at(merged, (pos - 1).cast("int")))
-    above = F.when(pos < F.size(merged), F.element_at(merged, (pos + 1).cast("int")))
-    in_levels = F.array_contains(arr, x)
-    pick = (F.when(below.isNull(), above).when(above.isNull(), below)
-            .when(F.abs(x - below) <= F.abs(above - x), below).otherwise(above))
-    return F.when(x.isNull(), None).when(in_levels, x).otherwise(pick)
+    have = levels.select(F.col(levels.columns[0]).cast("double").alias("_level")).distinct()
+    ask = df.select(x.alias("_value")).distinct()
+    found = nearest(ask.withColumn("_at", F.col("_value")), have.withColumn("_at", F.col("_level")), ["_at"], "_value", "_level")
+    return df.join(found.select("_value", F.col("_level").alias(out)), x == F.col("_value"), "left").drop("_value")
 
 
 def nearest_row(props: DataFrame, pool: DataFrame, feats: Sequence[str], prop_id: str,

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from vialflow.functions.stats import rnd
 from vialflow.functions.vectors import as_double
 from vialflow.operators.window import RANGE, running
+from vialflow.session import small
 
 
 def _c(x) -> Column:
@@ -95,7 +96,7 @@ def confusion(df: DataFrame, y: str, yhat: str, digits: int = 6) -> DataFrame:
     """Counts for every (true, predicted) class pair including zeros, and the
     row-normalised share. Classes are the distinct labels (a small set)."""
     classes = df.select(F.col(y).alias("c")).union(df.select(F.col(yhat).alias("c"))).where(F.col("c").isNotNull()).distinct()
-    grid = classes.select(F.col("c").alias("true")).crossJoin(F.broadcast(classes.select(F.col("c").alias("pred"))))
+    grid = classes.select(F.col("c").alias("true")).crossJoin(small(classes.select(F.col("c").alias("pred"))))
     cnt = df.groupBy(F.col(y).alias("true"), F.col(yhat).alias("pred")).agg(F.count(F.lit(1)).alias("count"))
     j = grid.join(cnt, ["true", "pred"], "left").withColumn("count", F.coalesce("count", F.lit(0)).cast("bigint"))
     tot = F.sum("count").over(Window.partitionBy("true"))

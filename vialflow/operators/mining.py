@@ -89,14 +89,17 @@ def strip_html(html: Column | str) -> Column:
     return F.trim(F.regexp_replace(t, r"\s+", " "))
 
 
-def full_text(pages: DataFrame, doc: Column, page_no: Column, html: str, page_id: str) -> DataFrame:
-    """Per page: document key, order within the document, visible text and
-    its length; the ordered rows are the document's full text (no single
-    string per document is built)."""
-    p = pages.select(doc.alias("doc"), page_no.alias("page_no"), F.col(page_id), strip_html(html).alias("text"))
-    w = Window.partitionBy("doc").orderBy("page_no", page_id)
-    return p.select("doc", page_id, F.row_number().over(w).cast("int").alias("page_order"), "text",
-                    F.length("text").alias("n_chars"))
+def full_text(pages: DataFrame, doc: Column, page_no: Column, html: str, page_id: str, head: int = 200) -> DataFrame:
+    """Per page: document key, order within the document, visible text, its
+    length and its first ``head`` characters; the ordered rows are the document's
+    full text (no single string per document is built). ``page_id`` is unique. Only
+    keys are put in order, by a running count over ranges, so a document with very
+    many pages is no single task's work and no text is sorted."""
+    keys = pages.select(doc.alias("doc"), page_no.alias("page_no"), F.col(page_id), F.lit(1).alias("_one"))
+    order = running(keys, ["page_no", page_id], {"page_order": ("count", "_one")}, ["doc"], block=RANGE)
+    text = pages.select(page_id, strip_html(html).alias("text"))
+    return order.join(text, page_id).select("doc", page_id, F.col("page_order").cast("int").alias("page_order"), "text",
+                                            F.length("text").alias("n_chars"), F.substring("text", 1, head).alias("head"))
 
 
 def repair_text(df: DataFrame, id_col: str, text: str, min_docs: int = 3) -> DataFrame:
@@ -148,6 +151,30 @@ def extract_conditions(df: DataFrame, id_col: str, text: str) -> DataFrame:
                     F.col("_r.u").alias("unit"))
 
 
+# Fixed patterns of a condition record: a temperature, a time, the word after "in".
+TEMPERATURE = r"(-?[0-9]+(?:\.[0-9]+)?)\s*(?:\u00b0\s*)?(C|K)\b"
+DURATION = r"([0-9]+(?:\.[0-9]+)?)\s*(h|hr|hrs|hour|hours|min|minute|minutes)\b"
+SOLVENT = r"\bin\s+([A-Za-z][A-Za-z0-9-]*)"
+SENTENCE_END = r"[.!?]\s+|\n+"
+NOTE_WORDS = 15
+
+
+def condition_records(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """One record per sentence that names a temperature or a time: ``pos,
+    temperature_c, time_h, solvent, note``. Kelvins and minutes are converted, the
+    solvent is the word after "in" (NULL if there is none), the note the sentence's
+    first ``NOTE_WORDS`` words. Sentences end at . ! ? before a space, or at a line end."""
+    s = df.select(id_col, F.posexplode(F.split(F.col(text), SENTENCE_END)).alias("pos", "_s"))
+    part = lambda p, i: F.nullif(F.regexp_extract("_s", p, i), F.lit(""))
+    degrees, hours = part(TEMPERATURE, 1).cast("double"), part(DURATION, 1).cast("double")
+    words = F.filter(F.split("_s", r"\s+"), lambda w: w != "")
+    out = s.select(id_col, F.col("pos").cast("int").alias("pos"),
+                   F.when(part(TEMPERATURE, 2) == "K", degrees - 273.15).otherwise(degrees).alias("temperature_c"),
+                   F.when(F.startswith(part(DURATION, 2), F.lit("min")), hours / 60.0).otherwise(hours).alias("time_h"),
+                   part(SOLVENT, 1).alias("solvent"), F.array_join(F.slice(words, 1, NOTE_WORDS), " ").alias("note"))
+    return out.where("temperature_c is not null or time_h is not null")
+
+
 def normalise_entity(col: Column | str) -> Column:
     """Canonical form: lower case, runs of space/hyphen/underscore/dot -> one
     space, other punctuation removed, trimmed."""
@@ -189,19 +216,14 @@ def classify_sentences(df: DataFrame, id_cols: Sequence[str], text: str,
 
 
 def assemble_history(df: DataFrame, conv: str, turn: str, role: str, text: str, n: int) -> DataFrame:
-    """Last ``n`` turns per conversation as an ordered list of
-    ``turn:role:md5(content)`` entries
-    (row_number filter -> partial group limit before the shuffle, so at most
-    n rows per conversation are regathered), with the previous user turn of
-    each turn as follow-up link."""
+    """Last ``n`` turns per conversation as an ordered list of (turn, role,
+    content), as a chat model takes it (row_number filter -> partial group limit
+    before the shuffle, so at most n rows per conversation are regathered)."""
     w = Window.partitionBy(conv).orderBy(F.col(turn).desc())
     last = df.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= n)
-    hist = last.groupBy(conv).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"),
-                                                          F.md5(F.col(text)).alias("digest")))),
-                    lambda s: F.concat_ws(":", s["turn"].cast("string"), s["role"], s["digest"])).alias("history"),
+    return last.groupBy(conv).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("content")))).alias("history"),
         F.count(F.lit(1)).alias("n_turns"))
-    return hist
 
 
 def follow_ups(df: DataFrame, conv: str, turn: str, role: str) -> DataFrame:

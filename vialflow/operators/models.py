@@ -75,20 +75,60 @@ def logreg(train: DataFrame, feats: Sequence[str], y: str, C: float = 1.0):
 
 def score(model, df: DataFrame, feats: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """Scored rows with the positive-class probability (classifiers) or the
-    prediction, plus audit columns: features used and an ok flag."""
-    ok = F.lit(True)
-    for f in feats:
-        ok = ok & F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double"))
-    d = df.withColumn("ok", ok)
-    good = model.transform(assemble(d.where("ok"), feats))
-    cols = [*keep, "prediction"]
-    if "probability" in good.columns:
+    prediction, plus audit columns: features used, an ok flag, and for rows that
+    cannot be scored an error that names the absent columns or missing values."""
+    feats = list(feats)
+    absent = [f for f in feats if f not in df.columns]
+    bad = [F.when(F.col(f).isNull() | F.isnan(F.col(f).cast("double")), F.lit(f)) for f in feats if f not in absent]
+    error = (F.lit("no column: " + ",".join(absent)) if absent else
+             F.nullif(F.concat(F.lit("missing: "), F.concat_ws(",", *bad)), F.lit("missing: ")))
+    d = df.withColumn("error", error)
+    audit = lambda ok: [F.lit(",".join(feats)).alias("features_used"), F.lit(ok).alias("ok"), "error"]
+    is_classifier = hasattr(model, "numClasses")
+    cols = ["prediction"] + ["p1"] * is_classifier
+    left = d.where("error is not null").select(*keep, *[F.lit(None).cast("double").alias(c) for c in cols], *audit(False))
+    if absent:
+        return left
+    good = model.transform(assemble(d.where("error is null"), feats))
+    if is_classifier:
         good = good.withColumn("p1", vector_to_array("probability")[1])
-        cols.append("p1")
-    scored = good.select(*cols, F.lit(",".join(feats)).alias("features_used"), F.lit(True).alias("ok"))
-    bad = d.where(~F.col("ok")).select(*keep, *[F.lit(None).cast("double").alias(c) for c in cols[len(keep):]],
-                                       F.lit(",".join(feats)).alias("features_used"), F.lit(False).alias("ok"))
-    return scored.unionByName(bad)
+    return good.select(*keep, *cols, *audit(True)).unionByName(left)
+
+
+def save_model(model, feats: Sequence[str], path: str) -> None:
+    """A fitted model with the names of its features, for later batches."""
+    from pyspark.ml import PipelineModel
+    PipelineModel([VectorAssembler(inputCols=list(feats), outputCol="features"), model]).write().overwrite().save(path)
+
+
+def score_saved(path: str, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """``score`` with a model that ``save_model`` has written."""
+    from pyspark.ml import PipelineModel
+    assembler, model = PipelineModel.load(path).stages
+    return score(model, df, assembler.getInputCols(), keep)
+
+
+def binned_target(df: DataFrame, target: str, bins: int, out: str = "label") -> DataFrame:
+    """``df`` with the target's class: 0 .. bins - 1 between exact quantiles."""
+    cuts = exact_quantiles(df, target, [i / bins for i in range(1, bins)]).first()["_q"]
+    return df.withColumn(out, sum((F.when(F.col(target) > c, 1.0).otherwise(0.0) for c in sorted(set(cuts))), F.lit(0.0)))
+
+
+def multinomial(train: DataFrame, feats: Sequence[str], y: str, reg: float = 0.0):
+    """Multinomial logistic regression on classes 0, 1, 2, ..."""
+    return _fit(LogisticRegression(featuresCol="features", labelCol=y, family="multinomial", regParam=reg, maxIter=200), train, feats, y)
+
+
+def mlp_grid(train: DataFrame, valid: DataFrame, feats: Sequence[str], y: str, grid: Sequence[Sequence[int]], seed: int = 0) -> DataFrame:
+    """``layers, val_accuracy, n_weights, place``: a fit per list of hidden layer
+    widths, best first (ties: fewer weights, then the order of the grid)."""
+    rows = []
+    for i, hidden in enumerate(grid):  # one Spark fit per grid point
+        m = mlp_classifier(train, feats, y, hidden, seed)
+        acc = m.transform(assemble(valid, feats)).agg(F.avg((F.col("prediction") == F.col(y)).cast("double"))).first()[0]
+        rows.append((-(acc or 0.0), len(m.weights), i, "-".join(map(str, hidden))))
+    return train.sparkSession.createDataFrame([(name, -acc, n, k + 1) for k, (acc, n, _, name) in enumerate(sorted(rows))],
+                                              "layers string, val_accuracy double, n_weights int, place int")
 
 
 def tree(train: DataFrame, feats: Sequence[str], y: str, depth: int, min_leaf: int = 1,
@@ -336,14 +376,19 @@ def pca_scores(df: DataFrame, vec: str, k: int, id_col: str) -> DataFrame:
 def pu_scores(df: DataFrame, feats: Sequence[str], s: str, id_col: str, holdout_frac: float = 0.2,
               seed: int = 0) -> DataFrame:
     """PU learning under SCAR: fit p(s=1|x), estimate c = mean p(s=1|x) over
-    held-out labelled positives (0.5 if there are none, never below 1e-6),
-    then p(y=1|x) = clip(p(s)/c, 0, 1)."""
+    held-out labelled positives (0.5 if there are none, never below 1e-6), then
+    p(y=1|x) = clip(p(s)/c, 0, 1). ``c`` and the class prior that follows from it
+    are columns of the result: labelled rows of the fit / c, at most all of its
+    rows, plus the held-out positives, as a share of all rows."""
     u = md5_unit(id_col, seed)
     d = df.withColumn("_hold", (F.col(s) == 1) & (u < holdout_frac))
     model = logreg(d.where(~F.col("_hold")), feats, s)
     scored = model.transform(assemble(d, feats)).withColumn("ps", vector_to_array("probability")[1])
     c = scored.where("_hold").agg(F.greatest(F.coalesce(F.avg("ps"), F.lit(0.5)), F.lit(1e-6))).scalar()
-    return scored.select(id_col, s, "ps", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("ps") / c)).alias("py"))
+    known, rest, n = d.agg(F.count(F.when((F.col(s) == 1) & ~F.col("_hold"), 1)), F.count(F.when(~F.col("_hold"), 1)),
+                           F.count(F.lit(1))).first()
+    return scored.select(id_col, s, "ps", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("ps") / c)).alias("py"),
+                         c.alias("c"), ((F.least(F.lit(float(rest)), F.lit(float(known)) / c) + F.lit(float(n - rest))) / F.lit(float(n or 1))).alias("prior"))
 
 
 def pick_prior(df: DataFrame, score: str) -> DataFrame:

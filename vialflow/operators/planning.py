@@ -28,6 +28,7 @@ from vialflow.functions.hashing import md5_unit
 from vialflow.operators import kernelfit
 from vialflow.functions.stats import norm_cdf, norm_pdf, rnd
 from vialflow.operators.window import RANGE, row_index, running
+from vialflow.session import small
 
 LEVEL_DIGITS = 10
 
@@ -176,7 +177,7 @@ def arm_stats(log: DataFrame, entity: str, arm: str, reward: str) -> DataFrame:
 def _all_arms(stats: DataFrame, entity: str, arm: str) -> DataFrame:
     arms = stats.select(arm).distinct()
     ents = stats.select(entity).distinct()
-    grid = ents.crossJoin(F.broadcast(arms))  # entities x arm list (arms: a small set)
+    grid = ents.crossJoin(small(arms))  # the rows asked for: every entity with every arm
     return grid.join(stats, [entity, arm], "left").fillna({"pulls": 0, "total": 0.0})
 
 
@@ -339,7 +340,7 @@ def reveal_positives(df: DataFrame, id_col: str, y: str, c: float, seed, out: st
 
 # ------------------------------------------------------------------ traces
 def compare_strategies(log: DataFrame, method: str, order: Sequence, outcome: str,
-                       budgets: Sequence[int], block: Column | None = None) -> DataFrame:
+                       budgets: Sequence[int], block: Column | str = RANGE) -> DataFrame:
     """Best outcome reached by each method within each budget (number of
     steps). Steps are distributed running counts per method; every budget is
     one conditional max in a single aggregate."""
@@ -354,17 +355,18 @@ def hv_trace(df: DataFrame, x: str, y: str, round_col: str) -> DataFrame:
     """2-D hypervolume (reference 0, 0; maximised) of all points seen up to
     each round. Each point is counted in every round from its own on (the
     round list is small); per round only the best y per distinct x is kept
-    (partial aggregate), then the staircase area is summed."""
+    (partial aggregate). Walking x from high to low, each x adds its width times
+    what its best y gains over all larger x, a running maximum over ranges, so a
+    round with very many points is no single task's work."""
     rounds = df.select(round_col).distinct()
     pts = df.select(F.col(round_col).alias("_from"), F.col(x).cast("double").alias("_x"),
                     F.col(y).cast("double").alias("_y")).where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
     best = pts.groupBy("_from", "_x").agg(F.max("_y").alias("_y"))
-    ex = best.join(F.broadcast(rounds.withColumnRenamed(round_col, "round")), F.col("round") >= F.col("_from"))
+    ex = best.join(small(rounds.withColumnRenamed(round_col, "round")), F.col("round") >= F.col("_from"))
     per = ex.groupBy("round", "_x").agg(F.max("_y").alias("_y"))
-    w = Window.partitionBy("round").orderBy(F.col("_x").desc())
-    env = F.max("_y").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    nxt = F.coalesce(F.lead("_x").over(w), F.lit(0.0))
-    s = per.select("round", (F.greatest(F.lit(0.0), F.col("_x") - nxt) * F.greatest(F.lit(0.0), env)).alias("_a"))
+    walk = running(per, [F.col("_x").desc()], {"_before": ("max", "_y")}, ["round"], block=RANGE, exclusive=True)
+    floor = F.greatest(F.coalesce("_before", F.lit(0.0)), F.lit(0.0))
+    s = walk.select("round", (F.greatest(F.col("_x"), F.lit(0.0)) * (F.greatest(F.col("_y"), floor) - floor)).alias("_a"))
     return s.groupBy("round").agg(F.sum("_a").alias("hypervolume"))
 
 

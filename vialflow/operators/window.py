@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vialflow.functions.stats import rnd, rnd_half_up
-from vialflow.session import ensure_checkpoint_dir
+from vialflow.session import written
 
 _COMBINE = {"sum": "sum", "count": "sum", "max": "max", "min": "min"}
 
@@ -44,12 +44,11 @@ RANGE = "range"
 def range_blocks(df: DataFrame, keys: Sequence[Column], out: str = "_blk") -> DataFrame:
     """``df`` range-partitioned by ``keys`` with the range's number in ``out``.
 
-    The numbers are fixed by a reliable checkpoint, so a retried task cannot
-    see others. Rows that tie on all keys share a range; the callers' orders
-    end in a unique id where ties matter.
+    The numbers are fixed by writing the rows to the shared folder, so a retried
+    task cannot see others, and what reads them prunes columns. Rows that tie on
+    all keys share a range; the callers' orders end in a unique id where ties matter.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.repartitionByRange(*keys).withColumn(out, F.spark_partition_id()).checkpoint()
+    return written(df.repartitionByRange(*keys).withColumn(out, F.spark_partition_id()), "ranges")
 
 
 def running(df: DataFrame, order: Sequence, aggs: dict, by: Sequence[str] = (),

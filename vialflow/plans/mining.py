@@ -80,12 +80,12 @@ WITH p AS (SELECT regexp_extract(url, '^https?://([^/?#]+)', 1) AS doc,
                   coalesce(TRY_CAST(nullif(regexp_extract(url, '[?&]page=([0-9]+)', 1), '') AS INTEGER), 1) AS page_no,
                   page_id, {_STRIP_SQL} AS text FROM pages)
 SELECT doc, page_id, row_number() OVER (PARTITION BY doc ORDER BY page_no, page_id)::INTEGER AS page_order,
-       md5(text) AS digest, length(text)::INTEGER AS n_chars FROM p
+       md5(text) AS digest, length(text)::INTEGER AS n_chars, substr(text, 1, 200) AS head FROM p
 """)
 def full_text(spark, sf):
     pg = Tables(spark, sf).pages
     ft = N.full_text(pg, _doc_key(), _page_no(), "html", "page_id")
-    return ft.select("doc", "page_id", "page_order", F.md5("text").alias("digest"), "n_chars")
+    return ft.select("doc", "page_id", "page_order", F.md5("text").alias("digest"), "n_chars", "head")
 
 
 @register("repair_text", sql=r"""
@@ -126,6 +126,40 @@ def extract_conditions(spark, sf):
     return N.extract_conditions(Tables(spark, sf).documents, "doc_id", "text")
 
 
+# Recipe texts: part, quantity and line of an order as sentences.
+_RECIPE_SQL = """(SELECT l_orderkey * 10 + l_linenumber AS rid, 'Take ' || p_name || '. Heat ' || p_brand || ' in ' || split_part(p_type, ' ', 1)
+  || ' at ' || l_quantity::INTEGER || CASE WHEN l_linenumber % 2 = 0 THEN ' C' ELSE ' K' END || ' for '
+  || (l_orderkey % 90 + 1) || CASE WHEN l_returnflag = 'N' THEN ' h' ELSE ' min' END
+  || ' then cool slowly and filter the solid off before washing it twice with plenty of cold solvent! Stored dry.' AS text
+  FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+
+
+@register("condition_records", sql=rf"""
+WITH s AS (SELECT rid, unnest(regexp_split_to_array(text, '[.!?]\s+|\n+')) AS s,
+                  generate_subscripts(regexp_split_to_array(text, '[.!?]\s+|\n+'), 1) - 1 AS pos FROM {_RECIPE_SQL}),
+e AS (SELECT rid, pos, s, TRY_CAST(nullif(regexp_extract(s, '(-?[0-9]+(?:\.[0-9]+)?)\s*(?:°\s*)?(C|K)\b', 1), '') AS DOUBLE) AS t,
+             regexp_extract(s, '(-?[0-9]+(?:\.[0-9]+)?)\s*(?:°\s*)?(C|K)\b', 2) AS tu,
+             TRY_CAST(nullif(regexp_extract(s, '([0-9]+(?:\.[0-9]+)?)\s*(h|hr|hrs|hour|hours|min|minute|minutes)\b', 1), '') AS DOUBLE) AS d,
+             regexp_extract(s, '([0-9]+(?:\.[0-9]+)?)\s*(h|hr|hrs|hour|hours|min|minute|minutes)\b', 2) AS du,
+             nullif(regexp_extract(s, '\bin\s+([A-Za-z][A-Za-z0-9-]*)', 1), '') AS solvent FROM s)
+SELECT rid, pos::INTEGER AS pos, round(CASE WHEN tu = 'K' THEN t - 273.15 ELSE t END, 6) AS temperature_c,
+       round(CASE WHEN du LIKE 'min%' THEN d / 60.0 ELSE d END, 6) AS time_h, solvent,
+       array_to_string(list_filter(regexp_split_to_array(s, '\s+'), lambda w: w <> '')[1:15], ' ') AS note
+FROM e WHERE t IS NOT NULL OR d IS NOT NULL
+""")
+def condition_records(spark, sf):
+    """Temperature, time, solvent and note out of recipe sentences."""
+    t = Tables(spark, sf)
+    j = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    text = F.concat(F.lit("Take "), "p_name", F.lit(". Heat "), "p_brand", F.lit(" in "), F.split_part("p_type", F.lit(" "), F.lit(1)),
+                    F.lit(" at "), F.col("l_quantity").cast("int").cast("string"),
+                    F.when(F.col("l_linenumber") % 2 == 0, F.lit(" C")).otherwise(F.lit(" K")), F.lit(" for "),
+                    (F.col("l_orderkey") % 90 + 1).cast("string"), F.when(F.col("l_returnflag") == "N", F.lit(" h")).otherwise(F.lit(" min")),
+                    F.lit(" then cool slowly and filter the solid off before washing it twice with plenty of cold solvent! Stored dry."))
+    r = N.condition_records(j.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("rid"), text.alias("text")), "rid", "text")
+    return r.withColumns({"temperature_c": F.round("temperature_c", 6), "time_h": F.round("time_h", 6)})
+
+
 # Synonym table for the entity-normalisation example.
 SYNONYMS = [("red widget", "widget"), ("blue widget", "widget"), ("small ring", "ring"), ("big ring", "ring")]
 
@@ -168,13 +202,15 @@ def classify_sentences(spark, sf):
 
 
 @register("assemble_history", sql="""
-WITH l AS (SELECT conv_id, turn, role, md5(text) AS digest,
+WITH l AS (SELECT conv_id, turn, role, text,
                   row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rk FROM conversations)
-SELECT conv_id, list(turn::VARCHAR || ':' || role || ':' || digest ORDER BY turn, role, digest) AS history,
+SELECT conv_id, list(turn::VARCHAR || ' ' || role || ': ' || text ORDER BY turn, role, text) AS history,
        count(*) AS n_turns FROM l WHERE rk <= 4 GROUP BY conv_id
 """)
 def assemble_history(spark, sf):
-    return N.assemble_history(Tables(spark, sf).conversations, "conv_id", "turn", "role", "text", 4)
+    h = N.assemble_history(Tables(spark, sf).conversations, "conv_id", "turn", "role", "text", 4)
+    return h.withColumn("history", F.transform("history", lambda m: F.concat(m["turn"].cast("string"), F.lit(" "), m["role"],
+                                                                           F.lit(": "), m["content"])))
 
 
 @register("follow_ups", sql="""

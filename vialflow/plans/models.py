@@ -11,6 +11,7 @@ from vialflow.operators import models as K
 from vialflow.plans.columns import _u
 from vialflow.plans.evaluation import _SCORED_SQL, scored_docs
 from vialflow.plans.registry import register
+from vialflow.session import scratch_path
 from vialflow.sources.tables import Tables
 
 _LI_KEY = "concat(l_orderkey::VARCHAR, ':', l_linenumber::VARCHAR)"
@@ -283,10 +284,32 @@ def linear_probe(spark, sf):
 
 @register("score_batch")
 def score_batch(spark, sf):
-    """Batch scoring with audit columns (features used, ok flag)."""
+    """All documents scored by a model read back from the shared folder, with
+    audit columns (features used, ok flag, error)."""
     d = _doc_feats(spark, sf).withColumn("toxic", F.col("toxic").cast("double"))
-    m = K.logreg(d.where("train"), _DOC_FEATS, "toxic")
-    return K.score(m, d, _DOC_FEATS, ["doc_id"]).select("doc_id", "prediction", "p1", "features_used", "ok")
+    path = scratch_path(spark, "model")
+    K.save_model(K.logreg(d.where("train"), _DOC_FEATS, "toxic"), _DOC_FEATS, path)
+    docs = Tables(spark, sf).documents.select("doc_id", *FE.text_features("text"))
+    return K.score_saved(path, docs, ["doc_id"]).select("doc_id", "prediction", "p1", "features_used", "ok", "error")
+
+
+@register("multinomial_bins")
+def multinomial_bins(spark, sf):
+    """Price in three exact quantile classes from quantity, discount and tax: test
+    rows by class and predicted class."""
+    feats = ["l_quantity", "l_discount", "l_tax"]
+    d = K.binned_target(_li_split(spark, sf), "l_extendedprice", 3)
+    m = K.multinomial(d.where("train"), feats, "label")
+    p = m.transform(K.assemble(d.where(~F.col("train")), feats))
+    return p.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("mlp_grid")
+def mlp_grid(spark, sf):
+    """Validation accuracy of three layer layouts on standardised text features."""
+    d = _doc_feats(spark, sf).withColumn("quality", F.col("quality").cast("double"))
+    z = FE.apply_scaler(d, FE.fit_scaler(d.where("train"), _DOC_FEATS), _DOC_FEATS)
+    return K.mlp_grid(z.where("train"), z.where(~F.col("train")), _DOC_FEATS, "quality", [[4], [8], [8, 4]], seed=3)
 
 
 

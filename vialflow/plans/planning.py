@@ -411,8 +411,7 @@ FROM r, (VALUES (10), (100), (1000)) b(budget) GROUP BY event_type, b.budget
 """)
 def compare_strategies(spark, sf):
     ev = Tables(spark, sf).events.select("event_id", "ts", "event_type", "value")
-    return P.compare_strategies(ev, "event_type", ["ts", "event_id"], "value", [10, 100, 1000],
-                                block=F.to_date("ts"))
+    return P.compare_strategies(ev, "event_type", ["ts", "event_id"], "value", [10, 100, 1000])
 
 
 @register("hv_trace", sql="""

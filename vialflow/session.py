@@ -94,6 +94,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+#: Rows that may be broadcast.
+SMALL = 20_000
+
+
+def small(df, limit: int = SMALL):
+    """``df`` with a broadcast hint if it is counted to be small, else as it is."""
+    from pyspark.sql import functions as F
+    return F.broadcast(df) if df.count() <= limit else df
+
+
 def written(df, name: str):
     """``df`` as a table in the shared folder: lineage is cut, and later reads
     prune columns (a checkpoint keeps whole serialised rows)."""
