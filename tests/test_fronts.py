@@ -66,3 +66,10 @@ def test_nearest_equals_brute_force(spark, monkeypatch, d, per_cell):
             far, _, best = min((sum((x - y) ** 2 for x, y in zip(r[1:], s[1:])), s[0], s[0]) for s in good)
             assert got[r[0]][0] == best and got[r[0]][1] == pytest.approx(math.sqrt(far))
     assert nearest.nearest(p, q.where("1 = 0"), names, "a", "b").collect() == []
+
+
+def test_blocks_meet_every_row_once(spark):
+    from vialflow.operators.similarity import against
+    many, few = spark.range(70).withColumnRenamed("id", "m"), spark.range(50).withColumnRenamed("id", "f")
+    got = against(many, few, per_block=8)
+    assert got.columns == ["m", "f"] and got.count() == 3500 and got.distinct().count() == 3500
