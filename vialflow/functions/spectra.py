@@ -10,7 +10,7 @@ point from the centre), point noise (sd 0.02), an intensity scale
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -63,3 +63,71 @@ def minmax(arr: str) -> Column:
     a = F.col(arr)
     lo, hi = F.array_min(a), F.array_max(a)
     return F.when(hi - lo < 1e-9, a).otherwise(F.transform(a, lambda v: (v - lo) / (hi - lo)))
+
+
+def _bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value computed once per row, however often used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def warp(y: Column, key: Column, seed, max_shift: int = 4, scale_sd: float = 0.015) -> Column:
+    """Shift and stretch an array along its index: the value of place i moves to
+    (i - shift) * scale, kept within the array, and places in between are
+    interpolated. Shift is a whole number up to ``max_shift`` either way. NULL
+    and empty arrays stay; a place next to a NULL becomes NULL."""
+    k = F.concat(key.cast("string"), F.lit(f":{seed}:"))
+    shift = F.floor(_unit(F.concat(k, F.lit("shift"))) * (2 * max_shift + 1)).cast("int") - max_shift
+    scale = F.lit(1.0) + _normal(F.concat(k, F.lit("stretch"))) * scale_sd
+
+    def moved(b: Column) -> Column:
+        n, by = F.size(b["y"]), b["scale"]
+
+        def place(i):
+            return F.least(F.greatest((i - b["shift"]) * by, F.lit(0.0)), (n - 1).cast("double"))
+
+        def at(j):
+            low = F.least(F.greatest(F.floor(j / by + b["shift"]).cast("int"), F.lit(0)), F.greatest(n - 2, F.lit(0)))
+            from_, to = F.get(b["y"], low), F.get(b["y"], F.least(low + 1, n - 1))
+            share = (j - place(low)) / (place(low + 1) - place(low))
+            return (F.when(j >= place(n - 1), F.get(b["y"], n - 1)).when(j < place(F.lit(0)), F.get(b["y"], F.lit(0)))
+                    .otherwise(from_ + (to - from_) * share))
+
+        return F.when(n == 0, b["y"]).otherwise(F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), at))
+
+    return F.when(y.isNotNull(), _bound(F.struct(y.alias("y"), shift.alias("shift"), scale.alias("scale")), moved))
+
+
+def dropout(y: Column, key: Column, seed, max_width: int = 35, min_width: int = 6, p: float = 0.5) -> Column:
+    """With probability ``p`` replace one band of an array by a fifth of the line
+    between its two ends. Bands are ``min_width`` to ``max_width`` places wide,
+    but no wider than the array. NULL and empty arrays stay."""
+    k = F.concat(key.cast("string"), F.lit(f":{seed}:"))
+    width = F.least(F.floor(_unit(F.concat(k, F.lit("width"))) * (max_width - min_width + 1)).cast("int") + min_width, F.size(y))
+    start = F.floor(_unit(F.concat(k, F.lit("start"))) * (F.size(y) - width + 1)).cast("int")
+    some = (_unit(F.concat(k, F.lit("band"))) < p) & (F.size(y) > 0)
+
+    def masked(b: Column) -> Column:
+        left, right = F.get(b["y"], b["start"]), F.get(b["y"], b["start"] + b["width"] - 1)
+
+        def at(v, i):
+            line = left + (right - left) * (i - b["start"]) / F.greatest(b["width"] - 1, F.lit(1))
+            return F.when((i >= b["start"]) & (i < b["start"] + b["width"]), line * 0.2).otherwise(v)
+
+        return F.when(b["some"], F.transform(b["y"], at)).otherwise(b["y"])
+
+    return F.when(y.isNotNull(), _bound(F.struct(y.alias("y"), start.alias("start"), width.alias("width"), some.alias("some")), masked))
+
+
+def array_view(y: Column, key: Column, seed) -> Column:
+    """A view of any given array: warped, with one band dropped at random,
+    and min-max normalised (a flat array is copied)."""
+    warped = warp(y.cast("array<double>"), key, seed)
+    dropped = _bound(warped, lambda w: dropout(w, key, seed))
+
+    def scaled(b: Column) -> Column:
+        return F.when(b["hi"] - b["lo"] < 1e-9, b["a"]).otherwise(F.transform(b["a"], lambda v: (v - b["lo"]) / (b["hi"] - b["lo"])))
+
+    def bounds(a: Column) -> Column:
+        return _bound(F.struct(a.alias("a"), F.array_min(a).alias("lo"), F.array_max(a).alias("hi")), scaled)
+
+    return _bound(dropped, bounds)

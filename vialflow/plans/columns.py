@@ -612,6 +612,44 @@ def spectrum_views(spark, sf):
     return aug.select("vec_id", F.transform(SP.minmax("_a"), lambda x: F.round(x, 6)).alias("view"))
 
 
+def _u_sql(key):
+    return f"(('0x' || substr(md5({key}), 1, 8))::UBIGINT / 4294967296.0)"
+
+
+@register("array_views", sql=f"""
+WITH s AS (SELECT vec_id, embedding::DOUBLE[] AS y, len(embedding) AS n,
+                  floor({_u_sql("vec_id::VARCHAR || ':5:shift'")} * 9)::BIGINT - 4 AS shift,
+                  1.0 + {_n_sql("vec_id::VARCHAR || ':5:stretch'")} * 0.015 AS scale,
+                  {_u_sql("vec_id::VARCHAR || ':5:band'")} < 0.5 AS band,
+                  least(floor({_u_sql("vec_id::VARCHAR || ':5:width'")} * 30)::BIGINT + 6, len(embedding)) AS width
+           FROM embeddings WHERE len(embedding) > 1),
+places AS (SELECT *, list_transform(range(n), lambda i: least(greatest((i - shift) * scale, 0), n - 1)) AS x FROM s),
+points AS (SELECT vec_id, unnest(x) AS x, unnest(y) AS y, generate_subscripts(x, 1) AS i FROM places),
+parts AS (SELECT vec_id, x AS x0, y AS y0, i, lead(x) OVER w AS x1, lead(y) OVER w AS y1,
+                 first_value(x) OVER w AS xa, first_value(y) OVER w AS ya
+          FROM points WINDOW w AS (PARTITION BY vec_id ORDER BY i)),
+ends AS (SELECT vec_id, max_by(x0, i) AS xz, max_by(y0, i) AS yz, any_value(xa) AS xa, any_value(ya) AS ya FROM parts GROUP BY vec_id),
+cells AS (SELECT vec_id, unnest(range(n)) AS j FROM s),
+inner_ AS (SELECT cells.vec_id, j, y0 + (y1 - y0) * (j - x0) / (x1 - x0) AS v
+           FROM cells JOIN parts ON cells.vec_id = parts.vec_id AND j >= x0 AND j < x1),
+warped AS (SELECT cells.vec_id, list(CASE WHEN j >= xz THEN yz WHEN j < xa THEN ya ELSE v END ORDER BY j) AS w
+           FROM cells JOIN ends USING (vec_id) LEFT JOIN inner_ USING (vec_id, j) GROUP BY cells.vec_id),
+starts AS (SELECT vec_id, w, band, width, floor({_u_sql("vec_id::VARCHAR || ':5:start'")} * (n - width + 1))::BIGINT AS start
+           FROM warped JOIN s USING (vec_id)),
+dropped AS (SELECT vec_id, list_transform(range(len(w)), lambda i: CASE WHEN band AND i >= start AND i < start + width
+                THEN 0.2::DOUBLE * (w[start + 1] + (w[start + width] - w[start + 1]) * (i - start) / greatest(width - 1, 1))
+                ELSE w[i + 1] END) AS d FROM starts),
+bounds AS (SELECT vec_id, d, list_min(d) AS lo, list_max(d) AS hi FROM dropped)
+SELECT vec_id, list_transform(d, lambda v: round(CASE WHEN hi - lo < 1e-9 THEN v ELSE (v - lo) / (hi - lo) END, 6)) AS view FROM bounds
+""")
+def array_views(spark, sf):
+    """Warped and masked views of all components of every vector."""
+    from vialflow.functions import spectra as SP
+    em = Tables(spark, sf).embeddings.where(F.size("embedding") > 1)
+    view = SP.array_view(F.col("embedding"), F.col("vec_id"), 5)
+    return em.select("vec_id", F.transform(view, lambda x: F.round(x, 6)).alias("view"))
+
+
 def _records(spark, sf):
     """One nested record per region: a region section with one subsection per
     nation, each nation with a 'Suppliers' subsection (strings from the
