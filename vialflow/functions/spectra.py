@@ -47,8 +47,7 @@ def _normal(key: Column) -> Column:
 
 def augment(spec: Column, key: Column, seed) -> Column:
     """Baseline slope, point noise and intensity scale applied to a spectrum
-    array (normalise the result with ``minmax`` in a separate projection, so
-    the array is computed once)."""
+    array (normalise the result with ``minmax``)."""
     k = F.concat(key.cast("string"), F.lit(f":{seed}"))
     slope = _normal(F.concat(k, F.lit(":slope"))) * F.lit(0.0004)
     scale = F.lit(1.0) + _normal(F.concat(k, F.lit(":scale"))) * F.lit(0.03)
@@ -57,19 +56,20 @@ def augment(spec: Column, key: Column, seed) -> Column:
                                            + _normal(F.concat(k, F.lit(":"), i.cast("string"))) * F.lit(0.02)) * scale)
 
 
-def minmax(arr: str) -> Column:
-    """Min-max normalise an array column (pass a column name: bounds are
-    computed once per row); a flat array is copied."""
-    a = F.col(arr)
-    lo, hi = F.array_min(a), F.array_max(a)
-    return F.when(hi - lo < 1e-9, a).otherwise(F.transform(a, lambda v: (v - lo) / (hi - lo)))
-
-
 def _bound(value: Column, then: Callable[[Column], Column]) -> Column:
     """``then(value)`` with the value computed once per row, however often used."""
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
+def minmax(a: Column) -> Column:
+    """Min-max normalise an array, its bounds computed once per row; a flat
+    array is copied."""
+    def scaled(b: Column) -> Column:
+        return F.when(b["hi"] - b["lo"] < 1e-9, b["a"]).otherwise(F.transform(b["a"], lambda v: (v - b["lo"]) / (b["hi"] - b["lo"])))
+
+    return _bound(a, lambda x: _bound(F.struct(x.alias("a"), F.array_min(x).alias("lo"), F.array_max(x).alias("hi")), scaled))
+
+
 def warp(y: Column, key: Column, seed, max_shift: int = 4, scale_sd: float = 0.015) -> Column:
     """Shift and stretch an array along its index: the value of place i moves to
     (i - shift) * scale, kept within the array, and places in between are
@@ -122,12 +122,4 @@ def array_view(y: Column, key: Column, seed) -> Column:
     """A view of any given array: warped, with one band dropped at random,
     and min-max normalised (a flat array is copied)."""
     warped = warp(y.cast("array<double>"), key, seed)
-    dropped = _bound(warped, lambda w: dropout(w, key, seed))
-
-    def scaled(b: Column) -> Column:
-        return F.when(b["hi"] - b["lo"] < 1e-9, b["a"]).otherwise(F.transform(b["a"], lambda v: (v - b["lo"]) / (b["hi"] - b["lo"])))
-
-    def bounds(a: Column) -> Column:
-        return _bound(F.struct(a.alias("a"), F.array_min(a).alias("lo"), F.array_max(a).alias("hi")), scaled)
-
-    return _bound(dropped, bounds)
+    return minmax(_bound(warped, lambda w: dropout(w, key, seed)))

@@ -609,7 +609,7 @@ def spectrum_views(spark, sf):
     em = Tables(spark, sf).embeddings
     base = em.select("vec_id", SP.spectrum(_peaks("embedding")).alias("_s"))
     aug = base.select("vec_id", SP.augment(F.col("_s"), F.col("vec_id"), 3).alias("_a"))
-    return aug.select("vec_id", F.transform(SP.minmax("_a"), lambda x: F.round(x, 6)).alias("view"))
+    return aug.select("vec_id", F.transform(SP.minmax(F.col("_a")), lambda x: F.round(x, 6)).alias("view"))
 
 
 def _u_sql(key):
