@@ -120,3 +120,74 @@ def test_kept_texts(documents):
     kept = {r["n"]: r["text"] for r in suffixes.keep_rest(documents).collect()}
     assert len(kept) == documents.count()
     assert kept[1] == "" and kept[3] is None and kept[4] == "" and kept[0].startswith("w0x0")
+
+
+def greedy(phrases, docs, length):
+    """Factors of each phrase, one string at a time, against the first document's first place."""
+    first = {}
+    for d, k in sorted((d, k) for k, d in enumerate(docs)):
+        for p in range(len(phrases[k]) - length + 1):
+            first.setdefault((tuple(phrases[k][p:p + length])), (d, k, p))
+    out = []
+    for k, words in enumerate(phrases):
+        p = 0
+        while p + length <= len(words):
+            d, source, q = first[tuple(words[p:p + length])]
+            if d >= docs[k]:
+                p += 1
+                continue
+            n = length
+            while p + n < len(words) and q + n < len(phrases[source]) and words[p + n] == phrases[source][q + n]:
+                n += 1
+            out.append((k, p, n, d))
+            p += n - length + 1
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_factors_are_greedy(seed):
+    rng = random.Random(seed)
+    pool = [[rng.randrange(3) for _ in range(30)] for _ in range(4)]
+    phrases = []
+    for _ in range(40):
+        p = rng.choice(pool)
+        a = rng.randrange(12)
+        phrases.append(p[a:a + rng.randint(6, 18)] + [rng.randrange(3) for _ in range(rng.randrange(4))])
+    docs = [rng.randrange(12) for _ in phrases]
+    words = np.array([w for p in phrases for w in p], np.uint64)
+    ref = factors.Reference(words, np.array([len(p) for p in phrases]), np.array(docs), length=5)
+    place, size, source = factors.parse(ref)
+    row = ref.phrase[place]
+    got = sorted(zip(row.tolist(), (place - ref.start[row]).tolist(), size.tolist(), ref.doc[source].tolist()))
+    want = greedy(phrases, docs, 5)
+    assert got == want and any(n > 5 for _, _, n, _ in want)
+
+
+def test_no_phrases_have_no_factors():
+    ref = factors.Reference(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    assert [len(c) for c in factors.parse(ref)] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_passage_in_every_document(ready, monkeypatch, case):
+    """One passage between different words in all documents: its strings fill
+    several ranges, and are compared across their boundaries."""
+    run, n, units, length, join = CASES[case]
+    monkeypatch.setattr(repeats, "GROUP", 16)
+    rng = random.Random(4)
+    passage = " ".join(f"p{i * 7 % 31}q{i}" for i in range(24))
+    rows = [(i, f"{' '.join(f'{rng.random():.9f}' for _ in range(6))} {passage} {rng.random():.9f} tail{i % 9}")
+            for i in rng.sample(range(5000), 400)]
+    df = ready.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    got = run(df).select("doc_id", n, "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted([tuple(r) for r in got], key=repr) == brute(rows, units, length, join)
+
+
+def test_bucket_lists_its_ends():
+    """Inner runs of a bucket are settled, the runs at both ends are open."""
+    texts = [b"a" * 50, b"b" * 50, b"b" * 50, b"c" * 50]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1, 2, 3, 4]), pa.array([5, 6, 7, 8]), pa.array([9, 9, 4, 3]), pa.array([0, 0, 0, 0], pa.int32()),
+         pa.array(texts, pa.binary())], ["anchor", "block", "ord", "at", "suffix"])
+    rows = [r for b in suffixes._sort_bucket(iter([batch])) for r in b.to_pylist()]
+    assert {(r["anchor"], r["first"], r["open"]) for r in rows} == {(1, 9, True), (2, 4, False), (4, 3, True)}

@@ -14,16 +14,17 @@ this engine moves a fraction of it and loses nothing:
    with several block texts. Anchors of one document are done.
 3. Blocks of the other anchors are joined back. Where an anchor has a single
    block text, its windows repeat in every document but the first.
-4. Where block texts differ (the ends of repeated passages), one document per
-   distinct block text supplies its units, and ``resolve`` (a suffix sort or a
-   phrase parse, see the callers) finds for each of their windows the first
-   document. Its answers return to all documents with that block.
+4. Where block texts differ (the ends of repeated passages), the first
+   document of each distinct block text supplies its units, and ``resolve`` (a
+   suffix sort or a phrase parse, see the callers) finds the windows that an
+   earlier document has too. Its answers return to all documents with that
+   block; the block's other windows repeat in all of them but the first.
 
 Rows are combined per kernel call before the first shuffle, and the others
 move in equi-joins that AQE can split, so neither a passage in a third of all
 documents nor thousands of copies meet in one task. Blocks are told apart by
-48 bits within an anchor of 48 bits; windows by their units, or by 128-bit
-digests where an anchor's blocks are spread over several tasks.
+63 bits within an anchor of 48 bits; windows by their units, or by 128-bit
+digests where equal ones may lie in several tasks.
 """
 
 from __future__ import annotations
@@ -37,13 +38,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vialflow.llm.common import id_order, materialise, tasks_for, text_of
+from vialflow.session import small
 
 _U = np.uint64
 #: Bits of the filter of shared anchors, at most (128 MB), and per anchor.
 FILTER_BITS, BITS_PER_ANCHOR = 1 << 30, 16
 _SEGMENT = 1 << 19
-#: Blocks of one anchor that are resolved in one task; more are spread.
-GROUP = 1 << 18
+#: Blocks of one anchor that are parsed in one task; more are spread.
+GROUP = 1 << 11
+#: Windows that one range of a sort or parse holds, about.
+RANGE_WINDOWS = 1 << 19
 
 #: Units per kernel call; a longer document is read in overlapping stretches.
 _STRETCH = 1 << 19
@@ -148,8 +152,9 @@ def blocks_of(codes: np.ndarray, ends: np.ndarray, unit: Unit) -> tuple[np.ndarr
     parts = [(right - left).astype(_U), *(codes[left + o] for o in unit.offsets(unit.length))]
     tail = span - 1                                            # units a block may have beyond one window
     parts += [codes[right - tail + o] for o in unit.offsets(tail)] if tail >= unit.step else []
-    # 48 bits are enough to tell texts of one anchor apart, and travel lighter
-    return grams[at[first]] >> _U(16), chain(parts) >> _U(16), left, count, at[first] - left
+    # anchors may collide (their blocks are compared then), block texts must not;
+    # 63 bits, so that differences of fingerprints fit a long
+    return grams[at[first]] >> _U(16), chain(parts) >> _U(1), left, count, at[first] - left
 
 
 def _stretches(texts, unit: Unit) -> Iterator[tuple[np.ndarray, np.ndarray, list[int], list[int]]]:
@@ -273,18 +278,29 @@ def _contexts(unit: Unit):
     return run
 
 
-#: What ``resolve`` returns per run of windows: windows at .. at + n - 1 of a
-#: block first start in document ``first``; for ``open`` rows that holds within
-#: the task only, and (d1, d2) is the window's digest.
+#: What a parse returns per run of windows: windows at .. at + n - 1 of a
+#: block start in document ``first``; for ``open`` rows that is the first
+#: document of this task only, and (d1, d2) is the window's digest.
 RESOLVED = "anchor bigint, block bigint, at bigint, n bigint, first bigint, open boolean, d1 bigint, d2 bigint"
 
 
+def settle(runs: DataFrame) -> DataFrame:
+    """``runs`` with the first document over all tasks where they are open."""
+    ends = runs.where("open")
+    least = small(ends.groupBy("d1", "d2").agg(F.min("first").alias("first")))
+    whole_rows = ends.drop("first").join(least, ["d1", "d2"])
+    return runs.where("not open").unionByName(whole_rows).drop("open", "d1", "d2")
+
+
 def repeated(docs: DataFrame, unit: Unit, resolve: Callable[[DataFrame, int], DataFrame],
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Runs of repeated windows: ``ord, key, lo, n`` (windows lo .. lo + n - 1).
 
     ``resolve`` gets the distinct blocks (``anchor, block, ord, lead, units``;
-    ``lead`` holds the anchor's units) of anchors with several block texts and returns ``RESOLVED`` rows.
+    ``ord`` is the first document with the block, ``lead`` holds the anchor's
+    units) of anchors with several block texts and a number of ranges, and
+    returns ``anchor, block, at, n, first``: windows at .. at + n - 1 of the
+    block start in document ``first``, one earlier than ``ord`` if there is any.
     """
     source = keyed(docs, id_col, text_col)
     # at most one row per anchor and kernel call, so the rows are dealt out once
@@ -306,37 +322,20 @@ def repeated(docs: DataFrame, unit: Unit, resolve: Callable[[DataFrame, int], Da
     texts = source.join(asked, ["ord", "key"])
     reps = materialise(texts.select("ord", "text", "asked").mapInArrow(
         _contexts(unit), "anchor bigint, block bigint, ord bigint, lead binary, units binary"), "repeats-contexts")
-    runs = materialise(resolve(reps, tasks_for(docs)), "repeats-runs")
-    closed = runs.where("not open").select("anchor", "block", "at", "n", "first")
-    ends = runs.where("open")
-    least = ends.groupBy("d1", "d2").agg(F.min("first").alias("first"))
-    opened = ends.drop("first").join(least, ["d1", "d2"]).select("anchor", "block", "at", "n", "first")
+    ranges = max(tasks_for(docs), -(-reps.count() * (unit.length - unit.gram + 1) // RANGE_WINDOWS))
+    runs = resolve(reps, ranges).select("anchor", "block", "at", "n", "first")
     partly = (mixed.select("anchor", "block", "ord", "key", "lo")
-              .join(closed.unionByName(opened), ["anchor", "block"]).where("first < ord")
+              .join(runs, ["anchor", "block"]).where("first < ord")
               .select("ord", "key", (F.col("lo") + F.col("at")).alias("lo"), "n"))
     return plain.unionByName(partly)
 
 
-def windows_of(reps: pa.Table, unit: Unit) -> tuple[np.ndarray, ...]:
-    """All windows of blocks: row, place in the block, and their codes (one
-    array per code place, in order of the window's units)."""
-    raw = reps.column("units").to_pylist()
-    sizes = np.array([len(b) for b in raw], np.int64) // np.dtype(unit.kind).itemsize
-    codes = unit.codes(np.frombuffer(b"".join(raw), unit.kind))
-    count = sizes - unit.length + 1
-    row = np.repeat(np.arange(len(raw)), count)
-    at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    start = np.repeat(np.cumsum(sizes) - sizes, count) + at
-    return row, at, [codes[start + o] for o in unit.offsets(unit.length)]
-
-
 def dealt(reps: DataFrame, n: int) -> DataFrame:
     """Blocks range-partitioned by their anchors' units; Spark samples the
     splitters. Anchors with more than ``GROUP`` blocks are spread over several
     ranges and marked ``open``: their windows are compared across ranges."""
     big = reps.groupBy("lead").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > GROUP)
-    # one row per GROUP blocks at most
-    led = reps.join(F.broadcast(big), "lead", "left").withColumn("open", F.col("_n").isNotNull())
+    led = reps.join(small(big), "lead", "left").withColumn("open", F.col("_n").isNotNull())
     led = led.withColumn("salt", F.when(F.col("open"), F.pmod("block", F.ceil(F.col("_n") / GROUP))).otherwise(F.lit(0)))
     return led.repartitionByRange(n, "lead", "salt").select("anchor", "block", "ord", "lead", "units", "open")
 
@@ -347,7 +346,7 @@ def whole(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
     return pa.Table.from_batches(found) if found else None
 
 
-def resolved_rows(reps: pa.Table, row: np.ndarray, at: np.ndarray, parts: list[np.ndarray], first: np.ndarray,
+def resolved_rows(reps: pa.Table, row: np.ndarray, at: np.ndarray, digests: list[np.ndarray], first: np.ndarray,
                   open_row: np.ndarray) -> pa.RecordBatch:
     """``RESOLVED`` rows: windows of one block with the same first document
     are one run; blocks that may go on in another task list single windows."""
@@ -356,9 +355,7 @@ def resolved_rows(reps: pa.Table, row: np.ndarray, at: np.ndarray, parts: list[n
     head = np.flatnonzero(start)
     n = np.diff(np.r_[head, len(row)])
     some = is_open[head]
-    digests = [np.zeros(len(head), np.int64) for _ in range(2)]
-    for d, seed in zip(digests, (1, 2)):
-        d[some] = chain([p[head[some]] for p in parts], seed).view(np.int64)
+    digests = [np.where(some, d[head].view(np.int64), 0) for d in digests]
     which = pa.array(row[head])
     return pa.RecordBatch.from_arrays(
         [reps.column("anchor").combine_chunks().take(which), reps.column("block").combine_chunks().take(which),
