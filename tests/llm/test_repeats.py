@@ -181,13 +181,3 @@ def test_passage_in_every_document(ready, monkeypatch, case):
     df = ready.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
     got = run(df).select("doc_id", n, "n_removed", "n_spans", "kept_sha256").collect()
     assert sorted([tuple(r) for r in got], key=repr) == brute(rows, units, length, join)
-
-
-def test_bucket_lists_its_ends():
-    """Inner runs of a bucket are settled, the runs at both ends are open."""
-    texts = [b"a" * 50, b"b" * 50, b"b" * 50, b"c" * 50]
-    batch = pa.RecordBatch.from_arrays(
-        [pa.array([1, 2, 3, 4]), pa.array([5, 6, 7, 8]), pa.array([9, 9, 4, 3]), pa.array([0, 0, 0, 0], pa.int32()),
-         pa.array(texts, pa.binary())], ["anchor", "block", "ord", "at", "suffix"])
-    rows = [r for b in suffixes._sort_bucket(iter([batch])) for r in b.to_pylist()]
-    assert {(r["anchor"], r["first"], r["open"]) for r in rows} == {(1, 9, True), (2, 4, False), (4, 3, True)}
