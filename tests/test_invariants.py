@@ -160,3 +160,12 @@ def test_nearest_row_has_no_bound_on_proposals(spark):
             x, y = r["id"] * 7 % 101, r["id"] * 11 % 97
             d2, k = min(((a - x) ** 2 + (b - y) ** 2, k) for k, a, b in pool)
             assert r["k"] == k and math.isclose(r["distance"], math.sqrt(d2))
+
+
+def test_untested_parts_are_met_by_every_line(spark, tmp_path):
+    """A part is untested only if no line of the whole table holds it."""
+    import __spark_entry__ as E
+    spark.createDataFrame([(k,) for k in (1, 2, 3)], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(1, 0.1, 0.0), (2, 0.05, 0.08)], "l_partkey long, l_discount double, l_tax double").write.parquet(
+        f"{tmp_path}/lineitem.parquet")
+    assert [r.p_partkey for r in E.queries()["untested"](spark, str(tmp_path)).collect()] == [3]
