@@ -181,3 +181,18 @@ def test_passage_in_every_document(ready, monkeypatch, case):
     df = ready.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
     got = run(df).select("doc_id", n, "n_removed", "n_spans", "kept_sha256").collect()
     assert sorted([tuple(r) for r in got], key=repr) == brute(rows, units, length, join)
+
+
+def test_only_unknown_windows_are_compared_across_tasks(ready):
+    """Of a spread block, the windows that an earlier document of the same task has
+    are settled; the others get the earlier document of another task."""
+    reps = pa.table({"anchor": [1, 1], "block": [10, 11], "ord": [4, 6]})
+    row, at = np.array([0, 0, 1, 1, 1]), np.array([0, 1, 0, 1, 2])
+    d = np.array([1, 2, 1, 2, 3], np.uint64)
+    got = repeats.resolved_rows(reps, row, at, [d, d], np.array([4, 4, 4, 4, 6]), np.array([True, True])).to_pydict()
+    assert list(zip(got["block"], got["at"], got["n"], got["first"], got["open"], got["d1"])) == [
+        (10, 0, 1, 4, True, 1), (10, 1, 1, 4, True, 2), (11, 0, 2, 4, False, 0), (11, 2, 1, 6, True, 3)]
+    there = {k: [*v, x] for (k, v), x in zip(got.items(), (1, 12, 0, 1, 5, True, 3, 3))}  # another task: document 5 has window 3
+    runs = ready.createDataFrame(list(zip(*there.values())), repeats.RESOLVED)
+    extra = [tuple(r) for r in repeats.settle(runs).collect()]
+    assert sorted(extra) == [(1, 10, 0, 1, 4), (1, 10, 1, 1, 4), (1, 11, 0, 2, 4), (1, 11, 2, 1, 5), (1, 11, 2, 1, 6), (1, 12, 0, 1, 5)]
