@@ -121,8 +121,9 @@ def text_features(text: Column | str) -> list[Column]:
     digit / upper-case / punctuation shares, mean word length."""
     t = F.col(text) if isinstance(text, str) else text
     n = F.length(t)
-    words = F.filter(F.split(t, r"\s+"), lambda w: w != "")
-    n_words = F.size(words)
+    # compiled functions only; an array lambda would be interpreted per word
+    n_words = F.size(F.array_remove(F.split(t, r"\s+"), ""))
+    in_words = F.length(F.regexp_replace(t, r"\s+", ""))
 
     def share(pattern):
         return F.when(n == 0, F.lit(0.0)).otherwise(
@@ -133,9 +134,7 @@ def text_features(text: Column | str) -> list[Column]:
             F.round(share("[0-9]"), 6).alias("digit_share"),
             F.round(share("[A-Z]"), 6).alias("upper_share"),
             F.round(share(r"[.,;:!?]"), 6).alias("punct_share"),
-            F.round(F.when(n_words == 0, F.lit(0.0)).otherwise(
-                F.aggregate(F.transform(words, lambda w: F.length(w)), F.lit(0), lambda a, x: a + x).cast("double")
-                / n_words), 6).alias("mean_word_len")]
+            F.round(F.when(n_words == 0, F.lit(0.0)).otherwise(in_words.cast("double") / n_words), 6).alias("mean_word_len")]
 
 
 def normalise_for_shingles(text: Column | str) -> Column:

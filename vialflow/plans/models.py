@@ -11,7 +11,7 @@ from vialflow.operators import models as K
 from vialflow.plans.columns import _u
 from vialflow.plans.evaluation import _SCORED_SQL, scored_docs
 from vialflow.plans.registry import register
-from vialflow.session import scratch_path
+from vialflow.session import scratch_path, written
 from vialflow.sources.tables import Tables
 
 _LI_KEY = "concat(l_orderkey::VARCHAR, ':', l_linenumber::VARCHAR)"
@@ -55,10 +55,15 @@ def ridge_lasso_path(spark, sf):
     return out
 
 
+def _text_feats(t):
+    """Features of all documents, written once: fits, folds and scores pass over
+    these few numbers many times, over the texts once."""
+    return written(t.documents.select("doc_id", *FE.text_features("text")), "text-features")
+
+
 def _doc_feats(spark, sf):
     t = Tables(spark, sf)
-    d = t.documents.select("doc_id", *FE.text_features("text"))
-    return d.join(t.labels, "doc_id").withColumn("train", md5_unit("doc_id", 5) < 0.75)
+    return written(_text_feats(t).join(t.labels, "doc_id").withColumn("train", md5_unit("doc_id", 5) < 0.75), "doc-features")
 
 
 _DOC_FEATS = ["n_chars", "n_words", "digit_share", "upper_share", "punct_share", "mean_word_len"]
@@ -373,10 +378,10 @@ def self_training(spark, sf):
     without labels are the unlabelled pool; reports pseudo-label count and
     test accuracy of the refit."""
     t = Tables(spark, sf)
-    feats_all = t.documents.select("doc_id", *FE.text_features("text"))
+    feats_all = _text_feats(t)
     lab = feats_all.join(t.labels, "doc_id").withColumn("toxic", F.col("toxic").cast("double"))
-    lab = lab.withColumn("train", md5_unit("doc_id", 5) < 0.75)
-    unl = feats_all.join(t.labels.select("doc_id"), "doc_id", "left_anti")
+    lab = written(lab.withColumn("train", md5_unit("doc_id", 5) < 0.75), "doc-features")
+    unl = written(feats_all.join(t.labels.select("doc_id"), "doc_id", "left_anti"), "doc-features-rest")
     m, n_pseudo = K.self_train(lab.where("train"), unl, _DOC_FEATS, "toxic")
     p = m.transform(K.assemble(lab.where(~F.col("train")), _DOC_FEATS))
     return p.agg(F.avg((F.col("prediction") == F.col("toxic")).cast("double")).alias("accuracy"),
