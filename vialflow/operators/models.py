@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
@@ -422,27 +423,57 @@ def bisecting(df: DataFrame, vec: str, k: int, seed: int):
     return BisectingKMeans(k=k, seed=seed, featuresCol="features").fit(d), d
 
 
+def _ridge(g: np.ndarray, alpha: float) -> tuple[np.ndarray, float]:
+    """Coefficients and intercept of scikit-learn's ridge from the sums of
+    products of (1, features, target)."""
+    mean = g[0] / g[0, 0]
+    c = g - g[0, 0] * np.outer(mean, mean)
+    w = np.linalg.lstsq(c[1:-1, 1:-1] + alpha * np.eye(len(c) - 2), c[1:-1, -1], rcond=None)[0]
+    return w, float(mean[-1] - mean[1:-1] @ w)
+
+
 def cv_table(df: DataFrame, feats: Sequence[str], y: str, fold: str, alphas: Sequence[float]) -> DataFrame:
-    """Cross-validated RMSE per ridge alpha: one fit per (alpha, fold) on the
-    other folds (each fit is a distributed job); mean and std per alpha."""
-    spark = df.sparkSession
-    folds = [r[0] for r in df.select(fold).distinct().orderBy(fold).collect()]  # k fold ids
+    """Cross-validated RMSE per ridge alpha, mean and std over folds. One pass over
+    the rows that have all values: each fold sums the products of features and
+    target around their means; the sums of the other folds give a fit, those of the
+    fold its error."""
+    cols = [*feats, y]
+    d = df.select(fold, *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"_x{i}")
+                          for i, c in enumerate(cols)]).dropna(subset=[f"_x{i}" for i in range(len(cols))])
+    d = d.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # any point near the means does: sums of squares keep their digits
+        mid = d.agg(*[F.avg(f"_x{i}") for i in range(len(cols))]).first()
+        v = [F.lit(1.0), *[F.col(f"_x{i}") - F.lit(m or 0.0) for i, m in enumerate(mid)]]
+        at = [(i, j) for i in range(len(v)) for j in range(i, len(v))]
+        sums = d.groupBy(fold).agg(*[F.sum(v[i] * v[j]) for i, j in at]).orderBy(fold).collect()  # a row per fold
+    finally:
+        d.unpersist()
+    gram = {}
+    for row in sums:
+        g = np.zeros((len(v), len(v)))
+        for (i, j), s in zip(at, row[1:]):
+            g[i, j] = g[j, i] = s
+        gram[row[0]] = g
     rows = []
     for a in alphas:
-        for f in folds:
-            m = linreg(df.where(F.col(fold) != f), feats, y, "ridge", a)
-            pred = m.transform(assemble(df.where(F.col(fold) == f), feats))
-            rmse = pred.agg(F.sqrt(F.avg((F.col("prediction") - F.col(y)) ** 2))).first()[0]
-            rows.append((float(a), int(f), float(rmse)))
-    t = spark.createDataFrame(rows, "alpha double, fold int, rmse double")
+        for f, g in gram.items():
+            w, b = _ridge(sum(o for k, o in gram.items() if k != f), a)
+            e = np.r_[-b, -w, 1.0]
+            rows.append((float(a), int(f), float(np.sqrt(max(e @ g @ e, 0.0) / g[0, 0]))))
+    t = df.sparkSession.createDataFrame(rows, "alpha double, fold int, rmse double")
     return t.groupBy("alpha").agg(F.avg("rmse").alias("cv_rmse"), F.stddev_pop("rmse").alias("cv_std"))
 
 
 def cv_best(df: DataFrame, feats: Sequence[str], y: str, fold: str, alphas: Sequence[float]) -> DataFrame:
     """The alpha with the smallest cross-validated RMSE (the largest alpha on
     ties) and the coefficients of the refit on all rows."""
-    best = cv_table(df, feats, y, fold, alphas).orderBy("cv_rmse", F.col("alpha").desc()).first()
-    refit = coefficients(linreg(df, feats, y, "ridge", best["alpha"]), feats)
+    df = df.select(*feats, y, fold).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        best = cv_table(df, feats, y, fold, alphas).orderBy("cv_rmse", F.col("alpha").desc()).first()
+        refit = coefficients(linreg(df, feats, y, "ridge", best["alpha"]), feats)
+    finally:
+        df.unpersist()
     return refit.select(F.lit(best["alpha"]).alias("best_alpha"), F.lit(best["cv_rmse"]).alias("cv_rmse"), "feature", "coef")
 
 
