@@ -165,14 +165,17 @@ def condition_records(df: DataFrame, id_col: str, text: str) -> DataFrame:
     solvent is the word after "in" (NULL if there is none), the note the sentence's
     first ``NOTE_WORDS`` words. Sentences end at . ! ? before a space, or at a line end."""
     s = df.select(id_col, F.posexplode(F.split(F.col(text), SENTENCE_END)).alias("pos", "_s"))
-    part = lambda p, i: F.nullif(F.regexp_extract("_s", p, i), F.lit(""))
-    degrees, hours = part(TEMPERATURE, 1).cast("double"), part(DURATION, 1).cast("double")
-    words = F.filter(F.split("_s", r"\s+"), lambda w: w != "")
-    out = s.select(id_col, F.col("pos").cast("int").alias("pos"),
-                   F.when(part(TEMPERATURE, 2) == "K", degrees - 273.15).otherwise(degrees).alias("temperature_c"),
-                   F.when(F.startswith(part(DURATION, 2), F.lit("min")), hours / 60.0).otherwise(hours).alias("time_h"),
-                   part(SOLVENT, 1).alias("solvent"), F.array_join(F.slice(words, 1, NOTE_WORDS), " ").alias("note"))
-    return out.where("temperature_c is not null or time_h is not null")
+    # a sentence is searched once per pattern; values and units come from the short matches
+    found = s.select("*", F.regexp_extract("_s", TEMPERATURE, 0).alias("_t"), F.regexp_extract("_s", DURATION, 0).alias("_d"))
+    found = found.where("_t <> '' or _d <> ''")
+    part = lambda c, p, i: F.nullif(F.regexp_extract(c, p, i), F.lit(""))
+    degrees, hours = part("_t", TEMPERATURE, 1).cast("double"), part("_d", DURATION, 1).cast("double")
+    # array_remove is compiled; an array lambda would be interpreted per word
+    words = F.array_remove(F.split("_s", r"\s+"), "")
+    return found.select(id_col, F.col("pos").cast("int").alias("pos"),
+                        F.when(part("_t", TEMPERATURE, 2) == "K", degrees - 273.15).otherwise(degrees).alias("temperature_c"),
+                        F.when(F.startswith(part("_d", DURATION, 2), F.lit("min")), hours / 60.0).otherwise(hours).alias("time_h"),
+                        part("_s", SOLVENT, 1).alias("solvent"), F.array_join(F.slice(words, 1, NOTE_WORDS), " ").alias("note"))
 
 
 def normalise_entity(col: Column | str) -> Column:
