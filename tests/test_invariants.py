@@ -169,3 +169,33 @@ def test_untested_parts_are_met_by_every_line(spark, tmp_path):
     spark.createDataFrame([(1, 0.1, 0.0), (2, 0.05, 0.08)], "l_partkey long, l_discount double, l_tax double").write.parquet(
         f"{tmp_path}/lineitem.parquet")
     assert [r.p_partkey for r in E.queries()["untested"](spark, str(tmp_path)).collect()] == [3]
+
+
+def test_late_matches_make_no_candidates(spark):
+    """Sets that only share tokens too far behind make no rows; near copies do."""
+    from vialflow.operators.similarity import _candidates
+    apart = [(i, [-1] * 4 + list(range(16 * (i % 2), 16 * (i % 2) + 16))) for i in range(60)]
+    near = [(100 + i, [*range(1000, 1018), 2000 + i, 3000 + i]) for i in range(5)]
+    got = _candidates(spark.createDataFrame(apart + near, "_id long, _s array<bigint>"), 0.8).collect()
+    assert {(r.a, r.b) for r in got} == {(a, b) for a in range(100, 105) for b in range(a + 1, 105)} and len(got) == 10
+    assert {(r.na, r.nb) for r in got} == {(20, 20)}
+
+
+def test_similar_sets_of_random_sizes(spark):
+    """All pairs by brute force, also where sizes differ by the whole allowed factor."""
+    import random
+
+    from vialflow.operators.similarity import tanimoto_pairs
+    rng = random.Random(5)
+    sets = {}
+    for i in range(0, 300, 3):
+        base = [f"w{rng.randrange(60)}" for _ in range(rng.choice((1, 3, 4, 5, 8, 10, 20, 40)))]
+        sets |= {i: set(base), i + 1: set(base[:-1] or base), i + 2: set(base) | {f"w{rng.randrange(60)}"}}
+    for t in (0.5, 0.8, 1.0):
+        got = {(r.a, r.b): r.jaccard for r in tanimoto_pairs(
+            spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "id long, s array<string>"), "id", "s", t).collect()}
+        rep = {i: min(j for j in sets if sets[j] == s) for i, s in sets.items()}
+        ids = sorted(set(rep.values()))
+        want = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in ids for b in ids if a < b}
+        want = {k: v for k, v in want.items() if v >= t} | {(r, i): 1.0 for i, r in rep.items() if i != r}
+        assert got == want
