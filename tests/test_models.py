@@ -111,3 +111,26 @@ def test_layer_grid_is_ordered(spark):
     got = K.mlp_grid(df, df, ["a", "b"], "y", [[1], [6], [6, 4]], seed=1).orderBy("place").collect()
     acc = [r["val_accuracy"] for r in got]
     assert acc == sorted(acc, reverse=True) and {r["layers"] for r in got} == {"1", "6", "6-4"} and acc[0] > 0.7
+
+
+def test_cv_table_needs_no_fit_per_fold(spark, monkeypatch):
+    """The sums give the errors of scikit-learn's ridge, without a model per fold."""
+    df, data, _ = _points(spark, 120)
+    monkeypatch.setattr(K, "linreg", None)
+    got = {r["alpha"]: r["cv_rmse"] for r in K.cv_table(df.withColumn("fold", (F.col("id") % 3).cast("int")), ["a", "b"], "y", "fold",
+                                                        [0.5, 100.0]).collect()}
+    fold = np.arange(120) % 3
+    for alpha, rmse in got.items():
+        errors = []
+        for f in range(3):
+            x, y = data[fold != f, :2], data[fold != f, 2]
+            c = x - x.mean(0)
+            w = np.linalg.solve(c.T @ c + alpha * np.eye(2), c.T @ (y - y.mean()))
+            errors.append(np.sqrt(np.mean((data[fold == f, 2] - y.mean() - (data[fold == f, :2] - x.mean(0)) @ w) ** 2)))
+        assert np.isclose(rmse, np.mean(errors), rtol=1e-8)
+
+
+def test_text_features_are_written_once(spark):
+    """Fits read features from a written table, not the texts."""
+    from vialflow.plans.models import _doc_feats
+    assert not any("documents.parquet" in f for f in _doc_feats(spark, "/root/testdata/sf0.001").inputFiles())
