@@ -2,6 +2,7 @@
 
 import random
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from vialflow.operators import models as K
@@ -27,6 +28,34 @@ def test_centres_are_member_means_in_own_units(spark):
         assert len(set(group[own])) == 1
 
 
+def test_cluster_iterations_read_packed_points(spark, monkeypatch):
+    """Spark ML picks the start only; centres and sizes are those of its own
+    iterations from there, and rows with a null take no part."""
+    rng = np.random.default_rng(5)
+    data = rng.uniform(size=(3000, 2)) * [10.0, 500.0]
+    rows = [(i, float(a), float(b)) for i, (a, b) in enumerate(data)]
+    df = spark.createDataFrame(rows + [(3000, None, 1.0), (3001, None, None)], "id long, a double, b double").repartition(4, "id")
+    fits, fit = [], K.KMeans.fit
+    monkeypatch.setattr(K.KMeans, "fit", lambda self, d: fits.append(self.getMaxIter()) or fit(self, d))
+    labels, centres = K.cluster_in_units(df, "id", ["a", "b"], 4, 3)
+    got = sorted((r["a"], r["b"], r["size"]) for r in centres.collect())
+    assert fits == [0] and labels.count() == 3000 and {r["cluster"] for r in labels.collect()} == {0, 1, 2, 3}
+    m = df.agg(F.avg("a"), F.avg("b"), F.stddev_pop("a"), F.stddev_pop("b")).first()
+    z = K.assemble(df.select(((F.col("a") - m[0]) / m[2]).alias("a"), ((F.col("b") - m[1]) / m[3]).alias("b")), ["a", "b"])
+    model = K.KMeans(k=4, seed=3, featuresCol="features", tol=1e-6, maxIter=100).fit(z)
+    n = {r["prediction"]: r["count"] for r in model.transform(z).groupBy("prediction").count().collect()}
+    want = sorted((c[0] * m[2] + m[0], c[1] * m[3] + m[1], n[i]) for i, c in enumerate(model.clusterCenters()))
+    assert np.allclose(got, want, rtol=1e-9)
+
+
+def test_member_sums_give_a_tied_point_to_the_first_centre():
+    x = np.array([[0.0, -2.0, 3.0], [1.0, 0.0, 0.0]])
+    block = pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary())], ["points"])
+    run = K._member_sums(np.array([[-1.0, 0.0], [1.0, 0.0], [9.0, 9.0]]))
+    total = np.array(next(run([block])).column(0)[0].as_py()).reshape(3, 3)
+    assert total.tolist() == [[-2.0, 1.0, 2.0], [3.0, 0.0, 1.0], [0.0, 0.0, 0.0]]
+
+
 def test_pca_is_fitted_on_train_only(spark):
     df, data, _ = _points(spark)
     train, test = df.where("id < 400"), df.where("id >= 400")

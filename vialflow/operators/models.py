@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
@@ -290,20 +291,78 @@ def kmeans(df: DataFrame, vec: str, k: int, seed: int):
     return KMeans(k=k, seed=seed, featuresCol="features").fit(d), d
 
 
+#: Points that are compared with the centres at a time; their scores stay in a core's cache.
+_NEAR = 2000
+
+
+def _packed(batches):
+    """Per Arrow batch one row: the bytes of its points, a line per column."""
+    for b in batches:
+        x = np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns])
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary())], ["points"])
+
+
+def _member_sums(centres: np.ndarray):
+    """Per task one row: for each centre the sum of the packed points nearest to it
+    (the first centre on ties), then their number."""
+    k, d = centres.shape
+    half = (centres ** 2).sum(1)[:, None] / 2
+
+    def run(batches):
+        total = np.zeros((k, d + 1))
+        for b in batches:
+            for block in b.column(0):
+                x = np.frombuffer(block.as_buffer()).reshape(d, -1)
+                for at in range(0, x.shape[1], _NEAR):
+                    p = x[:, at:at + _NEAR]
+                    closeness = centres @ p - half  # (|p|^2 - distance^2) / 2
+                    own = closeness == closeness.max(0)
+                    if own.sum() > p.shape[1]:
+                        own &= own.cumsum(0) == 1
+                    total[:, :d] += own.astype(float) @ p.T
+                    total[:, d] += own.sum(1)
+        yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()], pa.list_(pa.float64()))], ["total"])
+    return run
+
+
+def _lloyd(points: DataFrame, centres: np.ndarray, tol: float, steps: int) -> np.ndarray:
+    """Spark ML's iterations over packed points: each centre moves to the mean of its
+    points (without points it stays) until none moves further than ``tol``. A pass
+    returns k * (d + 1) numbers per task."""
+    k, d = centres.shape
+    for _ in range(steps):
+        rows = points.mapInArrow(_member_sums(centres), "total array<double>").collect()
+        total = sum((np.array(r["total"]).reshape(k, d + 1) for r in rows), np.zeros((k, d + 1)))
+        moved = np.where(total[:, d:] > 0, total[:, :d] / np.maximum(total[:, d:], 1), centres)
+        far = ((moved - centres) ** 2).sum(1).max()
+        centres = moved
+        if far <= tol * tol:
+            break
+    return centres
+
+
 def cluster_in_units(df: DataFrame, id_col: str, feats: Sequence[str], k: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """KMeans on standardised columns: ``id, cluster`` per row, and the centres
-    in the columns' own units with the cluster sizes."""
+    in the columns' own units with the cluster sizes.
+
+    Spark ML picks the starting centres (k-means||). The iterations pass over the
+    rows up to 100 times, so they read them packed, 8 bytes per number and without
+    the id, and Spark ML's rows of vectors are not kept."""
     stats = df.agg(*[F.avg(f).alias(f"m_{f}") for f in feats], *[F.stddev_pop(f).alias(f"s_{f}") for f in feats]).first()
     scaled = [((F.col(f) - stats[f"m_{f}"]) / (stats[f"s_{f}"] or 1.0)).alias(f) for f in feats]
-    data = assemble(df.select(id_col, *scaled), feats).select(id_col, "features").persist(StorageLevel.MEMORY_AND_DISK)
+    rows = df.select(id_col, *scaled).dropna(subset=list(feats))
+    start = KMeans(k=k, seed=seed, featuresCol="features", maxIter=0, solver="block").fit(
+        assemble(rows.select(*feats), feats).select("features")).clusterCenters()
+    points = rows.select(*feats).mapInArrow(_packed, "points binary").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = KMeans(k=k, seed=seed, featuresCol="features", tol=1e-6, maxIter=100).fit(data)
+        found = _lloyd(points, np.array(start), 1e-6, 100)
     finally:
-        data.unpersist()
-    labels = model.transform(data).select(id_col, F.col("prediction").alias("cluster"))
+        points.unpersist()
+    far = F.array(*[sum(((F.col(f) - v) * (F.col(f) - v) for f, v in zip(feats, c)), F.lit(0.0)) for c in found.tolist()])
+    labels = rows.select(id_col, (F.array_position(far, F.array_min(far)) - 1).cast("int").alias("cluster"))
     centres = df.sparkSession.createDataFrame(
         [(i, *[float(v * (stats[f"s_{f}"] or 1.0) + stats[f"m_{f}"]) for f, v in zip(feats, c)])
-         for i, c in enumerate(model.clusterCenters())],
+         for i, c in enumerate(found)],
         "cluster int, " + ", ".join(f"`{f}` double" for f in feats))
     sizes = labels.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
     return labels, centres.join(sizes, "cluster")
