@@ -312,6 +312,28 @@ def test_lm_score_is_the_same_at_any_size(ready):
     assert sum(abs(got[0][i] - want[i]) for i in want) < 0.02 * sum(abs(s) for s in want.values())
 
 
+def test_lm_writes_rows_for_held_pairs_only(ready, monkeypatch):
+    """A filter that is not broadcast leaves no pair open; words outside the table
+    leave the pairs that the filter holds. The end of a text may be such a word."""
+    rng = random.Random(7)
+    texts = [" ".join(f"w{min(rng.randrange(400), rng.randrange(400))}" for _ in range(2000)) for _ in range(4)]
+    texts[3] += " never seen words at the end"
+    ids = [i for i in range(50) if zlib.crc32(str(i).encode()) % 10][:3] + [i for i in range(50) if zlib.crc32(str(i).encode()) % 10 == 0][:1]
+    docs = ready.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    written = {}
+    plain = ngrams.materialise
+    monkeypatch.setattr(ngrams, "materialise", lambda df, name: written.setdefault(name, plain(df, name)))
+    got, pairs = [], []
+    for bounds in ({}, {"filter_entries": 100}, {"table_words": 100, "filter_entries": 100}):
+        written.clear()
+        full, model = ngrams.train(docs, **bounds)
+        got.append({r["doc_id"]: r["score"] for r in ngrams.score(docs, full, model).collect()})
+        pairs.append(written["lm-scored"].agg(F.sum(F.size("p_ctx"))).first()[0])
+        assert got[-1] == pytest.approx(got[0], abs=1e-9)
+    assert model["least"] > 3  # the end, three times in training, is outside the table
+    assert pairs[:2] == [0, 0] and 0 < pairs[2] < 0.5 * sum(len(t.split()) for t in texts)
+
+
 def test_filter_reads_back_levels(ready):
     rows = [(5, i, 1 + i % 6) for i in range(5000)]
     deal, fill = ngrams._build(3)

@@ -18,11 +18,18 @@ occurs ``FLOOR`` times or more, whatever its context, and grows with the
 corpus; counts of words are exact. Only the way to it differs:
 
 * The most frequent words, ``TABLE_WORDS`` at most, are broadcast. A token
-  whose word and context are among them is scored on the spot; for others the
-  pair is joined with the full counts, once per distinct pair.
-* A filter of up to ``FILTER_ENTRIES`` entries is broadcast too. A larger one
-  stays a table of blocks, and distinct pairs are co-grouped with the block
-  that answers them. The bits are the same, and so are the scores.
+  whose word and context are among them is scored on the spot. Elsewhere
+
+      log p(w | h) = log p0(w) + log a(h) + log(1 + q / (A(h) p0(w))),
+      A(h) = c(h) - Q(h) + MU,  a(h) = A(h) / (c(h) + MU),
+
+  so a word outside the table is joined with its counts once per document, for
+  the first two terms, and only pairs that the filter holds become rows.
+* A filter of up to ``FILTER_ENTRIES`` entries is broadcast. A larger one is
+  written as a table of blocks and copied, block by block, into a file that
+  every executor gets once (``addFile``) and its workers map: 1.25 bytes an entry
+  of disk, no worker's heap and no row per pair. The bits are the same, and so
+  are the scores.
 
 Defined cases: a NULL text is empty (only the end token); a NULL id counts as
 the empty text under crc32, so its document is held out; repeated rows are
@@ -33,17 +40,21 @@ no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vialflow.llm.common import materialise, prepare, read, register, tasks_for, text_of
 from vialflow.llm.repeats import chain, word_units
 
-#: Words and filter entries that are broadcast; more are joined.
+#: Words and filter entries that are broadcast; more words are joined, a larger filter is mapped.
 TABLE_WORDS = 1 << 22
 FILTER_ENTRIES = 1 << 26
 #: Pairs that occur less often are left to the base model, at any size.
@@ -84,7 +95,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, before, _ = _tokens(texts)
         one, n = np.unique(words, return_counts=True)
         yield np.full(len(one), UNIGRAM, _U), one, n
-        order = np.argsort(chain([before, words]))
+        # pairs of one context side by side: it compresses in the shuffle; a pair cut in two is summed there
+        order = np.argsort(before & _U(0xFFFFFFFF << 32) | chain([before, words]) >> _U(32))
         a, b = before[order], words[order]
         head = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
         yield a[head], b[head], np.diff(np.r_[head, len(a)])
@@ -170,25 +182,17 @@ def read_level(filter_bits: np.ndarray, blocks: int, key: np.ndarray) -> np.ndar
     return out
 
 
-def _read_block(asked: pa.Table, filled: pa.Table) -> pa.Table:
-    """Levels of the pairs that one block of the filter answers."""
-    ctx, word = (asked.column(c).to_numpy().view(_U) for c in ("ctx", "word"))
-    if filled.num_rows:
-        bits = np.frombuffer(filled.column("bytes")[0].as_py(), np.uint8)
-        level = read_level(bits, 1, chain([ctx, word]))
-    else:
-        level = np.zeros(len(ctx), np.int64)
-    return pa.table([asked.column("ctx"), asked.column("word"), pa.array(level.astype(np.int32))], ["ctx", "word", "level"])
-
-
-def _route(blocks: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ctx, word = (batch.column(c).to_numpy().view(_U) for c in ("ctx", "word"))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(block_of(chain([ctx, word]), blocks)), batch.column("ctx"), batch.column("word")],
-                ["block", "ctx", "word"])
-    return run
+def _ship_filter(filled: DataFrame, blocks: int) -> str:
+    """The name under which executors find the filter's bytes: one file, put
+    together block by block on the driver, which holds one at a time."""
+    path = os.path.join(tempfile.mkdtemp(prefix="vialflow-filter-"), f"lm-filter-{uuid.uuid4().hex[:12]}")
+    with open(path, "wb") as out:
+        out.truncate(blocks * BLOCK)
+        for row in filled.toLocalIterator():
+            out.seek(row["block"] * BLOCK)
+            out.write(row["bytes"])
+    filled.sparkSession.sparkContext.addFile(path)
+    return os.path.basename(path)
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", table_words: int = TABLE_WORDS,
@@ -232,10 +236,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", table_words: int = TABLE_WORD
 
 
 def _score_texts(texts: list[str], m: dict) -> tuple[np.ndarray, ...]:
-    """Per text: tokens, tokens and base of words of the table, model score of
-    the tokens that the broadcast model decides; per word outside the table the
-    text, the word and how often it occurs; per undecided pair the text, the
-    context, the word, how often, and its level (-1: ask the filter's table)."""
+    """Per text: tokens, tokens and base of words of the table, what the words of
+    the table give to the model score; per word outside the table the text, the
+    word and how often it occurs; per pair with such a word that the filter holds
+    the text, the context, the word, its level and how often."""
     words, before, sizes = _tokens(texts)
     heads = np.cumsum(sizes) - sizes
     total = m["n"] + ALPHA * (m["v"] + 1)
@@ -255,10 +259,12 @@ def _score_texts(texts: list[str], m: dict) -> tuple[np.ndarray, ...]:
     mass = np.where(ctx_found, m["mass"][ctx_at], 0.0)
     pair = np.flatnonzero((mass > 0) | ~ctx_known)
     level = np.zeros(len(words), np.int64)
-    level[pair] = -1 if m["bits"] is None else read_level(m["bits"], m["blocks"], chain([before[pair], words[pair]]))
+    level[pair] = read_level(m["bits"], m["blocks"], chain([before[pair], words[pair]]))
     q = np.where(level > 0, FLOOR * 2.0 ** (level - 1), 0.0)
-    score = np.log10((q + (np.maximum(h - mass, 0.0) + MU) * p0) / (h + MU))
-    decided = known & ctx_known & (level >= 0)
+    rest = np.maximum(h - mass, 0.0) + MU
+    decided = known & ctx_known
+    # of other tokens the terms of a word or context of the table; a context that is not there has 0
+    score = np.where(decided, np.log10((q + rest * p0) / (h + MU)), base + np.log10(rest / (h + MU)))
     text = np.repeat(np.arange(len(texts)), sizes)
 
     def counted(some, *columns):
@@ -274,18 +280,20 @@ def _score_texts(texts: list[str], m: dict) -> tuple[np.ndarray, ...]:
         return [x[cut] for x in cols], np.diff(np.r_[cut, len(some)])
 
     rare, rare_n = counted(np.flatnonzero(~known), words)
-    open_, open_n = counted(np.flatnonzero(~decided), before, words, level)
+    held, held_n = counted(np.flatnonzero(~decided & (level > 0)), before, words, level)
     return (sizes, np.add.reduceat(found.astype(np.int64), heads), np.add.reduceat(base, heads),
-            np.add.reduceat(np.where(decided, score, 0.0), heads), (*rare, rare_n), (*open_, open_n))
+            np.add.reduceat(score, heads), (*rare, rare_n), (*held, held_n))
 
 
 def _scorer(model, texts_per_step: int = 256):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
+        m = dict(model.value)
+        if m["bits"] is None:
+            m["bits"] = np.memmap(SparkFiles.get(m["file"]), np.uint8, "r")
         for batch in batches:
             for at in range(0, batch.num_rows, texts_per_step):
                 part = batch.slice(at, texts_per_step)
-                sizes, known, base, score, rare, open_ = _score_texts(part.column("text").to_pylist(), m)
+                sizes, known, base, score, rare, held = _score_texts(part.column("text").to_pylist(), m)
 
                 def lists(doc, *columns):
                     edge = pa.array(np.searchsorted(doc, np.arange(part.num_rows + 1)).astype(np.int32))
@@ -293,38 +301,17 @@ def _scorer(model, texts_per_step: int = 256):
 
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in ("rid", "doc_id", "held_out")), pa.array(sizes), pa.array(known),
-                     pa.array(base), pa.array(score), *lists(*rare), *lists(*open_)],
+                     pa.array(base), pa.array(score), *lists(*rare), *lists(*held)],
                     ["rid", "doc_id", "held_out", "n_tokens", "known", "base", "score", "words", "times",
                      "p_ctx", "p_word", "p_level", "p_times"])
     return run
 
 
-def _pair_scores(pairs: DataFrame, words: DataFrame, model: dict) -> DataFrame:
-    """``ctx, word, level, v``: the model score of a token, per distinct pair."""
-    pairs = pairs.select("ctx", "word", "level").distinct()
-    read_ = pairs.withColumn("read", F.col("level"))
-    if model["filled"] is not None:
-        asked = pairs.where("level < 0").mapInArrow(_route(model["blocks"]), "block bigint, ctx bigint, word bigint")
-        got = asked.groupBy("block").cogroup(model["filled"].groupBy("block")).applyInArrow(
-            lambda a, f: _read_block(a, f) if a.num_rows else _NO_LEVELS, "ctx bigint, word bigint, level int")
-        read_ = pairs.where("level >= 0").withColumn("read", F.col("level")).unionByName(
-            got.select("ctx", "word", F.lit(-1).cast("long").alias("level"), F.col("level").cast("long").alias("read")))
-    total = model["n"] + ALPHA * (model["v"] + 1)
-    d = (read_.join(words.select("word", "c"), "word", "left")
-         .join(words.select(F.col("word").alias("ctx"), F.col("c").alias("h"), "mass"), "ctx", "left"))
-    p0 = (F.coalesce("c", F.lit(0)) + ALPHA) / total
-    h, mass = F.coalesce("h", F.lit(0)), F.coalesce("mass", F.lit(0.0))
-    q = F.when((mass > 0) & (F.col("read") > 0), FLOOR * F.pow(F.lit(2.0), F.col("read") - 1)).otherwise(0.0)
-    v = F.log10((q + (F.greatest(h - mass, F.lit(0.0)) + MU) * p0) / (h + MU))
-    return d.select("ctx", "word", "level", v.alias("v"))
-
-
-_NO_LEVELS = pa.table({"ctx": pa.array([], pa.int64()), "word": pa.array([], pa.int64()), "level": pa.array([], pa.int32())})
-
-
 def score(docs: DataFrame, words: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
-    sent = docs.sparkSession.sparkContext.broadcast({k: x for k, x in model.items() if k != "filled"})
+    model = {k: x for k, x in model.items() if k != "filled"} | (
+        {"file": _ship_filter(model["filled"], model["blocks"])} if model["bits"] is None else {})
+    sent = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"),
                        held_out(id_col).alias("held_out"), text_of(text_col).alias("text"))
     scored = materialise(rows.mapInArrow(
@@ -335,21 +322,29 @@ def score(docs: DataFrame, words: DataFrame, model: dict, id_col: str = "doc_id"
     out = scored.withColumns({x: F.lit(0).cast(t) for x, t in
                               (("_known", "long"), ("_base", "double"), ("_score", "double"))})
     if model["least"] > 1:
-        # words outside the table: exact counts by a join
+        # words outside the table: exact counts by a join, for the word itself and as the context of the next
+        h, mass = F.coalesce("c", F.lit(0)), F.coalesce("mass", F.lit(0.0))
+        rest = F.greatest(h - mass, F.lit(0.0)) + MU
+        p0 = (h + ALPHA) / total
         rare = scored.select("rid", F.explode(F.arrays_zip("words", "times")).alias("r")).select(
             "rid", F.col("r.words").alias("word"), F.col("r.times").alias("times"))
-        rare = rare.join(words.select("word", "c"), "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-        out = out.drop("_known", "_base").join(rare.groupBy("rid").agg(
-            F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("_known"),
-            F.sum(F.col("times") * F.log10((F.col("c") + ALPHA) / total)).alias("_base")), "rid", "left")
-    if model["least"] > 1 or model["bits"] is None:
-        # pairs that the broadcast model leaves open: one score per distinct pair
-        pairs = scored.select("rid", F.explode(F.arrays_zip("p_ctx", "p_word", "p_level", "p_times")).alias("r")).select(
+        rare = rare.join(words, "word", "left").select(
+            "rid", F.when(h > 0, F.col("times")).otherwise(0).alias("_known"), (F.col("times") * F.log10(p0)).alias("_base"),
+            # no token comes after an end
+            F.when(F.col("word") == END, F.lit(0.0)).otherwise(F.col("times") * F.log10(rest / (h + MU))).alias("_score"))
+        # pairs of such words that the filter holds
+        held = scored.select("rid", F.explode(F.arrays_zip("p_ctx", "p_word", "p_level", "p_times")).alias("r")).select(
             "rid", F.col("r.p_ctx").alias("ctx"), F.col("r.p_word").alias("word"), F.col("r.p_level").alias("level"),
             F.col("r.p_times").alias("times"))
-        one = _pair_scores(pairs, words, model)
-        out = out.drop("_score").join(pairs.join(one, ["ctx", "word", "level"]).groupBy("rid").agg(
-            F.sum(F.col("times") * F.col("v")).alias("_score")), "rid", "left")
+        held = held.join(words.select(F.col("word").alias("ctx"), rest.alias("rest"), "mass").where("mass > 0"), "ctx").join(
+            words.select("word", "c"), "word", "left")
+        q = FLOOR * F.pow(F.lit(2.0), F.col("level") - 1)
+        held = held.select("rid", F.lit(0).cast("long").alias("_known"), F.lit(0.0).alias("_base"),
+                           (F.col("times") * F.log10(1 + q / (F.col("rest") * p0))).alias("_score"))
+        some = materialise(rare.unionByName(held).groupBy("rid").agg(
+            F.sum("_known").alias("_known"), F.sum("_base").alias("_base"),
+            F.sum(F.col("_base") + F.col("_score")).alias("_score")), "lm-rare")
+        out = out.drop("_known", "_base", "_score").join(some, "rid", "left")
     return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
         F.lit(model["n"]).cast("long").alias("train_tokens"),
