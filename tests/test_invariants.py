@@ -199,3 +199,59 @@ def test_similar_sets_of_random_sizes(spark):
         want = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in ids for b in ids if a < b}
         want = {k: v for k, v in want.items() if v >= t} | {(r, i): 1.0 for i, r in rep.items() if i != r}
         assert got == want
+
+
+def _ranked_by_hand(questions, chunks, k):
+    """Top k by TF-IDF cosine: tokens of rows with one id count together."""
+    import re
+    from collections import Counter, defaultdict
+    from math import log, sqrt
+    cut = lambda t: [w for w in re.split(r"[^a-z0-9]+", (t or "").lower()) if w]
+    docs = defaultdict(Counter)
+    for i, t in chunks:
+        docs[i].update(cut(t))
+    df = Counter(w for d in docs.values() for w in d)
+    idf = {w: log((1 + len(chunks)) / (1 + c)) + 1 for w, c in df.items()}
+    unit = lambda c: {w: x * idf[w] / sqrt(sum((y * idf[v]) ** 2 for v, y in c.items())) for w, x in c.items()}
+    vecs = {i: unit(d) for i, d in docs.items() if d}
+    out = {}
+    for q, t in questions:
+        v = unit({w: c for w, c in Counter(cut(t)).items() if w in idf})
+        s = {i: round(sum(x * d[w] for w, x in v.items() if w in d), 9) for i, d in vecs.items() if v.keys() & d.keys()}
+        out[q] = sorted(((-x, (i is not None, i)) for i, x in s.items()))[:k]
+    return {q: [(i[1], -x) for x, i in best] for q, best in out.items() if best}
+
+
+def test_retrieval_shuffles_counts_of_words_only(spark, monkeypatch):
+    """Also where most words are not broadcast, with repeated and NULL ids, NULL
+    texts, copies that tie, and questions in several passes."""
+    import random
+
+    import pytest
+
+    from vialflow.operators import similarity as L
+    rng = random.Random(3)
+    word = lambda: f"w{int(rng.paretovariate(0.6)) % 900}"
+    chunks = [(i, " ".join(word() for _ in range(rng.randint(1, 50)))) for i in range(600)]
+    chunks += [(1000 + i, chunks[7][1]) for i in range(40)] + [(3, "w1 more of w2"), (3, "w5 w5"), (None, "w9 w8"), (2000, None), (2001, "")]
+    questions = [(q, " ".join(word() for _ in range(30))) for q in range(9)] + [(20, chunks[7][1]), (21, "unheard"), (22, None)]
+    c = spark.createDataFrame(chunks, "id long, body string").repartition(5)
+    q = spark.createDataFrame(questions, "q long, ask string")
+    want = _ranked_by_hand(questions, chunks, 3)
+    tables = []
+    plain = L.written
+    monkeypatch.setattr(L, "written", lambda df, name: tables.append(plain(df, name)) or tables[-1])
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    for known, asked, size in ((1 << 17, 1 << 20, 10_000), (20, 60, 10)):
+        monkeypatch.setattr(L, "KNOWN_WORDS", known, raising=False)
+        monkeypatch.setattr(L, "ASKED_WORDS", asked, raising=False)
+        spark.conf.set(batch, size)  # several batches: thresholds leave light words out
+        tables.clear()
+        got = {}
+        for r in L.retrieve(q, "q", "ask", c, ["id"], "body", 3).orderBy("q", "rank").collect():
+            got.setdefault(r.q, []).append((r.id, r.score))
+        assert {x: [i for i, _ in y] for x, y in got.items()} == {x: [i for i, _ in y] for x, y in want.items()}
+        assert all(a[1] == pytest.approx(b[1], abs=2e-9) for x in want for a, b in zip(got[x], want[x]))
+        # a table may hold a row per word or per chunk, never one per word of a chunk
+        assert max(t.count() for t in tables) <= 900
+    spark.conf.unset(batch)
