@@ -255,3 +255,22 @@ def test_retrieval_shuffles_counts_of_words_only(spark, monkeypatch):
         # a table may hold a row per word or per chunk, never one per word of a chunk
         assert max(t.count() for t in tables) <= 900
     spark.conf.unset(batch)
+
+
+def test_context_makes_no_row_per_word_of_a_chunk(spark, monkeypatch):
+    """The whole job, from the tables: no written table outgrows chunks and words."""
+    import __spark_entry__ as E
+
+    from vialflow.operators import similarity as L
+    from vialflow.plans import similarity as P
+    sf = "/root/testdata/sf0.001"
+    tables = []
+    plain = L.written
+    for module in (L, P):
+        monkeypatch.setattr(module, "written", lambda df, name: tables.append(plain(df, name)) or tables[-1])
+    got = E.queries()["build_context"](spark, sf).collect()
+    chunks = P._chunks(spark, sf)
+    words = chunks.select(F.explode(L.tokenize_words("text")).alias("w")).distinct().count()
+    questions = spark.read.parquet(f"{sf}/benchmark.parquet").count()
+    assert len(got) == questions and all(len(r.sources) == 3 for r in got)
+    assert max(t.count() for t in tables) <= max(chunks.count(), words, 50 * questions)
