@@ -274,3 +274,41 @@ def test_context_makes_no_row_per_word_of_a_chunk(spark, monkeypatch):
     questions = spark.read.parquet(f"{sf}/benchmark.parquet").count()
     assert len(got) == questions and all(len(r.sources) == 3 for r in got)
     assert max(t.count() for t in tables) <= max(chunks.count(), words, 50 * questions)
+
+
+def test_long_sets_need_several_shared_tokens(spark):
+    """Unrelated long sets that share a few rare tokens make no candidates; pairs at the threshold do."""
+    from vialflow.operators.similarity import _candidates
+    few = [(i, [0, 1, 2] + list(range(1000 * i, 1000 * i + 400))) for i in range(1, 30)]
+    # 360 of 400 tokens shared, the others rarer: J = 360 / 440 > 0.8
+    near = [(100 + i, [*range(50_000 + 100 * i, 50_040 + 100 * i), *range(60_000, 60_360)]) for i in range(3)]
+    got = _candidates(spark.createDataFrame(few + near, "_id long, _s array<bigint>"), 0.8).collect()
+    assert {(r.a, r.b) for r in got} == {(100, 101), (100, 102), (101, 102)} and len(got) == 3
+
+
+def test_similar_long_sets_in_groups(spark, monkeypatch):
+    """All pairs by brute force, sets of 40 to 400 tokens, most tokens without a rank,
+    neighbourhoods dealt to several groups."""
+    import random
+
+    from vialflow.operators import jaccard
+    from vialflow.operators.similarity import tanimoto_pairs
+    rng = random.Random(8)
+    sets = {}
+    for c in range(12):
+        base = {f"w{min(rng.randrange(5000), rng.randrange(5000))}" for _ in range(rng.choice((40, 90, 200, 400)))}
+        for _ in range(rng.randint(1, 14)):
+            kept = {w for w in base if rng.random() > 0.07}
+            sets[len(sets)] = kept | {f"w{rng.randrange(5000)}" for _ in range(rng.randrange(1 + len(base) // 12))}
+    sets[len(sets)] = set(sets[3])
+    monkeypatch.setattr(jaccard, "KNOWN_WORDS", 100)
+    monkeypatch.setattr(jaccard, "GROUP_TOKENS", 4000)
+    df = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()] + [(None, sorted(sets[0])), (999, None), (998, [])],
+                               "id long, s array<string>")
+    got = {(r.a, r.b): r.jaccard for r in tanimoto_pairs(df, "id", "s", 0.8).collect()}
+    rep = {i: min(j for j in sets if sets[j] == s) for i, s in sets.items()}
+    ids = sorted(set(rep.values()))
+    want = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in ids for b in ids if a < b}
+    want = {k: v for k, v in want.items() if v >= 0.8}
+    assert len(want) > 30
+    assert got == want | {(r, i): 1.0 for i, r in rep.items() if i != r}
