@@ -312,3 +312,16 @@ def test_similar_long_sets_in_groups(spark, monkeypatch):
     want = {k: v for k, v in want.items() if v >= 0.8}
     assert len(want) > 30
     assert got == want | {(r, i): 1.0 for i, r in rep.items() if i != r}
+
+
+def test_search_and_pairs_of_empty_tables(spark):
+    from vialflow.operators.similarity import retrieve, tanimoto_pairs
+    q = spark.createDataFrame([(1, "some words"), (2, None)], "q long, ask string")
+    c = spark.createDataFrame([("a", 1, "other things"), ("b", None, None), (None, 2, "")], "d string, n int, body string")
+    found = lambda x, y: retrieve(x, "q", "ask", y, ["d", "n"], "body", 2).collect()
+    assert found(q, c) == found(q, c.where("false")) == found(q.where("false"), c) == []
+    hit = c.unionByName(spark.createDataFrame([("z", None, "words, WORDS")], c.schema))
+    assert [(r.q, r.d, r.n, r.rank) for r in found(q, hit)] == [(1, "z", None, 1)]
+    sets = spark.createDataFrame([("x", ["u", "v"]), ("y", ["v", "u", "u"]), ("w", []), (None, ["u"])], "id string, s array<string>")
+    assert [tuple(r) for r in tanimoto_pairs(sets, "id", "s", 0.8).collect()] == [("x", "y", 1.0)]
+    assert tanimoto_pairs(sets.where("false"), "id", "s", 0.8).collect() == []
